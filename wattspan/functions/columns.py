@@ -50,10 +50,10 @@ def map_lookup(mapping: dict, key: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), key)
 
 
-def rows_of(df: DataFrame, rows: list[list[tuple[str, Column]]]) -> DataFrame:
-    """Turns each input row into one output row per entry of ``rows``."""
+def rows_of(df: DataFrame, rows: list[list[tuple[str, Column]]], keep: list[str] = ()) -> DataFrame:
+    """Turns each input row into one output row per entry of ``rows``, repeating ``keep``."""
     structs = [F.struct(*[c.alias(n) for n, c in row]) for row in rows]
-    return df.select(F.inline(F.array(*structs)))
+    return df.select(*qcols(keep), F.inline(F.array(*structs)))
 
 
 def unpivot(df: DataFrame, ids: list[str], cols: list[str], name: str, value: str) -> DataFrame:
