@@ -16,6 +16,10 @@ from wattspan.operators.order import running
 from wattspan.operators.small import checkpointed, join_settled, settled
 
 ACCURACY = 10_000
+# Half widths of the brackets, as shares of the rows, from narrow to everything.
+MARGINS = (2.0 / ACCURACY, 0.01, 1.0)
+# A bracket is used when its half width covers at least this many rows.
+MIN_ROWS = 4
 WINDOW_ROWS = 500_000
 
 
@@ -37,16 +41,17 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list, by: list[str] =
     long = unpivot(df, by, cols, "column", "value").filter("value IS NOT NULL AND NOT isnan(value)")
     keys = [*by, "column"]
     limit = WINDOW_ROWS if window_rows is None else window_rows
-    for margin in (2.0 / ACCURACY, 0.02, 1.0):
-        result = _attempt(long, keys, spec, margin, limit)
+    for level in range(len(MARGINS)):
+        result = _attempt(long, keys, spec, level, limit)
         if result.filter("_missed").limit(1).count() == 0:
             break
     return result.drop("_missed")
 
 
-def _attempt(long: DataFrame, keys: list[str], spec, margin: float, window_rows: int) -> DataFrame:
-    ends = [max(0.0, q - margin) for q, _ in spec] + [min(1.0, q + margin) for q, _ in spec]
-    k = len(spec)
+def _attempt(long: DataFrame, keys: list[str], spec, level: int, window_rows: int) -> DataFrame:
+    """One pass with brackets no narrower than ``level``; small groups take a wider one at once."""
+    k, margins = len(spec), MARGINS[level:]
+    ends = [max(0.0, min(1.0, q + side * m)) for m in margins for side in (-1, 1) for q, _ in spec]
     sketch, n_sketch = settled(
         long.groupBy(*qcols(keys)).agg(
             F.count(F.lit(1)).alias("n"),
@@ -54,8 +59,12 @@ def _attempt(long: DataFrame, keys: list[str], spec, margin: float, window_rows:
         )
     )
     joined = join_settled(long, sketch, n_sketch, keys)
-    lo = [F.get("_ends", F.lit(i)) for i in range(k)]
-    hi = [F.get("_ends", F.lit(k + i)) for i in range(k)]
+    pick = F.lit(len(margins) - 1)
+    for j in reversed(range(len(margins) - 1)):
+        pick = F.when(F.col("n") * margins[j] >= MIN_ROWS, j).otherwise(pick)
+    joined = joined.withColumn("_at", pick * (2 * k))
+    lo = [F.get("_ends", F.col("_at") + i) for i in range(k)]
+    hi = [F.get("_ends", F.col("_at") + k + i) for i in range(k)]
     inside = F.lit(False)
     below = F.lit(float("-inf"))
     for i in range(k):

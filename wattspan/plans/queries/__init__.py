@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from wattspan.plans.queries.base import ORACLES, QUERIES
-from wattspan.plans.queries import cleaning, statistics  # noqa: F401
+from wattspan.plans.queries import cleaning, features, statistics  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattspan.operators import clean, dedup, impute, outliers
+from wattspan.plans.cleaning import CleaningSpec, clean_readings
 from wattspan.plans.queries.base import (
     DIRTY, GAPPY, READINGS, SCHEMA, TYPED, dirty, exact_quantile_sql as eq, gappy, query, readings, rounded,
     scratch, table, typed,
@@ -427,16 +428,58 @@ def _(spark, sf):
     return outliers.drop_iqr_rows(part, ["cost", "p_size"]).select("p_partkey")
 
 
-@query("cleaning_job")
-def _(spark, sf):
-    from wattspan.plans.cleaning import CleaningSpec, clean_readings
+READING_SPEC = CleaningSpec(
+    schema=SCHEMA, drop=["mixed_type_col"], critical="date",
+    interpolated=["usage", "CO2(tCO2)", "power.factor"], carried=["nsm"],
+    categories=["week_status", "load_type"],
+    ranges={"power.factor": {"min": 0, "max": 100}, "nsm": {"min": 0, "max": 86400}},
+    absolute=["usage", "CO2(tCO2)"], capped=["usage", "CO2(tCO2)"], order_by=["event_id"],
+    subset=["date", "usage", "nsm", "week_status", "load_type"],
+)
+
+def _filled_sql(c):
+    return (f"abs(coalesce({c}, {c}_v0 + ({c}_v1 - {c}_v0) * (rn - {c}_p0) / ({c}_p1 - {c}_p0), {c}_v0, {c}_v1, 0))")
+
+
+def _near_cols(c):
+    return f"""last_value(CASE WHEN {c} IS NOT NULL THEN rn END IGNORE NULLS) OVER up AS {c}_p0,
+      last_value({c} IGNORE NULLS) OVER up AS {c}_v0,
+      first_value(CASE WHEN {c} IS NOT NULL THEN rn END IGNORE NULLS) OVER dn AS {c}_p1,
+      first_value({c} IGNORE NULLS) OVER dn AS {c}_v1"""
+
 
-    spec = CleaningSpec(
-        schema=SCHEMA, drop=["mixed_type_col"], critical="date",
-        interpolated=["usage", "CO2(tCO2)", "power.factor"], carried=["nsm"],
-        categories=["week_status", "load_type"],
-        ranges={"power.factor": {"min": 0, "max": 100}, "nsm": {"min": 0, "max": 86400}},
-        absolute=["usage", "CO2(tCO2)"], capped=["usage", "CO2(tCO2)"], order_by=["event_id"],
-        subset=["date", "usage", "nsm", "week_status", "load_type"],
-    )
-    return clean_readings(dirty(spark, sf), spec)
+CLEAN_SQL = f"""WITH {TYPED}, kept AS (SELECT event_id, date, usage, "CO2(tCO2)" AS co2, "power.factor" AS pf, nsm FROM typed
+    WHERE date IS NOT NULL AND upper(trim(date)) NOT IN ('NAN', 'N/A', '') AND
+    (usage IS NULL)::INT + ("CO2(tCO2)" IS NULL)::INT + ("power.factor" IS NULL)::INT
+    + (nsm IS NULL)::INT + (week_status IS NULL)::INT + (load_type IS NULL)::INT <= 3),
+  numbered AS (SELECT *, row_number() OVER (ORDER BY event_id) AS rn FROM kept),
+  near AS (SELECT *, {_near_cols('usage')}, {_near_cols('co2')}, {_near_cols('nsm')}
+    FROM numbered WINDOW up AS (ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      dn AS (ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+  words AS (SELECT event_id,
+    CASE WHEN week_status IS NULL OR upper(trim(week_status)) IN ('NAN', 'N/A', '') THEN NULL
+      ELSE upper(trim(week_status)[1]) || lower(trim(week_status)[2:]) END AS week_status,
+    CASE WHEN load_type IS NULL OR upper(trim(load_type)) IN ('NAN', 'N/A', '') THEN NULL
+      ELSE replace(upper(load_type[1]) || lower(load_type[2:]), '_load', '_Load') END AS load_type
+    FROM typed WHERE event_id IN (SELECT event_id FROM kept)),
+  modal AS (SELECT
+    (SELECT week_status FROM words WHERE week_status IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS w,
+    (SELECT load_type FROM words WHERE load_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS l),
+  whole AS (SELECT near.event_id, date, {_filled_sql('usage')} AS usage, {_filled_sql('co2')} AS co2,
+      least(greatest(pf, 0), 100) AS pf, least(greatest(coalesce(nsm_v0, nsm_v1), 0), 86400) AS nsm,
+      coalesce(week_status, w) AS week_status, coalesce(load_type, l) AS load_type
+    FROM near JOIN words ON near.event_id = words.event_id, modal),
+  ends AS (SELECT {eq('whole', 'usage', 0.01)} AS ulo, {eq('whole', 'usage', 0.99)} AS uhi,
+    {eq('whole', 'co2', 0.01)} AS clo, {eq('whole', 'co2', 0.99)} AS chi),
+  capped AS (SELECT event_id, date, CASE WHEN usage < ulo THEN ulo WHEN usage > uhi THEN uhi ELSE usage END AS usage,
+      CASE WHEN co2 < clo THEN clo WHEN co2 > chi THEN chi ELSE co2 END AS co2, pf, nsm, week_status, load_type
+    FROM whole, ends),
+  cleaned AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY date, usage, nsm, week_status, load_type
+    ORDER BY event_id) AS dup FROM capped) WHERE dup = 1)"""
+
+
+@query("cleaning_job", CLEAN_SQL + """ SELECT event_id, date, round(usage, 6) AS usage, round(co2, 6) AS co2, pf, nsm,
+  week_status, load_type FROM cleaned""")
+def _(spark, sf):
+    cleaned = clean_readings(dirty(spark, sf), READING_SPEC)
+    return rounded(cleaned.withColumnRenamed("CO2(tCO2)", "co2").withColumnRenamed("power.factor", "pf"))
