@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from wattspan.plans.queries.base import ORACLES, QUERIES
-from wattspan.plans.queries import cleaning, features, profiles, series, statistics  # noqa: F401
+from wattspan.plans.queries import cleaning, features, monitoring, profiles, series, statistics, training  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -63,12 +63,17 @@ def run_validation(stream: DataFrame, features: list[str], ranges: dict, accepte
 
 def run_drift(stream: DataFrame, reference: DataFrame, numeric: list[str], categorical: list[str], history: str,
               checkpoint: str, min_samples: int = 100) -> StreamingQuery:
-    """Drift of every batch against the reference, one history row per batch."""
+    """Drift of every batch against the reference, one history row per batch.
+
+    Batches below ``min_samples`` rows are judged too, and marked.
+    """
     def each(batch: DataFrame, batch_id: int) -> None:
         kept = batch.select(*qcols([*numeric, *categorical])).persist()
-        if kept.limit(min_samples).count() >= min_samples:
+        rows = kept.count()
+        if rows:
             run = dataset_drift(column_drift(reference, kept, numeric, categorical))
-            run.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
+            run = run.withColumn("rows", F.lit(rows)).withColumn("below_min", F.lit(rows < min_samples))
+            run.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
         kept.unpersist()
 
     return (
