@@ -66,8 +66,9 @@ def with_position(df: DataFrame, order_by: list[str], keys: list[str] = (), name
     )
 
 
-def _carry_window(keys: list[str]):
-    return (W.partitionBy(*qcols(keys)) if keys else W.partitionBy()).orderBy("_slice")
+def _carry_window(keys: list[str], descending: bool = False):
+    """Over the per-slice table: at most one row per slice and series."""
+    return W.partitionBy(*qcols(keys)).orderBy(F.desc("_slice") if descending else F.asc("_slice"))
 
 
 def running(df: DataFrame, sums: list[str], order_by: list[str], keys: list[str] = (),
@@ -119,9 +120,10 @@ def neighbours(df: DataFrame, cols: list[str], order_by: list[str], keys: list[s
         *[F.max(point[c]).alias(f"_l_{c}") for c in cols],
         *[F.min(point[c]).alias(f"_f_{c}") for c in cols],
     )
-    over = _carry_window(keys)
-    before = over.rowsBetween(W.unboundedPreceding, -1)
-    after = over.rowsBetween(1, W.unboundedFollowing)
+    # The look-ahead runs over the reverse order: Spark rescans a frame that ends
+    # at UNBOUNDED FOLLOWING for every row.
+    before = _carry_window(keys).rowsBetween(W.unboundedPreceding, -1)
+    after = _carry_window(keys, descending=True).rowsBetween(W.unboundedPreceding, -1)
     carry = per.select(
         *qcols(keys), "_slice",
         *[F.max(qcol(f"_l_{c}")).over(before).alias(f"_cl_{c}") for c in cols],
@@ -134,12 +136,13 @@ def neighbours(df: DataFrame, cols: list[str], order_by: list[str], keys: list[s
             has = qcol(f"_{p}_{c}").isNotNull()
             any_carry = has if any_carry is None else any_carry | has
     out = null_safe_join(numbered, F.broadcast(carry.filter(any_carry)), [*keys, "_slice"], "left")
-    here = W.partitionBy(*qcols(keys), "_slice").orderBy("_g")
-    upto, onward = here.rowsBetween(W.unboundedPreceding, 0), here.rowsBetween(0, W.unboundedFollowing)
+    here = W.partitionBy(*qcols(keys), "_slice")
+    upto = here.orderBy("_g").rowsBetween(W.unboundedPreceding, 0)
+    onward = here.orderBy(F.desc("_g")).rowsBetween(W.unboundedPreceding, 0)
     new: dict[str, Column] = {}
     for c in cols:
         new[f"{c}_prev"] = F.coalesce(F.last(point[c], ignorenulls=True).over(upto), qcol(f"_cl_{c}"))
-        new[f"{c}_next"] = F.coalesce(F.first(point[c], ignorenulls=True).over(onward), qcol(f"_cf_{c}"))
+        new[f"{c}_next"] = F.coalesce(F.last(point[c], ignorenulls=True).over(onward), qcol(f"_cf_{c}"))
     out = set_columns(out, new)
     return out.drop("_slice", "_idx", *[f"_{p}_{c}" for c in cols for p in ("cl", "cf")])
 

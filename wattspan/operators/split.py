@@ -9,6 +9,8 @@ Ids must be unique.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wattspan.functions.columns import qcol, qcols, require
@@ -16,7 +18,12 @@ from wattspan.functions.hashing import seeded_md5, unit_interval
 from wattspan.operators.order import with_position
 from wattspan.operators.small import checkpointed, join_small, scalar_row
 
-PREFIX = 3
+PREFIX_ROWS = 1_000_000
+
+
+def prefix_length(rows: int) -> int:
+    """Hex digits needed so that one digest prefix holds about ``PREFIX_ROWS`` rows."""
+    return max(2, math.ceil(math.log(max(rows, 1) / PREFIX_ROWS, 16)))
 
 
 def _check_sizes(*sizes: float) -> None:
@@ -39,10 +46,9 @@ def hash_cuts(df: DataFrame, digest: str, by: list[str], quotas: list[Column]) -
     Quotas are row counts, written over ``_n``, the stratum's size. A quota below
     1 gives the empty string, which no digest is below.
     """
-    counts = df.groupBy(*qcols(by), F.substring(qcol(digest), 1, PREFIX).alias("_pre")).agg(
-        F.count(F.lit(1)).alias("_c")
-    )
-    # At most 16 ** PREFIX rows per stratum go through these windows.
+    prefix = F.substring(qcol(digest), 1, prefix_length(df.count())).alias("_pre")
+    counts = df.groupBy(*qcols(by), prefix).agg(F.count(F.lit(1)).alias("_c"))
+    # One row per prefix and stratum goes through these windows.
     stratum = W.partitionBy(*qcols(by)) if by else W.partitionBy()
     upto = stratum.orderBy("_pre").rowsBetween(W.unboundedPreceding, 0)
     summed = counts.withColumn("_cum", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(stratum))
@@ -56,7 +62,7 @@ def hash_cuts(df: DataFrame, digest: str, by: list[str], quotas: list[Column]) -
     wanted = hits[0]
     for h in hits[1:]:
         wanted = wanted.unionByName(h)
-    keyed = df.select(*qcols(by), F.substring(qcol(digest), 1, PREFIX).alias("_pre"), qcol(digest).alias("_d"))
+    keyed = df.select(*qcols(by), prefix, qcol(digest).alias("_d"))
     near = join_small(keyed, wanted, [*by, "_pre"])
     rank = F.row_number().over(W.partitionBy(*qcols(by), "_pre", "_cut").orderBy("_d"))
     at = near.withColumn("_rk", rank).filter(F.col("_rk") == F.col("_want"))
@@ -144,13 +150,15 @@ def stratum_distribution(df: DataFrame, stratum: str) -> DataFrame:
 
 def hash_rank(df: DataFrame, id_col: str, seed: int, name: str = "rank") -> DataFrame:
     """0-based rank of every row in md5 order, counted per digest prefix."""
-    hashed = df.withColumn("_md5", seeded_md5(qcol(id_col), seed)).withColumn("_pre", F.substring("_md5", 1, PREFIX))
+    digest = seeded_md5(qcol(id_col), seed)
+    hashed = df.withColumn("_md5", digest).withColumn("_pre", F.substring("_md5", 1, prefix_length(df.count())))
     sizes = hashed.groupBy("_pre").agg(F.count(F.lit(1)).alias("_c"))
-    # At most 16 ** PREFIX rows, in the window and in the broadcast.
+    # One row per prefix goes through this window.
     before = W.partitionBy().orderBy("_pre").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_pre", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
     here = F.row_number().over(W.partitionBy("_pre").orderBy("_md5"))
-    ranked = hashed.withColumn("_rn", here).join(F.broadcast(offsets), "_pre")
+    # The window has already placed the rows by prefix, so a shuffled join moves only the offsets.
+    ranked = join_small(hashed.withColumn("_rn", here), offsets, ["_pre"])
     return ranked.withColumn(name, F.col("_off") + F.col("_rn") - 1).drop("_md5", "_pre", "_rn", "_off")
 
 

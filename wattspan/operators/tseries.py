@@ -12,10 +12,11 @@ from wattspan.operators.small import checkpointed, join_small
 
 
 def _series(df: DataFrame, keys: list[str], order_by: list[str], value: str, extra: list[str] = ()) -> DataFrame:
-    """Non-null values with their 0-based position, checkpointed for the passes that follow."""
+    """Values that are numbers with their 0-based position, checkpointed for the passes that follow."""
     require(df, [*keys, *order_by, value, *extra])
     names = list(dict.fromkeys([*keys, *order_by, *extra]))
-    kept = df.filter(qcol(value).isNotNull()).select(*qcols(names), qcol(value).cast("double").alias("observed"))
+    known = df.select(*qcols(names), qcol(value).cast("double").alias("observed"))
+    kept = known.filter("observed IS NOT NULL AND NOT isnan(observed)")
     return checkpointed(with_position(kept, order_by, keys, "pos"))
 
 
@@ -34,12 +35,13 @@ def decompose(df: DataFrame, keys: list[str], order_by: list[str], value: str, p
     pos = _series(df, keys, order_by, value)
     blocked = in_blocks(pos, "pos", half, half, block)
     w = W.partitionBy(*qcols(keys), "_block").orderBy("pos")
-    frame = w.rowsBetween(-half, half)
-    total, n = F.sum("observed").over(frame), F.count("observed").over(frame)
+    # Sums of a moving window as differences of one running sum: the cost does not grow with the period.
+    summed = blocked.withColumn("_sum", F.sum("observed").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    total = F.lead("_sum", half).over(w) - F.coalesce(F.lag("_sum", half + 1).over(w), F.lit(0.0))
     if period % 2 == 0:
         total = total - (F.lag("observed", half).over(w) + F.lead("observed", half).over(w)) / 2
-    trend = F.when(n == 2 * half + 1, total / period)
-    trended = blocked.withColumn("trend", trend).filter("_home").drop("_home", "_block")
+    trend = F.when(F.col("pos") >= half, total / period)
+    trended = summed.withColumn("trend", trend).filter("_home").drop("_home", "_block", "_sum")
     trended = checkpointed(trended.withColumn("phase", (F.col("pos") % period).cast("int")))
     phases = trended.filter("trend IS NOT NULL").groupBy(*qcols(keys), "phase").agg(
         F.avg(F.col("observed") - F.col("trend")).alias("_raw")

@@ -8,16 +8,18 @@ from wattspan.operators import tseries
 from wattspan.plans.queries.base import query, rounded, table
 
 _ORDER = ["ts", "event_id"]
-_P = 4
+_P, _TYPE_P = 7, 4
 _POS = """pos AS (SELECT user_id, event_id, ts, event_type, value AS y, row_number() OVER (PARTITION BY {key} ORDER BY ts, event_id) - 1 AS pos,
   count(*) OVER (PARTITION BY {key}) AS n FROM events)"""
-_DEC = _POS + """, ma AS (SELECT *, CASE WHEN count(y) OVER w = 5 THEN (sum(y) OVER w - (lag(y, 2) OVER o + lead(y, 2) OVER o) / 2) / 4 END AS trend,
-    CAST(pos % 4 AS INTEGER) AS phase FROM pos
-    WINDOW w AS (PARTITION BY {key} ORDER BY pos ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), o AS (PARTITION BY {key} ORDER BY pos)),
+_EVEN = "CASE WHEN count(y) OVER w = 5 THEN (sum(y) OVER w - (lag(y, 2) OVER o + lead(y, 2) OVER o) / 2) / 4 END"
+_ODD = "CASE WHEN count(y) OVER w = 7 THEN sum(y) OVER w / 7 END"
+_DEC = _POS + """, ma AS (SELECT *, {trend} AS trend, CAST(pos % {p} AS INTEGER) AS phase FROM pos
+    WINDOW w AS (PARTITION BY {key} ORDER BY pos ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING), o AS (PARTITION BY {key} ORDER BY pos)),
   ph AS (SELECT {key}, phase, avg(y - trend) AS raw FROM ma WHERE trend IS NOT NULL GROUP BY 1, 2),
   se AS (SELECT {key}, phase, raw - avg(raw) OVER (PARTITION BY {key}) AS seasonal FROM ph),
   dec AS (SELECT ma.*, seasonal, y - trend - seasonal AS resid FROM ma LEFT JOIN se ON ma.{key} = se.{key} AND ma.phase = se.phase)"""
-_USER, _TYPE = _DEC.format(key="user_id"), _DEC.format(key="event_type")
+_USER = _DEC.format(key="user_id", trend=_ODD, p=_P, half=3)
+_TYPE = _DEC.format(key="event_type", trend=_EVEN, p=_TYPE_P, half=2)
 _STRENGTH = """count(*) AS n,
   CASE WHEN var_pop(resid + seasonal) = 0 THEN 0 ELSE greatest(0, 1 - var_pop(resid) / var_pop(resid + seasonal)) END AS seasonal_strength,
   CASE WHEN var_pop(resid + trend) = 0 THEN 0 ELSE greatest(0, 1 - var_pop(resid) / var_pop(resid + trend)) END AS trend_strength,
@@ -30,10 +32,10 @@ def _decomposed(spark, sf, key):
     return tseries.decompose(table(spark, sf, "events"), [key], _ORDER, "value", _P)
 
 
-@query("ts1_decompose", f"""WITH {_USER} SELECT user_id, event_id, pos, phase, y AS observed, round(trend, 6) AS trend,
-  round(seasonal, 6) AS seasonal, round(resid, 6) + 0 AS resid FROM dec""")
+@query("ts1_decompose", f"""WITH {_USER} SELECT user_id, event_id, pos, phase, y AS observed, round(trend, 8) AS trend,
+  round(seasonal, 8) AS seasonal, round(resid, 8) + 0 AS resid FROM dec""")
 def _(spark, sf):
-    return rounded(_decomposed(spark, sf, "user_id").drop("ts"))
+    return rounded(_decomposed(spark, sf, "user_id").drop("ts"), 8)
 
 
 @query("ts2_strengths", f"WITH {_USER}, s AS (SELECT user_id, {_STRENGTH} FROM dec GROUP BY 1) SELECT user_id, n, {_R6} FROM s")
@@ -44,13 +46,13 @@ def _(spark, sf):
 @query("ts3_seasonality_by_group", f"""WITH {_TYPE}, s AS (SELECT event_type, {_STRENGTH} FROM dec GROUP BY 1)
   SELECT event_type, n, {_R6}, NULL::VARCHAR AS error FROM s""")
 def _(spark, sf):
-    return rounded(tseries.seasonality_by_group(table(spark, sf, "events"), "event_type", _ORDER, "value", _P))
+    return rounded(tseries.seasonality_by_group(table(spark, sf, "events"), "event_type", _ORDER, "value", _TYPE_P))
 
 
-@query("ts4_seasonal_pattern", f"""WITH {_USER} SELECT user_id, phase AS period_index, round(avg(seasonal), 6) AS seasonal_value
-  FROM dec WHERE pos < floor(n / 4) * 4 GROUP BY 1, 2""")
+@query("ts4_seasonal_pattern", f"""WITH {_USER} SELECT user_id, phase AS period_index, round(avg(seasonal), 8) AS seasonal_value
+  FROM dec WHERE pos < floor(n / {_P}) * {_P} GROUP BY 1, 2""")
 def _(spark, sf):
-    return rounded(tseries.seasonal_pattern(_decomposed(spark, sf, "user_id"), ["user_id"], _P))
+    return rounded(tseries.seasonal_pattern(_decomposed(spark, sf, "user_id"), ["user_id"], _P), 8)
 
 
 _LAGS = 12
@@ -121,8 +123,8 @@ METRICS_SQL = """count(*) AS n, round(sqrt(avg((y - p) ** 2)), 4) AS rmse, round
   round(max(abs(y - p)), 4) AS max_error"""
 
 
-@query("ts11_backtest", f"{_BACK} SELECT model, {METRICS_SQL} FROM b GROUP BY model")
+@query("ts11_backtest", f"{_BACK} SELECT model, {METRICS_SQL.replace(', 4)', ', 6)')} FROM b GROUP BY model")
 def _(spark, sf):
     scored = tseries.backtest(table(spark, sf, "events"), ["user_id"], _ORDER, "value", 8, _P)
     out = tseries.backtest_scores(scored)
-    return out.select("model", "n", *[F.round(c, 6 if c == "r2" else 4).alias(c) for c in ("rmse", "mae", "r2", "mape", "max_error")])
+    return out.select("model", "n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2", "mape", "max_error")])

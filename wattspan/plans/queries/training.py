@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattspan.operators import evaluate, models, split, stats
-from wattspan.plans.queries.base import query, r, rounded, scratch, table
+from wattspan.plans.features import PreprocessSpec, feature_job, preprocess_job
+from wattspan.plans.queries.base import READINGS, query, r, readings, rounded, scratch, table
 from wattspan.plans.queries.series import METRICS_SQL
+from wattspan.plans.training import TrainingSpec, training_job
 
 _Y = "l_extendedprice"
 _LONG = """long AS (SELECT l_orderkey * 10 + l_linenumber AS row_id, l_returnflag AS segment, l_linenumber, l_extendedprice AS y,
@@ -204,25 +206,77 @@ def _(spark, sf):
 
 @query("m15_training_job")
 def _(spark, sf):
-    from wattspan.plans.training import TrainingSpec, training_job
-
     data = split.stratified_split(frame(spark, sf), _Y, "id")
     spec = TrainingSpec(_FEATURES, _Y, params=_SMALL, key_cols=["id"], max_rmse=20000.0, min_r2=0.5)
     _, gate, scores = training_job(data, spec, scratch(spark, "model"))
     return scores.withColumn("data_passed", gate.select("passed").scalar())
 
 
-@query("feature_and_preprocess_jobs")
+_LINE = """o AS (SELECT o_orderkey, o_custkey * 1.0::DOUBLE AS x, o_totalprice AS y, CAST((row_number() OVER (ORDER BY md5(concat('42|', o_orderkey)))
+  - 1) % 3 AS INTEGER) AS fold FROM orders)"""
+
+
+def _orders(spark, sf):
+    return table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("double").alias("x"), F.col("o_totalprice").alias("y"))
+
+
+@query("m2_linear_cross_validation", f"""WITH {_LINE}, f AS (SELECT k.k AS fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a
+    FROM o, range(3) k(k) WHERE o.fold <> k.k GROUP BY 1)
+  SELECT o.fold, count(*) AS n, round(sqrt(avg((y - a - b * x) ** 2)), 3) AS rmse, round(avg(abs(y - a - b * x)), 3) AS mae
+  FROM o JOIN f ON o.fold = f.fold GROUP BY 1""")
+def _(spark, sf):
+    folds, _, _ = models.cross_validate(_orders(spark, sf), "linear", ["x"], "y", "o_orderkey", 3, solver="normal")
+    return folds.select("fold", "n", r("rmse", 3).alias("rmse"), r("mae", 3).alias("mae"))
+
+
+@query("m2_linear_summary", f"""WITH {_LINE}, f AS (SELECT k.k AS fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a
+    FROM o, range(3) k(k) WHERE o.fold <> k.k GROUP BY 1),
+  m AS (SELECT sqrt(avg((y - a - b * x) ** 2)) AS rmse FROM o JOIN f ON o.fold = f.fold GROUP BY o.fold)
+  SELECT round(avg(rmse), 3) AS rmse_mean, round(stddev_pop(rmse), 3) AS rmse_std FROM m""")
+def _(spark, sf):
+    _, summary, _ = models.cross_validate(_orders(spark, sf), "linear", ["x"], "y", "o_orderkey", 3, solver="normal")
+    return summary.select(r("rmse_mean", 3).alias("rmse_mean"), r("rmse_std", 3).alias("rmse_std"))
+
+
+@query("m9_linear_scoring", """WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem)
+  SELECT count(*) AS n, round(avg(a + b * l_quantity), 3) AS "avg", round(min(a + b * l_quantity), 3) AS "min",
+    round(max(a + b * l_quantity), 3) AS "max" FROM lineitem, f""")
+def _(spark, sf):
+    li = table(spark, sf, "lineitem")
+    model = models.train(li, "linear", ["l_quantity"], _Y, solver="normal")
+    return rounded(stats.prediction_summary(models.score(model, li)), 3)
+
+
+@query("m13_linear_importance", """WITH l AS (SELECT o_orderkey, o_custkey + 10.0::DOUBLE * o_totalprice AS y, o_totalprice AS x,
+    row_number() OVER (ORDER BY md5(concat('42|', o_orderkey))) AS r1, row_number() OVER (ORDER BY md5(concat('43|', o_orderkey))) AS r2 FROM orders),
+  f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM l),
+  j AS (SELECT p.y, p.x, q.x AS s FROM l p JOIN l q ON p.r1 = q.r2)
+  SELECT 'x' AS feature, round(sqrt(avg((y - a - b * s) ** 2)) - sqrt(avg((y - a - b * x) ** 2)), 1) AS importance FROM j, f""")
 def _(spark, sf):
-    from wattspan.plans.features import PreprocessSpec, feature_job, preprocess_job
-    from wattspan.plans.queries.base import readings
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_totalprice").alias("x"), (F.col("o_custkey") + F.col("o_totalprice") * 10.0).alias("y"))
+    model = models.train(o, "linear", ["x"], "y", solver="normal")
+    out = models.permutation_importance(model, o, ["x"], "y", "o_orderkey")
+    return out.select("feature", r("importance", 1).alias("importance"))
+
+
+_PREP = """e AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
+  b AS (SELECT readings.*, CAST(least(floor((value - lo) * 10 / (hi - lo)) + 1, 10) AS INTEGER) AS bin, md5(concat('42|', event_id)) AS h FROM readings, e),
+  k AS (SELECT *, row_number() OVER (PARTITION BY bin ORDER BY h) AS rn, count(*) OVER (PARTITION BY bin) AS n FROM b),
+  s AS (SELECT *, CASE WHEN rn <= round(n * 0.70::DOUBLE) THEN 'train' WHEN rn <= round(n * (0.70::DOUBLE + 0.15::DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM k),
+  m AS (SELECT avg(nsm) AS mu, stddev_pop(nsm) AS sd FROM s WHERE split = 'train')"""
 
+
+@query("feature_and_preprocess_jobs", f"""WITH {READINGS}, {_PREP} SELECT split, count(*) AS n, round(avg((nsm - mu) / sd), 6) + 0 AS nsm,
+  round(avg(CASE week_status WHEN 'Weekend' THEN 1 ELSE 0 END), 6) AS weekend FROM s, m GROUP BY 1""")
+def _(spark, sf):
     cleaned = readings(spark, sf).select(
         "event_id", "value", "event_type", "week_status", F.col("nsm").alias("NSM"), F.col("day_of_week").alias("Day_of_week"))
     featured = feature_job(cleaned, "NSM", "Day_of_week", "value")["featured"]
     spec = PreprocessSpec("value", "event_id", ["NSM", "cyclical_hour_sin"], ["event_type"],
                           {"week_status": {"Weekday": 0, "Weekend": 1}})
     out, _, _ = preprocess_job(featured, spec)
-    return out.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("NSM").alias("nsm"), F.avg("week_status").alias("weekend"))
+    return out.groupBy("split").agg(F.count(F.lit(1)).alias("n"), r(F.avg("NSM")).alias("nsm"), r(F.avg("week_status")).alias("weekend"))
 
 
