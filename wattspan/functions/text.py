@@ -22,10 +22,12 @@ def title_case(c: Column) -> Column:
 
 
 def lenient_double(c: Column) -> Column:
-    """Text to double; anything that is not a finite or infinite number gives null."""
-    t = F.trim(c)
-    v = t.try_cast("double")
-    return F.when(~t.rlike("[a-zA-Z]$") & ~F.isnan(v), v)
+    """Text to double; anything that is not a plain number gives null.
+
+    The Java parser allows one type suffix. Adding it here rejects text that
+    already has one, and the literals NaN and Infinity, in a single evaluation.
+    """
+    return F.concat(F.trim(c), F.lit("D")).try_cast("double")
 
 
 def lenient_long(c: Column) -> Column:

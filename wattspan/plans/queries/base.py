@@ -90,6 +90,17 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def dirty_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The dirty readings written to CSV and read back as text, as a raw delivery arrives."""
+    from wattspan.sources.io import read_csv
+
+    path = scratch(spark, "raw-csv")
+    raw = dirty(spark, sf)
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw.repartition("event_id").write.options(header=True, **keep).csv(path)
+    return read_csv(spark, path, raw.columns).withColumn("event_id", F.col("event_id").cast("bigint"))
+
+
 DIRTY = READINGS + """, dirty AS (
   SELECT event_id,
     CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN ' NAN ' WHEN event_id % 83 = 0 THEN ''

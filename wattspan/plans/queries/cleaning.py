@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wattspan.operators import clean, dedup, impute, outliers
 from wattspan.plans.cleaning import CleaningSpec, clean_readings
 from wattspan.plans.queries.base import (
-    DIRTY, GAPPY, READINGS, SCHEMA, TYPED, dirty, exact_quantile_sql as eq, gappy, query, readings, rounded,
+    DIRTY, GAPPY, READINGS, SCHEMA, TYPED, dirty, dirty_csv, exact_quantile_sql as eq, gappy, query, readings, rounded,
     scratch, table, typed,
 )
 from wattspan.sources import io
@@ -481,5 +481,5 @@ CLEAN_SQL = f"""WITH {TYPED}, kept AS (SELECT event_id, date, usage, "CO2(tCO2)"
 @query("cleaning_job", CLEAN_SQL + """ SELECT event_id, date, round(usage, 6) AS usage, round(co2, 6) AS co2, pf, nsm,
   week_status, load_type FROM cleaned""")
 def _(spark, sf):
-    cleaned = clean_readings(dirty(spark, sf), READING_SPEC)
+    cleaned = clean_readings(dirty_csv(spark, sf), READING_SPEC)
     return rounded(cleaned.withColumnRenamed("CO2(tCO2)", "co2").withColumnRenamed("power.factor", "pf"))

@@ -8,7 +8,7 @@ from wattspan.functions import temporal as t
 from wattspan.operators import prep, split, stats, temporal
 from wattspan.plans.cleaning import clean_readings
 from wattspan.plans.queries.cleaning import CLEAN_SQL, READING_SPEC
-from wattspan.plans.queries.base import READINGS, dirty, query, r, readings, rounded, scratch, table
+from wattspan.plans.queries.base import READINGS, dirty_csv, query, r, readings, rounded, scratch, table
 
 _TAU = "2 * pi()"
 
@@ -266,6 +266,6 @@ def _(spark, sf):
   FROM cleaned GROUP BY 1, 2""")
 def _(spark, sf):
     """Cleaned readings, temporal features, then the profile by hour and load type."""
-    cleaned = clean_readings(dirty(spark, sf), READING_SPEC)
+    cleaned = clean_readings(dirty_csv(spark, sf), READING_SPEC)
     hourly = cleaned.withColumn("hour", t.hour_of(F.col("nsm")))
     return rounded(stats.group_stats(hourly, ["load_type", "hour"], "usage", None), 8)

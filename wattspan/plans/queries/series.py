@@ -125,6 +125,6 @@ METRICS_SQL = """count(*) AS n, round(sqrt(avg((y - p) ** 2)), 4) AS rmse, round
 
 @query("ts11_backtest", f"{_BACK} SELECT model, {METRICS_SQL.replace(', 4)', ', 6)')} FROM b GROUP BY model")
 def _(spark, sf):
-    scored = tseries.backtest(table(spark, sf, "events"), ["user_id"], _ORDER, "value", 8, _P)
+    scored = tseries.backtest(table(spark, sf, "events"), ["user_id"], _ORDER, "value", 8, _TYPE_P)
     out = tseries.backtest_scores(scored)
     return out.select("model", "n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2", "mape", "max_error")])
