@@ -113,3 +113,11 @@ def test_join_small_both_ways(spark):
     for limit in (None, 0):
         got = small.join_small(big, side, ["k"], "left", limit).select("k", "v", "w").collect()
         assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_drift_of_an_empty_column(spark):
+    full = spark.createDataFrame([(float(i), "a") for i in range(20)], "v double, c string")
+    empty = spark.createDataFrame([(None, None)], "v double, c string")
+    for ref, cur in ((full, empty), (empty, full)):
+        rows = drift.column_drift(ref, cur, ["v"], ["c"]).collect()
+        assert len(rows) == 2 and all(r["drifted"] for r in rows)

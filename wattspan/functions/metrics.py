@@ -25,9 +25,9 @@ def metric_columns(y: Column, p: Column) -> list[Column]:
 
 def cv_percent(y: Column, p: Column) -> Column:
     """RMSE as a percentage of the mean target."""
-    return F.sqrt(F.avg((y - p) * (y - p))) / F.avg(y) * 100
+    return F.try_divide(F.sqrt(F.avg((y - p) * (y - p))), F.avg(y)) * 100
 
 
 def rmse_ratio(y: Column, p: Column) -> Column:
     """RMSE over the absolute mean target."""
-    return F.sqrt(F.avg((y - p) * (y - p))) / F.abs(F.avg(y))
+    return F.try_divide(F.sqrt(F.avg((y - p) * (y - p))), F.abs(F.avg(y)))

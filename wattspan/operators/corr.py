@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattspan.functions.columns import numeric_columns, qcol, qcols, require, rows_of
 from wattspan.operators.quantiles import quantile_row
 from wattspan.operators.small import scalar_row
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson r over rows with both values; null when a column is constant.
+
+    ``corr`` itself fails on a constant column in ANSI mode.
+    """
+    x, y = qcol(a).cast("double"), qcol(b).cast("double")
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.agg(F.corr(qcol(a), qcol(b)).alias("correlation"))
+    return df.agg(correlation(a, b).alias("correlation"))
 
 
 def correlations(df: DataFrame, target: str, features: list[str] | None = None) -> DataFrame:
@@ -20,8 +30,8 @@ def correlations(df: DataFrame, target: str, features: list[str] | None = None)
     names = [c for c in (features or numeric_columns(df)) if c != target and c in df.columns]
     if not names:
         raise ValueError("No numeric features found")
-    one = df.agg(*[F.corr(qcol(c), qcol(target)).alias(f"r{i}") for i, c in enumerate(names)])
-    rows = rows_of(one, [[("feature", F.lit(c)), ("correlation", F.nanvl(F.col(f"r{i}"), F.lit(None)))]
+    one = df.agg(*[correlation(c, target).alias(f"r{i}") for i, c in enumerate(names)])
+    rows = rows_of(one, [[("feature", F.lit(c)), ("correlation", F.col(f"r{i}"))]
                          for i, c in enumerate(names)])
     ranked = rows.withColumn("abs_correlation", F.abs("correlation"))
     return ranked.orderBy(F.desc_nulls_last("abs_correlation"), "feature")
@@ -30,7 +40,7 @@ def correlations(df: DataFrame, target: str, features: list[str] | None = None)
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """All column pairs as (a, b, correlation); each pair is computed once."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    one = df.agg(*[F.corr(qcol(a), qcol(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    one = df.agg(*[correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = []
     for i, (a, b) in enumerate(pairs):
         rows += [[("a", F.lit(x)), ("b", F.lit(y)), ("correlation", F.col(f"r{i}"))] for x, y in ((a, b), (b, a))]

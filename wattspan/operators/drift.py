@@ -31,15 +31,15 @@ def _sides(parts: list[DataFrame]) -> DataFrame:
 
 
 def _psi(a: Column, na: Column, b: Column, nb: Column) -> Column:
-    pa = F.greatest(a / na, F.lit(MIN_SHARE))
-    pb = F.greatest(b / nb, F.lit(MIN_SHARE))
+    pa = F.greatest(F.try_divide(a, na), F.lit(MIN_SHARE))
+    pb = F.greatest(F.try_divide(b, nb), F.lit(MIN_SHARE))
     return F.sum((pb - pa) * F.log(pb / pa))
 
 
 def ks_p_value(d: Column, na: Column, nb: Column, terms: int = 100) -> Column:
     """Asymptotic two-sided p-value of the two-sample statistic."""
     en = F.sqrt(na * nb / (na + nb))
-    lam = (en + 0.12 + F.lit(0.11) / en) * d
+    lam = (en + 0.12 + F.try_divide(F.lit(0.11), en)) * d
     ks = F.sequence(F.lit(1), F.lit(terms))
     sign = lambda k: F.when(k % 2 == 1, 1.0).otherwise(-1.0)
     total = F.aggregate(ks, F.lit(0.0), lambda acc, k: acc + sign(k) * F.exp(-2.0 * k * k * lam * lam))
@@ -54,7 +54,8 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bin
     Both sides are counted per distinct value before any ordering. PSI uses equal
     widths over the reference range with open outer bins; Wasserstein is in
     reference standard deviations. ``auto`` judges by Wasserstein above 1000
-    reference rows and by the KS p-value below.
+    reference rows and by the KS p-value below. A column that is empty on one side
+    has no distance and counts as drifted.
     """
     require(reference, cols)
     require(current, cols)
@@ -64,14 +65,14 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bin
     known = long.filter("value IS NOT NULL AND NOT isnan(value)")
     counts, rows = settled(known.groupBy("column", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     v, a = F.col("value"), F.col("a")
-    mean = F.sum(v * a) / F.sum("a")
+    mean = F.try_divide(F.sum(v * a), F.sum("a"))
     first = counts.groupBy("column").agg(
         F.sum("a").alias("n_ref"), F.sum("b").alias("n_cur"), mean.alias("_mean"),
         F.min(F.when(a > 0, v)).alias("_lo"), F.max(F.when(a > 0, v)).alias("_hi"),
     )
     # One row per column, here and below.
     spread = counts.join(F.broadcast(first), "column").groupBy("column").agg(
-        F.sqrt(F.sum((v - F.col("_mean")) ** 2 * a) / F.max("n_ref")).alias("_std")
+        F.sqrt(F.try_divide(F.sum((v - F.col("_mean")) ** 2 * a), F.max("n_ref"))).alias("_std")
     )
     facts = first.join(F.broadcast(spread), "column")
     placed = counts.join(F.broadcast(facts), "column")
@@ -92,8 +93,8 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bin
     else:
         cum = running(counts, ["a", "b"], ["value"], ["column"], previous="value")
     cum = cum.join(F.broadcast(facts), "column")
-    gap = F.col("a_cum") / F.col("n_ref") - F.col("b_cum") / F.col("n_cur")
-    gap_before = (F.col("a_cum") - a) / F.col("n_ref") - (F.col("b_cum") - F.col("b")) / F.col("n_cur")
+    gap = F.try_divide("a_cum", "n_ref") - F.try_divide("b_cum", "n_cur")
+    gap_before = F.try_divide(F.col("a_cum") - a, F.col("n_ref")) - F.try_divide(F.col("b_cum") - F.col("b"), F.col("n_cur"))
     dist = cum.groupBy("column").agg(
         F.max(F.abs(gap)).alias("ks"),
         F.sum(F.abs(gap_before) * (v - F.col("value_before"))).alias("_w"),
@@ -101,7 +102,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bin
     )
     out = dist.join(F.broadcast(psi), "column").select(
         "column", "n_ref", "n_cur", "psi", "ks", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("ks_p"),
-        (F.coalesce("_w", F.lit(0.0)) / F.greatest(F.col("_std"), F.lit(0.001))).alias("wasserstein"),
+        (F.when(F.col("ks").isNotNull(), F.coalesce("_w", F.lit(0.0))) / F.greatest(F.col("_std"), F.lit(0.001))).alias("wasserstein"),
     )
     large = F.col("n_ref") > LARGE_SAMPLE
     by = {
@@ -114,7 +115,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bin
         drifted = F.when(large, by["wasserstein"][1]).otherwise(by["ks"][1])
     else:
         score, drifted = by[test]
-    return out.select("*", score.alias("drift_score"), drifted.alias("drifted"))
+    return out.select("*", score.alias("drift_score"), F.coalesce(drifted, F.lit(True)).alias("drifted"))
 
 
 def categorical_drift(reference: DataFrame, current: DataFrame, cols: list[str], test: str = "auto") -> DataFrame:
@@ -136,7 +137,7 @@ def categorical_drift(reference: DataFrame, current: DataFrame, cols: list[str],
     # One row per column.
     placed = counts.join(F.broadcast(totals), "column")
     a, b, na, nb = (F.col(c) for c in ("a", "b", "n_ref", "n_cur"))
-    pa, pb = a / na, b / nb
+    pa, pb = F.try_divide(a, na), F.try_divide(b, nb)
     m = (pa + pb) / 2
     part = lambda p: F.when(p > 0, p * F.log(p / m)).otherwise(0.0)
     expected = F.when(a > 0, pa * nb)
@@ -153,7 +154,7 @@ def categorical_drift(reference: DataFrame, current: DataFrame, cols: list[str],
         drifted = F.when(large, by["js"][1]).otherwise(by["psi"][1])
     else:
         score, drifted = by[test]
-    return out.select("*", score.alias("drift_score"), drifted.alias("drifted"))
+    return out.select("*", score.alias("drift_score"), F.coalesce(drifted, F.lit(True)).alias("drifted"))
 
 
 def column_drift(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str],

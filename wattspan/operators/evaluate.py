@@ -22,7 +22,7 @@ def relative_errors(df: DataFrame, y: str, prediction: str, benchmark_rmse: floa
     rmse = F.sqrt(F.avg((a - p) * (a - p)))
     return df.agg(
         cv_percent(a, p).alias("cv_pct"), rmse_ratio(a, p).alias("rmse_ratio"),
-        (rmse / F.stddev_samp(a)).alias("rmse_normalised"),
+        F.try_divide(rmse, F.stddev_samp(a)).alias("rmse_normalised"),
         ((F.lit(benchmark_rmse) - rmse) / F.lit(benchmark_rmse) * 100).alias("improvement_pct"),
     )
 
@@ -79,7 +79,7 @@ def improvement_over(table: DataFrame, model: str, metric: str, baseline: str) -
     """How much lower, in percent, the metric is than the baseline model's."""
     base = table.filter(qcol(model) == baseline).agg(F.max(qcol(metric))).scalar()
     out = table.select(qcol(model), qcol(metric)).withColumn("_b", base)
-    return out.withColumn("improvement_pct", (F.col("_b") - qcol(metric)) / F.col("_b") * 100).drop("_b")
+    return out.withColumn("improvement_pct", F.try_divide(F.col("_b") - qcol(metric), F.col("_b")) * 100).drop("_b")
 
 
 def worst_predictions(df: DataFrame, y: str, prediction: str, row_id: list[str], n: int = 10) -> DataFrame:

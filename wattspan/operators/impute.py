@@ -22,7 +22,7 @@ def _next(c: str) -> Column:
 def _between(c: str) -> Column:
     """Straight line between the nearest values on both sides, by row distance."""
     p, n = qcol(f"{c}_prev"), qcol(f"{c}_next")
-    share = (F.col("_g") - p.getField("at")) / (n.getField("at") - p.getField("at"))
+    share = F.try_divide(F.col("_g") - p.getField("at"), n.getField("at") - p.getField("at"))
     line = p.getField("val") + (n.getField("val") - p.getField("val")) * share
     return F.coalesce(qcol(c), line)
 

@@ -303,7 +303,7 @@ def cell_match(reference: DataFrame, cleaned: DataFrame, key: str, tolerance: fl
                 ("matches", F.col(f"m{i}")),
                 ("total", F.col("total")),
                 ("match_pct", F.when(F.col("total") > 0, F.col(f"m{i}") / F.col("total") * 100).otherwise(0.0)),
-                ("coverage_pct", F.col("total") / F.col("_ref") * 100),
+                ("coverage_pct", F.try_divide(F.col("total"), F.col("_ref")) * 100),
             ]
             for i, c in enumerate(cols)
         ],
@@ -473,11 +473,11 @@ def split_report(df: DataFrame, split: str, target: str, expected: dict[str, flo
     train = names[0]
     sizes_ok, leak_free, similar = F.lit(True), F.lit(True), F.lit(True)
     for s in names:
-        sizes_ok = sizes_ok & (F.abs(F.col(f"{s}_count") / F.col("total") - F.lit(expected[s])) <= tolerance)
+        sizes_ok = sizes_ok & (F.abs(F.try_divide(F.col(f"{s}_count"), F.col("total")) - F.lit(expected[s])) <= tolerance)
     for a, b in pairs:
         leak_free = leak_free & (F.col("_leaks").getField(f"{a}_{b}_overlap") == 0)
     for s in names[1:]:
-        similar = similar & (F.abs(F.col(f"{train}_mean") - F.col(f"{s}_mean")) / F.col(f"{train}_mean") < 0.10)
+        similar = similar & (F.try_divide(F.abs(F.col(f"{train}_mean") - F.col(f"{s}_mean")), F.col(f"{train}_mean")) < 0.10)
     return out.select(
         "total",
         *[f"{s}_count" for s in names],

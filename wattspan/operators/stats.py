@@ -119,7 +119,7 @@ def feature_statistics(df: DataFrame, features: list[str]) -> DataFrame:
                     [
                         ("type", F.lit("boolean")), ("column", F.lit(c)), ("true_count", F.col(f"t{i}")),
                         ("false_count", F.col("_n") - F.col(f"t{i}")),
-                        ("true_pct", F.col(f"t{i}") / F.col("_n") * 100),
+                        ("true_pct", F.try_divide(F.col(f"t{i}"), F.col("_n")) * 100),
                     ]
                     for i, c in enumerate(flags)
                 ],
@@ -173,7 +173,7 @@ def feature_types(df: DataFrame, exclude: list[str] = (), share: float = 0.10, a
     for f in fields:
         if f.name in texts:
             d = F.col(f"d{texts.index(f.name)}")
-            kind = F.when(d / F.col("_n") < share, "categorical").otherwise("excluded")
+            kind = F.when(F.try_divide(d, F.col("_n")) < share, "categorical").otherwise("excluded")
         elif isinstance(f.dataType, T.BooleanType):
             kind = F.lit("boolean")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
@@ -208,7 +208,7 @@ def weekend_effect(df: DataFrame, weekend: Column, value: str) -> DataFrame:
     saving = F.col("weekday_avg") - F.col("weekend_avg")
     return one.select(
         "weekend_avg", "weekday_avg",
-        ((F.col("weekend_avg") - F.col("weekday_avg")) / F.col("weekday_avg") * 100).alias("difference_pct"),
+        (F.try_divide(F.col("weekend_avg") - F.col("weekday_avg"), F.col("weekday_avg")) * 100).alias("difference_pct"),
         saving.alias("saving_per_hour"), (saving * 24).alias("saving_per_day"),
         # 104 weekend days a year.
         (saving * 24 * 104).alias("saving_per_year"),
