@@ -44,7 +44,7 @@ def ks_p_value(d: Column, na: Column, nb: Column, terms: int = 100) -> Column:
     sign = lambda k: F.when(k % 2 == 1, 1.0).otherwise(-1.0)
     total = F.aggregate(ks, F.lit(0.0), lambda acc, k: acc + sign(k) * F.exp(-2.0 * k * k * lam * lam))
     # The series does not converge near zero, where the probability is one.
-    return F.when(lam < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * total)))
+    return F.when(lam.isNull(), None).when(lam < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * total)))
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bins: int = 10, test: str = "auto",
@@ -143,7 +143,8 @@ def categorical_drift(reference: DataFrame, current: DataFrame, cols: list[str],
     expected = F.when(a > 0, pa * nb)
     out = placed.groupBy("column").agg(
         F.max(na).alias("n_ref"), F.max(nb).alias("n_cur"), _psi(a, na, b, nb).alias("psi"),
-        F.sqrt(F.greatest(F.lit(0.0), F.sum(part(pa) + part(pb)) / 2)).alias("js"),
+        F.when((F.max(na) > 0) & (F.max(nb) > 0), F.sqrt(F.greatest(F.lit(0.0), F.sum(part(pa) + part(pb)) / 2)))
+        .alias("js"),
         F.sum((b - expected) * (b - expected) / expected).alias("chi_square"),
         (F.count(F.lit(1)) - 1).alias("degrees"),
     )
