@@ -38,8 +38,15 @@ def estimator(kind: str, features: list[str], label: str, seed: int = 42, **para
 
 
 def train(df: DataFrame, kind: str, features: list[str], label: str, seed: int = 42, **params) -> Model:
+    """Fits on the feature and label columns only, kept across the passes of the fit."""
     require(df, [*features, label])
-    return estimator(kind, features, label, seed, **params).fit(df)
+    data = df.select(*qcols(dict.fromkeys([*features, label])))
+    kept = data if df.storageLevel.useMemory else data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator(kind, features, label, seed, **params).fit(kept)
+    finally:
+        if kept.is_cached:
+            kept.unpersist()
 
 
 def score(model: Model, df: DataFrame, name: str = "prediction") -> DataFrame:
