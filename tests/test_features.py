@@ -99,6 +99,8 @@ def test_samples_and_folds(population, spark):
     per = {r["s"]: r["count"] for r in s.groupBy("s").count().collect()}
     n = {r["s"]: r["count"] for r in population.groupBy("s").count().collect()}
     assert per == {k: int(400 * (v / 4000)) for k, v in n.items() if int(400 * (v / 4000))}
+    holes = population.withColumn("s", F.when(F.col("id") % 2 == 0, "a"))
+    assert split.stratified_sample(holes, "s", "id", 100).groupBy("s").count().collect() == [("a", 50)]
     folds = [r["count"] for r in split.kfold(population, "id", 7).groupBy("fold").count().collect()]
     assert len(folds) == 7 and max(folds) - min(folds) <= 1
     dist = split.stratum_distribution(population, "s").agg(F.sum("percentage")).first()[0]

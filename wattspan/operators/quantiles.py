@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from wattspan.functions.columns import qcols, require, unpivot
+from wattspan.functions.columns import qcol, qcols, require, rows_of, unpivot
 from wattspan.operators.order import running
 from wattspan.operators.small import checkpointed, join_settled, settled
 
@@ -38,26 +38,30 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list, by: list[str] =
     by = list(by)
     require(df, [*cols, *by])
     spec = _spec(probs, method)
-    long = unpivot(df, by, cols, "column", "value").filter("value IS NOT NULL AND NOT isnan(value)")
-    keys = [*by, "column"]
+    numbers = df.select(*qcols(by), *[F.nullif(qcol(c).cast("double"), F.lit(float("nan"))).alias(c) for c in cols])
     limit = WINDOW_ROWS if window_rows is None else window_rows
     for level in range(len(MARGINS)):
-        result = _attempt(long, keys, spec, level, limit)
+        result = _attempt(numbers, by, cols, spec, level, limit)
         if result.filter("_missed").limit(1).count() == 0:
             break
     return result.drop("_missed")
 
 
-def _attempt(long: DataFrame, keys: list[str], spec, level: int, window_rows: int) -> DataFrame:
+def _attempt(numbers: DataFrame, by: list[str], cols: list[str], spec, level: int, window_rows: int) -> DataFrame:
     """One pass with brackets no narrower than ``level``; small groups take a wider one at once."""
     k, margins = len(spec), MARGINS[level:]
     ends = [max(0.0, min(1.0, q + side * m)) for m in margins for side in (-1, 1) for q, _ in spec]
-    sketch, n_sketch = settled(
-        long.groupBy(*qcols(keys)).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("value", ends, ACCURACY).alias("_ends"),
-        )
+    keys = [*by, "column"]
+    # All columns are sketched in one scan of the wide rows.
+    wide = numbers.groupBy(*qcols(by)).agg(
+        *[F.count(qcol(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+        *[F.percentile_approx(qcol(c), ends, ACCURACY).alias(f"e{i}") for i, c in enumerate(cols)],
     )
+    entries = [
+        [("column", F.lit(c)), ("n", F.col(f"n{i}")), ("_ends", F.col(f"e{i}"))] for i, c in enumerate(cols)
+    ]
+    sketch, n_sketch = settled(rows_of(wide, entries, by).filter("n > 0"))
+    long = unpivot(numbers, by, cols, "column", "value").filter("value IS NOT NULL")
     joined = join_settled(long, sketch, n_sketch, keys)
     pick = F.lit(len(margins) - 1)
     for j in reversed(range(len(margins) - 1)):

@@ -129,10 +129,10 @@ def temporal_split(df: DataFrame, date: str, id_col: str, train: float = 0.70, v
 
 
 def stratified_sample(df: DataFrame, stratum: str, id_col: str, size: int, seed: int = 42) -> DataFrame:
-    """``int(size * share)`` rows of every stratum."""
+    """``int(size * share)`` rows of every stratum; rows without a stratum count in the total only."""
     total = df.agg(F.count(F.lit(1))).first()[0]
     quota = F.floor(F.lit(size) * (F.col("_n") / F.lit(total)))
-    cut = _with_cuts(df, id_col, seed, [stratum], [quota])
+    cut = _with_cuts(df.filter(qcol(stratum).isNotNull()), id_col, seed, [stratum], [quota])
     return cut.filter(F.col("_md5") <= F.col("cut0")).drop("_md5", "cut0")
 
 

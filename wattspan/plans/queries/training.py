@@ -131,13 +131,13 @@ _FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 
 
 def frame(spark, sf):
-    """Items with their part: a unique id, numeric features and the price."""
+    """Items with their part: an id of the item's content, numeric features and the price."""
     li = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate", _Y)
     part = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
     joined = li.join(part, li.l_partkey == part.p_partkey)
     key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", _Y, "l_shipdate", "l_discount", "l_tax"]
-    return joined.select(F.concat_ws("|", *[F.col(c).cast("string") for c in key]).alias("id"), *_FEATURES, _Y).dropDuplicates(["id"])
+    return joined.select(F.xxhash64(*key).alias("id"), *_FEATURES, _Y).dropDuplicates(["id"])
 
 
 _SMALL = {"maxIter": 5, "maxDepth": 3}
