@@ -40,7 +40,10 @@ def duck(sf: str):
 
 def plain(v):
     if isinstance(v, float):
-        return "NaN" if math.isnan(v) else float(v)
+        if math.isnan(v):
+            return "NaN"
+        # Value hashes tell the two zeros apart.
+        return "-0.0" if v == 0 and math.copysign(1, v) < 0 else float(v)
     if isinstance(v, (list, tuple)):
         return tuple(plain(x) for x in v)
     if isinstance(v, dict):
