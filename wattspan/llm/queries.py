@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattspan.llm import packing, records, token_counts
+from wattspan.llm import line_dedup, packing, records, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,24 @@ def op4(spark, sf):
 @query("op8_packing")
 def op8(spark, sf):
     return packing.pack(documents(spark, sf)).drop("ids")
+
+
+@query("op10_line_dedup", """
+WITH lines AS (
+  SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
+), frequent AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT doc_id, i, line, coalesce(doc_id <> keeper, FALSE) AS dropped FROM lines LEFT JOIN frequent USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""")
+def op10(spark, sf):
+    out = line_dedup.dedup_lines(documents(spark, sf))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
