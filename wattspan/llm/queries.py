@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattspan.llm import line_dedup, near_dups, packing, records, token_counts
+from wattspan.llm import line_dedup, near_dups, packing, records, token_counts, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +82,10 @@ FROM reach LEFT JOIN sizes ON a = sizes.doc_id GROUP BY a
 """)
 def op6(spark, sf):
     return near_dups.near_duplicates(documents(spark, sf))
+
+
+@query("op1_suffix_dedup")
+def op1(spark, sf):
+    out = substrings.remove_repeats(documents(spark, sf))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
