@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattspan.llm import line_dedup, near_dups, packing, records, token_counts, substrings
+from wattspan.llm import (
+    line_dedup, near_dups, packing, quality_rules, records, substrings, token_counts, url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +91,31 @@ def op1(spark, sf):
     out = substrings.remove_repeats(documents(spark, sf))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_url_filters", r"""
+WITH parts AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), rules(action, rule, h, p) AS (VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
+  ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'),
+  ('block', 'com/de/', 'com', '/de/')
+), fits AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
+  FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id
+), others AS (
+  SELECT page_id, host, path, regexp_matches(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '://([^/?#]*[.-])?(casino[.-]|bets[.-]|cheap-pills\.)|[/.]login([/?#.]|$)|[?&]session=[0-9a-f]+') AS bad FROM parts
+)
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict
+FROM others LEFT JOIN fits USING (page_id)
+""")
+def op3(spark, sf):
+    return url_filters.judge_urls(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
+@query("op5_quality_rules")
+def op5(spark, sf):
+    return quality_rules.judge_quality(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
