@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattspan.llm import (
-    line_dedup, near_dups, packing, quality_rules, records, substrings, token_counts, url_filters,
+    decontaminate, line_dedup, near_dups, packing, quality_rules, records, substrings, token_counts, url_filters,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,47 @@ def op3(spark, sf):
 @query("op5_quality_rules")
 def op5(spark, sf):
     return quality_rules.judge_quality(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+@query("op9_decontamination", r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark
+), tokens AS (
+  SELECT kind, id, regexp_extract_all(text, '\p{L}+|[0-9]+(?:[.,][0-9]+)*|[%$€£°]') AS t FROM texts
+), forms AS (
+  SELECT *, list_transform(t, lambda x: CASE WHEN regexp_matches(x, '^[0-9]') THEN '<num>'
+    WHEN regexp_matches(x, '^\p{Lu}') THEN '<name>'
+    WHEN regexp_matches(x, '^(?:[%$€£°]|mm|cm|m|km|mg|g|kg|ml|l|s|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|feet|inch(?:es)?|liters?|litres?|grams?|kilograms?|pounds?|dollars?|euros?|cents?)$') THEN '<unit>'
+    ELSE lower(x) END) AS f FROM tokens
+), windows AS (
+  SELECT kind, id, p, f[p:p + 7] AS w, t[p:p + 7] AS v
+  FROM (SELECT *, unnest(range(1, len(t) - 6)) AS p FROM forms WHERE len(t) >= 8)
+), items AS (
+  SELECT *, count(*) OVER (PARTITION BY id) AS many FROM windows
+  WHERE kind = 'b' AND len(list_filter(w, lambda x: x[1] <> '<')) >= 4
+), found AS MATERIALIZED (
+  SELECT d.id AS doc, i.id AS item, d.p - i.p AS gap, i.p AS ipos, i.v AS iv, d.v AS dv, many, i.w AS w
+  FROM windows d JOIN items i ON d.kind = 'd' AND d.w = i.w
+), counts AS (
+  SELECT doc, item, gap, count(DISTINCT ipos) AS n, max(many) AS many FROM found GROUP BY ALL
+  HAVING count(DISTINCT ipos) >= least(6, max(many))
+), slots AS (
+  SELECT DISTINCT doc, item, gap, ipos + k AS slot, iv[k] AS i, dv[k] AS d
+  FROM (SELECT *, unnest(range(1, 9)) AS k FROM found) WHERE w[k][1] = '<'
+), pairs AS (SELECT doc, item, gap, i, d, count(*) AS n FROM slots GROUP BY ALL
+), agreed AS (
+  SELECT doc, item, gap, sum(s) AS n_slots, sum(m) AS agree, sum(c) AS changed
+  FROM (SELECT doc, item, gap, i, sum(n) AS s, max(n) AS m, sum(CASE WHEN i <> d THEN n ELSE 0 END) AS c
+    FROM pairs GROUP BY ALL) GROUP BY ALL
+), good AS (
+  SELECT doc, item, n, coalesce(n_slots, 0) AS n_slots, coalesce(changed, 0) AS changed
+  FROM counts LEFT JOIN agreed USING (doc, item, gap) WHERE coalesce(agree, 0) >= 0.8 * coalesce(n_slots, 0)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY doc, item ORDER BY n DESC, changed, n_slots DESC) AS k FROM good
+)
+SELECT doc AS doc_id, item AS item_id, n AS n_windows, n_slots::BIGINT AS n_slots, changed::BIGINT AS n_changed
+FROM ranked WHERE k = 1
+""")
+def op9(spark, sf):
+    return decontaminate.hits(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
