@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattspan.llm import (
-    decontaminate, line_dedup, near_dups, packing, quality_rules, records, substrings, token_counts, url_filters,
+    decontaminate, licenses, line_dedup, near_dups, packing, quality_rules, records, substrings, token_counts, url_filters,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,8 @@ FROM ranked WHERE k = 1
 """)
 def op9(spark, sf):
     return decontaminate.hits(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+@query("op7_license_scans")
+def op7(spark, sf):
+    return licenses.scan_licenses(documents(spark, sf))
