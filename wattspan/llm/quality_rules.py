@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattspan.functions.columns import qcol
+from wattspan.functions.columns import qcol, require
 from wattspan.llm.frames import texts
 
 BUCKETS = 1 << 14
@@ -45,17 +45,17 @@ def _without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
-def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``_id``, ``_text`` (null as empty) and the base counts."""
-    slim = texts(docs, id_col, text_col).select("_id", F.coalesce("_text", F.lit("")).alias("_text"))
-    split = slim.select("_id", "_text", words_of(F.col("_text")).alias("_w"))
+def described(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``_doc`` (the whole row), ``_text`` (null as empty) and the base counts."""
+    slim = docs.select(F.struct("*").alias("_doc"), F.coalesce(qcol(text_col).cast("string"), F.lit("")).alias("_text"))
+    split = slim.select("_doc", "_text", words_of(F.col("_text")).alias("_w"))
     n = F.size("_w")
     windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
         F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)))).otherwise(F.array().cast("array<bigint>"))
-    hashed = split.select("_id", "_text", n.alias("_n"), windows.alias("_h"))
+    hashed = split.select("_doc", "_text", n.alias("_n"), windows.alias("_h"))
     lines = F.filter(F.split("_text", "\n", -1), lambda x: F.translate(x, WORD_SPACE, "") != "")
     counted = hashed.select(
-        "_id", "_text", F.col("_n").cast("bigint").alias("n_words"),
+        "_doc", "_text", F.col("_n").cast("bigint").alias("n_words"),
         F.length(_without(F.col("_text"), WORD_SPACE)).cast("bigint").alias("word_chars"),
         (F.length("_text") - F.length(_without(F.col("_text"), SYMBOLS))).cast("bigint").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
@@ -71,7 +71,7 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         lambda acc, p: F.struct(p.alias("last"), (acc["n"] + F.least(F.lit(3), p - acc["last"])).alias("n")),
         lambda acc: acc["n"])
     return shared.select(
-        "_id", "_text", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "_doc", "_text", "n_words", "word_chars", "n_symbols", "n_dup_lines",
         F.coalesce(covered, F.lit(0).cast("bigint")).alias("n_repeat_words"))
 
 
@@ -114,17 +114,30 @@ def log_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     return out
 
 
-def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  least_score: float = LEAST_SCORE) -> DataFrame:
-    """Per row: the id, the base counts, ``base_failed``, ``score`` and ``kept``."""
+def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           least_score: float = LEAST_SCORE) -> DataFrame:
+    """``_doc``, the base counts, ``base_failed``, ``score`` and ``kept``."""
     ratios = log_ratios(docs, labels, id_col, text_col)
     # One constant array; the optimizer folds it.
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    buckets = with_buckets(described(docs, id_col, text_col))
+    buckets = with_buckets(described(docs, text_col))
     total = F.aggregate("_b", F.lit(0.0), lambda acc, b: acc + F.get(table, b))
     score = F.when(F.size("_b") > 0, total / F.size("_b")).otherwise(F.lit(0.0))
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     scored = buckets.withColumns({"score": score, "base_failed": failed}).drop("_b")
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least_score)).withColumnRenamed(
-        "_id", id_col)
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least_score))
+
+
+def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  least_score: float = LEAST_SCORE) -> DataFrame:
+    """Per row: the id, the base counts, ``base_failed``, ``score`` and ``kept``."""
+    require(docs, [id_col, text_col])
+    out = judged(docs, labels, id_col, text_col, least_score)
+    return out.select(F.col("_doc")[id_col].alias(id_col), *out.drop("_doc").columns)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows that are kept, with their own columns; they are judged where they are, without a join."""
+    return judged(docs, labels, id_col, text_col, least_score).filter("kept").select("_doc.*")
