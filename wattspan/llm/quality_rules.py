@@ -140,4 +140,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               least_score: float = LEAST_SCORE) -> DataFrame:
     """The rows that are kept, with their own columns; they are judged where they are, without a join."""
-    return judged(docs, labels, id_col, text_col, least_score).filter("kept").select("_doc.*")
+    # The optimizer does not move a filter below a column that is not deterministic. Moved down, this one would hold the
+    # whole score, which splits the text anew for each token.
+    out = judged(docs, labels, id_col, text_col, least_score).withColumn("_part", F.spark_partition_id())
+    return out.filter("kept AND _part >= 0").select("_doc.*")
