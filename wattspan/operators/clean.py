@@ -95,8 +95,11 @@ def map_values(df: DataFrame, column: str, mapping: dict[str, str]) -> DataFrame
 
 
 def map_values_from(df: DataFrame, column: str, table: DataFrame, key: str, value: str) -> DataFrame:
-    """As :func:`map_values` with the corrections in a table of any size."""
-    side = table.select(qcol(key).alias(column), qcol(value).alias("_to"))
+    """As :func:`map_values` with the corrections in a table of any size.
+
+    Of several corrections for one key the smallest counts; a null key corrects nothing.
+    """
+    side = table.filter(qcol(key).isNotNull()).groupBy(qcol(key).alias(column)).agg(F.min(qcol(value)).alias("_to"))
     out = join_small(df, side, [column], "left")
     return set_columns(out, {column: F.coalesce(F.col("_to"), qcol(column))}).drop("_to")
 

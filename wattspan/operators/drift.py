@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattspan.functions.columns import qcol, qcols, require, unpivot
 from wattspan.operators.order import running
-from wattspan.operators.small import settled
+from wattspan.operators.small import checkpointed
 
 # Thresholds of the monitoring configuration.
 PSI_THRESHOLD = 0.2
@@ -14,14 +14,12 @@ KS_P_THRESHOLD = 0.05
 WASSERSTEIN_THRESHOLD = 0.1
 JS_THRESHOLD = 0.1
 DATASET_SHARE = 0.5
+DRIFT_SCORE = 0.7
 FEATURE_SCORE = 0.5
 RMSE_DEGRADATION = 0.15
 WARNING_FACTOR = 0.7
-LARGE_SAMPLE = 1000
 MIN_SHARE = 1e-4
 
-WINDOW_ROWS = 500_000
-
 
 def _sides(parts: list[DataFrame]) -> DataFrame:
     ref, cur = parts
@@ -47,23 +45,23 @@ def ks_p_value(d: Column, na: Column, nb: Column, terms: int = 100) -> Column:
     return F.when(lam.isNull(), None).when(lam < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * total)))
 
 
-def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bins: int = 10, test: str = "auto",
-                  window_rows: int | None = None) -> DataFrame:
+def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bins: int = 10,
+                  test: str = "wasserstein") -> DataFrame:
     """PSI, Kolmogorov-Smirnov and normalised Wasserstein distance per numeric column.
 
     Both sides are counted per distinct value before any ordering. PSI uses equal
     widths over the reference range with open outer bins; Wasserstein is in
-    reference standard deviations. ``auto`` judges by Wasserstein above 1000
-    reference rows and by the KS p-value below. A column that is empty on one side
-    has no distance and counts as drifted.
+    reference standard deviations. ``test`` names the measure that judges; all are
+    reported. A column that is empty on one side has no distance and counts as
+    drifted.
     """
     require(reference, cols)
     require(current, cols)
-    if test not in ("auto", "psi", "ks", "wasserstein"):
+    if test not in ("psi", "ks", "wasserstein"):
         raise ValueError(f"unknown test {test}")
     long = _sides([unpivot(df, [], cols, "column", "value") for df in (reference, current)])
     known = long.filter("value IS NOT NULL AND NOT isnan(value)")
-    counts, rows = settled(known.groupBy("column", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    counts = checkpointed(known.groupBy("column", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     v, a = F.col("value"), F.col("a")
     mean = F.try_divide(F.sum(v * a), F.sum("a"))
     first = counts.groupBy("column").agg(
@@ -83,15 +81,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bin
     )
     # Bins that both sides leave empty add nothing.
     psi = binned.groupBy("column").agg(_psi(F.col("a"), F.col("n_ref"), F.col("b"), F.col("n_cur")).alias("psi"))
-    if rows <= (WINDOW_ROWS if window_rows is None else window_rows):
-        w = W.partitionBy("column").orderBy("value")
-        upto = w.rowsBetween(W.unboundedPreceding, 0)
-        cum = counts.select(
-            "*", F.sum("a").over(upto).alias("a_cum"), F.sum("b").over(upto).alias("b_cum"),
-            F.lag("value").over(w).alias("value_before"),
-        )
-    else:
-        cum = running(counts, ["a", "b"], ["value"], ["column"], previous="value")
+    cum = running(counts, ["a", "b"], ["value"], ["column"], previous="value")
     cum = cum.join(F.broadcast(facts), "column")
     gap = F.try_divide("a_cum", "n_ref") - F.try_divide("b_cum", "n_cur")
     gap_before = F.try_divide(F.col("a_cum") - a, F.col("n_ref")) - F.try_divide(F.col("b_cum") - F.col("b"), F.col("n_cur"))
@@ -104,35 +94,30 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bin
         "column", "n_ref", "n_cur", "psi", "ks", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("ks_p"),
         (F.when(F.col("ks").isNotNull(), F.coalesce("_w", F.lit(0.0))) / F.greatest(F.col("_std"), F.lit(0.001))).alias("wasserstein"),
     )
-    large = F.col("n_ref") > LARGE_SAMPLE
     by = {
         "psi": (F.col("psi"), F.col("psi") >= PSI_THRESHOLD),
         "ks": (F.col("ks_p"), F.col("ks_p") < KS_P_THRESHOLD),
         "wasserstein": (F.col("wasserstein"), F.col("wasserstein") >= WASSERSTEIN_THRESHOLD),
     }
-    if test == "auto":
-        score = F.when(large, by["wasserstein"][0]).otherwise(by["ks"][0])
-        drifted = F.when(large, by["wasserstein"][1]).otherwise(by["ks"][1])
-    else:
-        score, drifted = by[test]
+    score, drifted = by[test]
     return out.select("*", score.alias("drift_score"), F.coalesce(drifted, F.lit(True)).alias("drifted"))
 
 
-def categorical_drift(reference: DataFrame, current: DataFrame, cols: list[str], test: str = "auto") -> DataFrame:
+def categorical_drift(reference: DataFrame, current: DataFrame, cols: list[str], test: str = "js") -> DataFrame:
     """PSI, Jensen-Shannon distance and chi-square statistic per text column.
 
-    ``auto`` judges by Jensen-Shannon above 1000 reference rows and by PSI below.
+    ``test`` names the measure that judges.
     """
     require(reference, cols)
     require(current, cols)
-    if test not in ("auto", "psi", "js"):
+    if test not in ("psi", "js"):
         raise ValueError(f"unknown test {test}")
     parts = [
         df.select(*[qcol(c).cast("string").alias(c) for c in cols]).unpivot([], qcols(cols), "column", "category")
         for df in (reference, current)
     ]
     known = _sides(parts).filter(F.col("category").isNotNull())
-    counts, _ = settled(known.groupBy("column", "category").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    counts = checkpointed(known.groupBy("column", "category").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     totals = counts.groupBy("column").agg(F.sum("a").alias("n_ref"), F.sum("b").alias("n_cur"))
     # One row per column.
     placed = counts.join(F.broadcast(totals), "column")
@@ -148,27 +133,20 @@ def categorical_drift(reference: DataFrame, current: DataFrame, cols: list[str],
         F.sum((b - expected) * (b - expected) / expected).alias("chi_square"),
         (F.count(F.lit(1)) - 1).alias("degrees"),
     )
-    large = F.col("n_ref") > LARGE_SAMPLE
     by = {"psi": (F.col("psi"), F.col("psi") >= PSI_THRESHOLD), "js": (F.col("js"), F.col("js") >= JS_THRESHOLD)}
-    if test == "auto":
-        score = F.when(large, by["js"][0]).otherwise(by["psi"][0])
-        drifted = F.when(large, by["js"][1]).otherwise(by["psi"][1])
-    else:
-        score, drifted = by[test]
+    score, drifted = by[test]
     return out.select("*", score.alias("drift_score"), F.coalesce(drifted, F.lit(True)).alias("drifted"))
 
 
 def column_drift(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str],
-                 test: str = "auto") -> DataFrame:
+                 numeric_test: str = "wasserstein", categorical_test: str = "js") -> DataFrame:
     """Both kinds of column in one report (column, kind, drift_score, drifted)."""
     parts = []
     if numeric:
-        n_test = test if test != "js" else "auto"
-        parts.append(numeric_drift(reference, current, numeric, test=n_test).select(
+        parts.append(numeric_drift(reference, current, numeric, test=numeric_test).select(
             "column", F.lit("numeric").alias("kind"), "drift_score", "drifted"))
     if categorical:
-        c_test = test if test in ("psi", "js") else "auto"
-        parts.append(categorical_drift(reference, current, categorical, test=c_test).select(
+        parts.append(categorical_drift(reference, current, categorical, test=categorical_test).select(
             "column", F.lit("categorical").alias("kind"), "drift_score", "drifted"))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
@@ -194,7 +172,7 @@ def drifted_features(columns: DataFrame, threshold: float = FEATURE_SCORE) -> Da
     return kept.select("column", "drift_score").orderBy(F.desc("drift_score"), "column")
 
 
-def alert(run: DataFrame, reference_rmse: float | None = None, drift_score: float = 0.5, share: float = 0.5,
+def alert(run: DataFrame, reference_rmse: float | None = None, drift_score: float = DRIFT_SCORE, share: float = 0.5,
           degradation: float = RMSE_DEGRADATION, feature_score: float = FEATURE_SCORE) -> DataFrame:
     """Adds RMSE degradation, severity and the features to name in an alert.
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wattspan.functions.columns import qcol, qcols
 from wattspan.functions.metrics import cv_percent, metric_columns, rmse_ratio
 from wattspan.operators.corr import correlation_matrix
-from wattspan.operators.small import null_safe_join
 
 
 def metrics(df: DataFrame, y: str, prediction: str, by: list[str] = ()) -> DataFrame:
@@ -58,14 +57,9 @@ def compare_models(long: DataFrame, model: str, y: str, prediction: str, split:
     """Metric table per model (and split) with the smallest RMSE flagged."""
     by = [split, model] if split else [model]
     table = metrics(long, y, prediction, by)
-    best = F.min_by(qcol(model), F.struct(F.col("rmse"), qcol(model))).alias("_best")
-    if split:
-        # One row per split, and the table has one per (split, model).
-        winners = table.groupBy(qcol(split)).agg(best)
-        out = null_safe_join(table, winners, [split])
-    else:
-        out = table.withColumn("_best", table.agg(best).scalar())
-    return out.withColumn("is_best", qcol(model) == F.col("_best")).drop("_best")
+    # One row per model and split goes through this window.
+    place = F.row_number().over((W.partitionBy(qcol(split)) if split else W.partitionBy()).orderBy("rmse", qcol(model)))
+    return table.withColumn("is_best", place == 1)
 
 
 def summary_by_type(table: DataFrame, kind: str, names: list[str]) -> DataFrame:

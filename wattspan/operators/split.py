@@ -13,7 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from wattspan.functions.columns import qcol, qcols, require
+from wattspan.functions.columns import numeric_columns, qcol, qcols, require
 from wattspan.functions.hashing import seeded_md5, unit_interval
 from wattspan.operators.order import with_position
 from wattspan.operators.small import checkpointed, join_small, scalar_row
@@ -32,12 +32,19 @@ def _check_sizes(*sizes: float) -> None:
 
 
 def equal_width_bin(df: DataFrame, target: str, bins: int, name: str = "_bin") -> DataFrame:
-    """1-based equal-width bin of the target; the maximum falls in the last bin."""
-    ends = scalar_row(df.agg(F.min(qcol(target)).cast("double").alias("lo"), F.max(qcol(target)).cast("double").alias("hi")))
+    """1-based equal-width bin of the target; the maximum falls in the last bin.
+
+    Infinite values fall in the outer bins, null and NaN in bin 0, a bin of their own.
+    """
+    v = qcol(target).cast("double")
+    known = v.isNotNull() & ~F.isnan(v)
+    finite = F.when(known & (F.abs(v) < float("inf")), v)
+    ends = scalar_row(df.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi")))
     out = df.withColumn("_ends", ends)
     lo, hi = F.col("_ends").getField("lo"), F.col("_ends").getField("hi")
-    at = F.floor((qcol(target) - lo) * F.lit(bins) / (hi - lo)) + 1
-    return out.withColumn(name, F.when(hi > lo, F.least(at, F.lit(bins))).otherwise(1).cast("int")).drop("_ends")
+    at = F.floor((v - lo) * F.lit(bins) / (hi - lo)) + 1
+    place = F.when(v == float("inf"), bins).when(v == float("-inf"), 1).when(hi > lo, F.least(at, F.lit(bins))).otherwise(1)
+    return out.withColumn(name, F.when(known, place).otherwise(0).cast("int")).drop("_ends")
 
 
 def hash_cuts(df: DataFrame, digest: str, by: list[str], quotas: list[Column]) -> DataFrame:
@@ -90,10 +97,16 @@ def _with_cuts(df: DataFrame, id_col: str, seed: int, by: list[str], quotas: lis
 
 def stratified_split(df: DataFrame, target: str, id_col: str, train: float = 0.70, val: float = 0.15,
                      test: float = 0.15, bins: int = 10, seed: int = 42, name: str = "split") -> DataFrame:
-    """Adds the split label, with the shares kept in every equal-width bin of the target."""
+    """Adds the split label, with the shares kept in every stratum of the target.
+
+    Strata are the equal-width bins of a number, and the values of any other type; null is a stratum of its own.
+    """
     _check_sizes(train, val, test)
     require(df, [target])
-    binned = equal_width_bin(df, target, bins)
+    if target in numeric_columns(df):
+        binned = equal_width_bin(df, target, bins)
+    else:
+        binned = df.withColumn("_bin", qcol(target))
     n = F.col("_n")
     cut = _with_cuts(binned, id_col, seed, ["_bin"], [F.round(n * train), F.round(n * (train + val))])
     label = F.when(F.col("_md5") <= F.col("cut0"), "train").when(F.col("_md5") <= F.col("cut1"), "val").otherwise("test")

@@ -228,10 +228,12 @@ def series_by_time(df: DataFrame, time: Column, value: str, how: str = "mean") -
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """Equal-width bins with counts, empty bins included; the last bin is closed."""
-    v = qcol(column)
-    ends = scalar_row(df.agg(F.min(v).cast("double").alias("lo"), F.max(v).cast("double").alias("hi")))
-    placed = df.filter(v.isNotNull()).select(v.cast("double").alias("v"), ends.alias("_e"))
+    """Equal-width bins with counts, empty bins included; the last bin is closed. Null, NaN and infinite values are
+    not counted."""
+    v = qcol(column).cast("double")
+    finite = F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
+    ends = scalar_row(df.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi")))
+    placed = df.select(finite.alias("v"), ends.alias("_e")).filter("v IS NOT NULL")
     lo, hi = F.col("_e").getField("lo"), F.col("_e").getField("hi")
     index = F.when(hi > lo, F.least(F.floor((F.col("v") - lo) / ((hi - lo) / bins)), F.lit(bins - 1))).otherwise(0)
     counts = placed.groupBy(index.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wattspan.functions.columns import qcol, qcols, require
@@ -35,13 +34,15 @@ def decompose(df: DataFrame, keys: list[str], order_by: list[str], value: str, p
     pos = _series(df, keys, order_by, value)
     blocked = in_blocks(pos, "pos", half, half, block)
     w = W.partitionBy(*qcols(keys), "_block").orderBy("pos")
-    # Sums of a moving window as differences of one running sum: the cost does not grow with the period.
-    summed = blocked.withColumn("_sum", F.sum("observed").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    total = F.lead("_sum", half).over(w) - F.coalesce(F.lag("_sum", half + 1).over(w), F.lit(0.0))
-    if period % 2 == 0:
-        total = total - (F.lag("observed", half).over(w) + F.lead("observed", half).over(w)) / 2
-    trend = F.when(F.col("pos") >= half, total / period)
-    trended = summed.withColumn("trend", trend).filter("_home").drop("_home", "_block", "_sum")
+    # Each frame is summed by itself: a difference of running sums would carry a spike through the whole block.
+    lag, lead = F.lag("observed", half).over(w), F.lead("observed", half).over(w)
+    if period % 2:
+        total = F.sum("observed").over(w.rowsBetween(-half, half))
+    else:
+        inner = F.sum("observed").over(w.rowsBetween(1 - half, half - 1))
+        total = inner + lag / 2 + lead / 2
+    trend = F.when((F.col("pos") >= half) & lead.isNotNull(), total / period)
+    trended = blocked.withColumn("trend", trend).filter("_home").drop("_home", "_block")
     trended = checkpointed(trended.withColumn("phase", (F.col("pos") % period).cast("int")))
     phases = trended.filter("trend IS NOT NULL").groupBy(*qcols(keys), "phase").agg(
         F.avg(F.col("observed") - F.col("trend")).alias("_raw")
@@ -124,23 +125,31 @@ def autocorrelation(df: DataFrame, keys: list[str], order_by: list[str], value:
 
 
 def partial_autocorrelation(acf: DataFrame, keys: list[str]) -> DataFrame:
-    """PACF by the Durbin-Levinson recursion on the ACF rows of each series."""
-    def recursion(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        rho = pdf["acf"].to_numpy()
-        out, prev = [1.0], []
-        for k in range(1, len(rho)):
-            num = rho[k] - sum(prev[j] * rho[k - 1 - j] for j in range(k - 1))
-            den = 1.0 - sum(prev[j] * rho[j + 1] for j in range(k - 1))
-            last = num / den if den else 0.0
-            prev = [prev[j] - last * prev[k - 2 - j] for j in range(k - 1)] + [last]
-            out.append(last)
-        return pdf.assign(pacf=out)[[*keys, "lag", "pacf"]]
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in acf.schema.fields if f.name in keys)
-    return acf.select(*qcols(keys), "lag", "acf").groupBy(*qcols(keys)).applyInPandas(
-        recursion, f"{fields}, lag int, pacf double"
-    )
+    """PACF by the Durbin-Levinson recursion on the ACF rows of each series, with a 95 % band.
+
+    The autocorrelations have divisor n, so the recursion gives the Yule-Walker estimate without adjustment.
+    """
+    # ``lags`` + 1 values per series.
+    ordered = F.array_sort(F.collect_list(F.struct("lag", "acf")))
+    rows = acf.groupBy(*qcols(keys)).agg(F.max("n").alias("n"), F.transform(ordered, lambda x: x["acf"]).alias("_r"))
+    add = lambda x, y: x + y
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), add)
+
+    def step(state: Column, k: Column) -> Column:
+        phi = state["phi"]
+        # Autocorrelations of lags 1 to k - 1.
+        earlier = F.slice("_r", F.lit(2), k - 1)
+        below = 1.0 - dot(phi, earlier)
+        last = F.when(below != 0, (F.get("_r", k) - dot(phi, F.reverse(earlier))) / below).otherwise(0.0)
+        moved = F.zip_with(phi, F.reverse(phi), lambda p, q: p - last * q)
+        return F.struct(F.concat(moved, F.array(last)).alias("phi"), F.concat(state["out"], F.array(last)).alias("out"))
+
+    none = F.array().cast("array<double>")
+    start = F.struct(none.alias("phi"), F.array(F.lit(1.0)).alias("out"))
+    lags = F.filter(F.sequence(F.lit(0), F.size("_r") - 1), lambda k: k > 0)
+    out = rows.select(*qcols(keys), "n", F.posexplode(F.aggregate(lags, start, step, lambda s: s["out"])).alias("lag", "pacf"))
+    band = F.when(F.col("lag") > 0, F.lit(1.959963984540054) / F.sqrt("n")).otherwise(0.0)
+    return out.select(*qcols(keys), "lag", "pacf", band.alias("band"))
 
 
 def pack_series(df: DataFrame, keys: list[str], order_by: list[str], target: str, past: list[str] = (),

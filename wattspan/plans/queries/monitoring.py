@@ -54,8 +54,8 @@ _NUMERIC = f"""WITH {_HALVES}, {', '.join(_num_ctes(c) for c in _NUM)}, d AS ({'
   l AS (SELECT *, (en + 0.12 + 0.11 / en) * ks AS lam FROM e),
   p AS (SELECT *, CASE WHEN lam < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * list_sum(list_transform(range(1, 101),
     lambda k: CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0::DOUBLE * k * k * lam * lam))))) END AS ks_p FROM l),
-  num AS (SELECT "column", n_ref, n_cur, psi, ks, ks_p, wasserstein, CASE WHEN n_ref > 1000 THEN wasserstein ELSE ks_p END AS drift_score,
-    CASE WHEN n_ref > 1000 THEN wasserstein >= 0.1 ELSE ks_p < 0.05 END AS drifted FROM p)"""
+  num AS (SELECT "column", n_ref, n_cur, psi, ks, ks_p, wasserstein, wasserstein AS drift_score,
+    wasserstein >= 0.1 AS drifted FROM p)"""
 
 
 @query("r1_numeric_drift", _NUMERIC + """ SELECT "column", n_ref, n_cur, round(psi, 6) AS psi, round(ks, 6) AS ks, round(ks_p, 6) AS ks_p,
@@ -78,8 +78,8 @@ def _cat_sql(name, c):
 
 
 _CATEGORICAL = " UNION ALL ".join(_cat_sql(n, c) for n, c in _CATS)
-_CAT = f"""cat AS (SELECT *, CASE WHEN n_ref > 1000 THEN js ELSE psi END AS drift_score,
-  CASE WHEN n_ref > 1000 THEN js >= 0.1 ELSE psi >= 0.2 END AS drifted FROM ({_CATEGORICAL}))"""
+_CAT = f"""cat AS (SELECT *, js AS drift_score,
+  js >= 0.1 AS drifted FROM ({_CATEGORICAL}))"""
 
 
 @query("r2_categorical_drift", f"""WITH {_HALVES}, {_CAT} SELECT "column", n_ref, n_cur, round(psi, 6) AS psi, round(js, 6) AS js,

@@ -76,8 +76,9 @@ def _(spark, sf):
     SELECT event_type, r, k + 1, list_concat(list_transform(range(1, k + 1), lambda j: phi[j] - q * phi[k + 1 - j]), [q]), q
     FROM (SELECT *, (r[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])))
       / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1]))) AS q FROM d WHERE k < {_LAGS}))
-  SELECT event_type, 0 AS lag, 1.0::DOUBLE AS pacf FROM r UNION ALL
-  SELECT event_type, CAST(k AS INTEGER), round(p, 6) + 0 FROM d""")
+  SELECT event_type, 0 AS lag, 1.0::DOUBLE AS pacf, 0.0::DOUBLE AS band FROM r UNION ALL
+  SELECT event_type, CAST(k AS INTEGER), round(p, 6) + 0, round(1.959963984540054 / sqrt(n), 6)
+  FROM d JOIN (SELECT event_type, max(n) AS n FROM acf GROUP BY 1) USING (event_type)""")
 def _(spark, sf):
     acf = tseries.autocorrelation(table(spark, sf, "events"), ["event_type"], _ORDER, "value", _LAGS)
     return rounded(tseries.partial_autocorrelation(acf, ["event_type"]))

@@ -11,12 +11,21 @@ from wattspan.plans.queries.series import METRICS_SQL
 from wattspan.plans.training import TrainingSpec, training_job
 
 _Y = "l_extendedprice"
-_LONG = """long AS (SELECT l_orderkey * 10 + l_linenumber AS row_id, l_returnflag AS segment, l_linenumber, l_extendedprice AS y,
+_LONG = """long AS (SELECT concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS BIGINT),
+    CAST(round(l_extendedprice * 100) AS BIGINT), CAST(round(l_discount * 100) AS BIGINT), CAST(round(l_tax * 100) AS BIGINT),
+    CAST(l_shipdate AS DATE)) AS row_id, l_returnflag AS segment, l_linenumber, l_extendedprice AS y,
   CASE WHEN l_orderkey % 10 < 7 THEN 'train' ELSE 'test' END AS split, m.model,
   CASE m.model WHEN 'flat' THEN 30000 WHEN 'rate' THEN 1500 * l_quantity ELSE 1400 * l_quantity + 2000 + 100 * l_linenumber END AS p
   FROM lineitem, (VALUES ('flat'), ('rate'), ('line')) m(model))"""
 
 
+def _item_id():
+    """All columns of an item as one text; order and line number alone are not unique."""
+    cents = lambda c: F.round(F.col(c) * 100).cast("bigint")
+    return F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("bigint"), cents(_Y),
+                       cents("l_discount"), cents("l_tax"), F.col("l_shipdate").cast("date"))
+
+
 def _long(spark, sf):
     """Three closed-form predictions of the item price, in long form."""
     li = table(spark, sf, "lineitem")
@@ -24,7 +33,7 @@ def _long(spark, sf):
     forms = {"flat": F.lit(30000.0), "rate": q * 1500, "line": q * 1400 + 2000 + F.col("l_linenumber") * 100}
     structs = [F.struct(F.lit(n).alias("model"), e.alias("p")) for n, e in forms.items()]
     return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"), F.col("l_returnflag").alias("segment"),
+        _item_id().alias("row_id"), F.col("l_returnflag").alias("segment"),
         "l_linenumber", F.col(_Y).alias("y"), F.when(F.col("l_orderkey") % 10 < 7, "train").otherwise("test").alias("split"),
         F.inline(F.array(*structs)),
     )
@@ -76,8 +85,8 @@ def _(spark, sf):
 _MODELS = ["flat", "rate", "line"]
 
 
-@query("m8_residual_correlation", f"""WITH {_LONG}, w AS (SELECT row_id, max(y - p) FILTER (model = 'flat') AS flat,
-    max(y - p) FILTER (model = 'rate') AS rate, max(y - p) FILTER (model = 'line') AS line FROM long GROUP BY 1) """
+@query("m8_residual_correlation", """WITH w AS (SELECT l_extendedprice - 30000 AS flat, l_extendedprice - 1500 * l_quantity AS rate,
+    l_extendedprice - (1400 * l_quantity + 2000 + 100 * l_linenumber) AS line FROM lineitem) """
        + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS correlation FROM w"
                             for a in _MODELS for b in _MODELS))
 def _(spark, sf):
@@ -131,13 +140,12 @@ _FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 
 
 def frame(spark, sf):
-    """Items with their part: an id of the item's content, numeric features and the price."""
+    """Items with their part: an id of all the item's columns, numeric features and the price."""
     li = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate", _Y)
     part = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
     joined = li.join(part, li.l_partkey == part.p_partkey)
-    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", _Y, "l_shipdate", "l_discount", "l_tax"]
-    return joined.select(F.xxhash64(*key).alias("id"), *_FEATURES, _Y).dropDuplicates(["id"])
+    return joined.select(_item_id().alias("id"), *_FEATURES, _Y)
 
 
 _SMALL = {"maxIter": 5, "maxDepth": 3}

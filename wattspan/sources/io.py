@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from wattspan.functions.columns import qcol, quoted, rows_of
 
@@ -86,15 +86,32 @@ def append_history(metrics: DataFrame, path: str, timestamp: str = "timestamp")
 
 
 def read_history(spark: SparkSession, path: str, limit: int | None = None, timestamp: str = "timestamp") -> DataFrame:
-    """Newest runs first."""
-    df = read_parquet(spark, path).drop("run_date").orderBy(qcol(timestamp).desc())
-    return limited(df, limit)
+    """Newest runs first. With a limit, only the newest partitions that hold so many runs are read."""
+    df = read_parquet(spark, path)
+    if limit is not None:
+        # One row per day of history.
+        newer = W.orderBy(F.desc("run_date")).rowsBetween(W.unboundedPreceding, -1)
+        days = df.groupBy("run_date").agg(F.count(F.lit(1)).alias("n"))
+        needed = days.filter("run_date IS NOT NULL").withColumn("_before", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+        first = needed.filter(F.col("_before") < limit).agg(F.min("run_date").alias("d")).first()["d"]
+        if first is not None:
+            df = df.filter(F.col("run_date") >= F.lit(first))
+    return limited(df.drop("run_date").orderBy(qcol(timestamp).desc()), limit)
 
 
 def retained(history: DataFrame, days: int = 90, timestamp: str = "timestamp") -> DataFrame:
-    """Entries of the last ``days`` days, counted back from the newest entry."""
+    """Entries of the last ``days`` days, counted back from the newest entry.
+
+    Where the history has its ``run_date`` partitions, only those in reach are read.
+    """
+    since = lambda newest: newest - F.make_interval(days=F.lit(days))
+    if "run_date" in history.columns:
+        last = history.agg(F.max("run_date").alias("d")).first()["d"]
+        if last is not None:
+            # A day earlier than the exact bound, which the filter below applies.
+            history = history.filter(F.col("run_date") >= F.date_sub(F.lit(last), days + 1))
     newest = history.agg(F.max(qcol(timestamp))).scalar()
-    return history.filter(qcol(timestamp) >= newest - F.make_interval(days=F.lit(days)))
+    return history.filter(qcol(timestamp) >= since(newest))
 
 
 def rewrite_retained(spark: SparkSession, path: str, target: str, days: int = 90, timestamp: str = "timestamp") -> None:
