@@ -18,12 +18,25 @@ from wattspan.functions.columns import qcol, qcols, require, set_columns
 from wattspan.operators.small import checkpointed, join_settled, null_safe_join, settled
 
 _ROW_BITS = 33
+SLICE_BYTES = 128 << 20
+MOST_SLICES_FACTOR = 256
+
+
+def slice_count(df: DataFrame) -> int:
+    """Slices of about ``SLICE_BYTES`` by the optimizer's size estimate; at least the session's shuffle partitions.
+
+    Estimates of joins multiply their sides, so the factor over the session's setting is bounded. It only sets how
+    finely rows are cut, never which rows are read.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(least, min(-(-estimate // SLICE_BYTES), least * MOST_SLICES_FACTOR))
 
 
 def arrange(df: DataFrame, order_by: list[str], keys: list[str] = (), slices: int | None = None) -> DataFrame:
     """Adds ``_slice`` and ``_idx``, the place of a row in its slice."""
     require(df, [*keys, *order_by])
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = slices or slice_count(df)
     by = qcols([*keys, *order_by])
     placed = (
         df.repartitionByRange(n, *by)

@@ -317,13 +317,15 @@ def _log(spark, sf, files=4):
 
 @query("z1_window_statistics", """WITH w AS (SELECT date_trunc('hour', ts) AS s, event_type, count(*) AS n, avg(value) AS mean,
     stddev_samp(value) AS std, min(value) AS "min", max(value) AS "max" FROM events GROUP BY 1, 2)
-  SELECT s AS start, s + INTERVAL 1 HOUR AS "end", event_type, n, round(mean, 6) AS mean, round(std, 6) AS std, "min", "max" FROM w
-  WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+  SELECT s AS start, s + INTERVAL 1 HOUR AS "end", event_type, n, round(mean, 6) AS mean, round(std, 6) AS std, "min", "max",
+    s + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE AS closed FROM w""")
 def _(spark, sf):
     stream = streams.window_statistics(_log(spark, sf), "ts", ["event_type"], "value")
     out, check = scratch(spark, "windows"), scratch(spark, "windows-state")
     streams.run_window_statistics(stream, out, check).awaitTermination()
-    df = spark.read.parquet(out)
+    written = spark.read.parquet(out)
+    rest = streams.open_windows(table(spark, sf, "events"), written, "ts", ["event_type"], "value")
+    df = written.withColumn("closed", F.lit(True)).unionByName(rest.withColumn("closed", F.lit(False)))
     return rounded(df.withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("end", F.col("end").cast("timestamp_ntz")))
 
 

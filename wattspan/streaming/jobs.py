@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from wattspan.functions.columns import qcol, qcols
 from wattspan.operators.drift import column_drift, dataset_drift
 from wattspan.operators.quality import row_errors, split_valid
+from wattspan.operators.small import null_safe_join
 
 
 def log_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -22,10 +23,13 @@ def window_statistics(stream: DataFrame, ts: str, by: list[str], value: str, len
                       late: str = "10 minutes") -> DataFrame:
     """Tumbling-window statistics; rows later than the watermark are dropped.
 
-    The time column is cast to a timestamp, which watermarks need.
+    The time column is cast to a timestamp, which watermarks need. On a batch frame the same statistics come
+    without a watermark.
     """
     v = qcol(value)
-    timed = stream.withColumn("_ts", qcol(ts).cast("timestamp")).withWatermark("_ts", late)
+    timed = stream.withColumn("_ts", qcol(ts).cast("timestamp"))
+    if stream.isStreaming:
+        timed = timed.withWatermark("_ts", late)
     out = timed.groupBy(F.window("_ts", length), *qcols(by)).agg(
         F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"),
@@ -42,6 +46,18 @@ def run_window_statistics(stream: DataFrame, target: str, checkpoint: str) -> St
     )
 
 
+def open_windows(log: DataFrame, closed: DataFrame, ts: str, by: list[str], value: str, length: str = "1 hour") -> DataFrame:
+    """Windows that the stream has not written yet, from the log itself.
+
+    The stream writes a window when the watermark passes its end; those still open at the end of the input are
+    here. Windows before the last closed one are all written, so older rows are filtered out in the scan.
+    """
+    written = closed.select("start", *qcols(by)).distinct()
+    first = closed.groupBy().agg(F.max("end").alias("e")).select(F.col("e")).scalar()
+    recent = log.filter(first.isNull() | (qcol(ts).cast("timestamp") >= first - F.expr(f"INTERVAL {length}")))
+    return null_safe_join(window_statistics(recent, ts, by, value, length), written, ["start", *by], "left_anti")
+
+
 def run_validation(stream: DataFrame, features: list[str], ranges: dict, accepted: str, rejected: str,
                    checkpoint: str) -> StreamingQuery:
     """Valid rows to one table, rejects with their error to another.
