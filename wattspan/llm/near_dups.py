@@ -15,17 +15,19 @@ hashes. A text without words has an empty set and is linked with nothing.
 3. *Banding.* ``BANDS`` bands of ``ROWS`` coordinates name buckets. A pair with
    similarity 0.75 shares no bucket with probability (1 - 0.75^ROWS)^BANDS,
    1e-8 for the defaults.
-4. *Verification.* In each bucket every class is checked against the bucket's
-   smallest id on the full sets (a star, not all pairs). Links give components.
-   In buckets that still hold several components, the pairs across components
-   are checked as well, where the sketches do not rule them out; rounds repeat
-   until no bucket yields a new pair. Pairs inside one component cannot change
-   the result. So no link between components is left out, and there is no cap on
-   buckets or partners.
-
-The sketches rule out a pair only if over ``MOST_DIFFERENT_BITS`` of 256 lowest
-coordinate bits differ: 32 are expected at the threshold, with a deviation of
-5.3, so a similar pair is ruled out with probability below 1e-9.
+4. *Clusters.* Members of one bucket are plausible partners unless over
+   ``MOST_DIFFERENT_BITS`` of 256 lowest coordinate bits differ (32 are expected
+   at the threshold, with a deviation of 5.3, so a similar pair is ruled out with
+   probability below 1e-9) or their set sizes rule it out. A bucket gives only
+   edges of a spanning forest of that relation, never its pairs. Buckets over
+   ``LARGE_BUCKET`` members are joined whole instead. Connected edges are clusters.
+5. *Verification.* Full sets of a cluster meet in one cell, or, beyond
+   ``BLOCK_SHINGLES``, in a cell for each two of its blocks. A cell compares its
+   first set with all others; each set that is not linked to it is compared with
+   all as well. So every pair that could join two components is compared, and
+   what leaves the cell are the edges of a spanning forest of true links.
+
+There is no cap on buckets, clusters or partners.
 
 Null ids are not allowed to link: such rows come back with a null component.
 Repeated rows share their component. Other columns are not read.
@@ -48,6 +50,8 @@ COORDINATES = 256
 ROWS = 4
 BANDS = 48
 MOST_DIFFERENT_BITS = 70
+LARGE_BUCKET = 50_000
+BLOCK_SHINGLES = 2_000_000
 
 _U = np.uint64
 _MOST = _U(0xFFFFFFFFFFFFFFFF)
@@ -130,41 +134,111 @@ def _describe(batch, lo, hi, data, off):
 
 def _sets(batch, lo, hi, data, off):
     h, at = shingle_sets(data, off)
-    return {"_id": batch.column("_id").slice(lo, hi - lo),
-            "shingles": pa.ListArray.from_arrays(at.astype(np.int32), h.view(np.int64))}
+    own = {c: batch.column(c).slice(lo, hi - lo) for c in ("_id", "cluster", "blocks", "block")}
+    return {**own, "shingles": pa.ListArray.from_arrays(at.astype(np.int32), h.view(np.int64))}
 
 
-def _verified(pairs: DataFrame, slim: DataFrame) -> DataFrame:
-    """Pairs (``a``, ``b``) that are similar enough on their full sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    # One row per id, should rows repeat.
-    need = slim.join(wanted, "_id", "left_semi").groupBy("_id").agg(F.min("_text").alias("_text"))
-    sets = scratch(by_slice(need, _sets, "_id bigint, shingles array<bigint>"), "sets")
-    left = sets.select(F.col("_id").alias("a"), F.col("shingles").alias("_sa"))
-    right = sets.select(F.col("_id").alias("b"), F.col("shingles").alias("_sb"))
-    both = pairs.join(right, "b").join(left, "a")
-    common = F.size(F.array_intersect("_sa", "_sb")).cast("bigint")
-    union = F.size("_sa") + F.size("_sb") - common
-    return both.filter(common * 100 >= union * PERCENT).select("a", "b")
-
-
-def _across(members: DataFrame, labels: DataFrame, facts: DataFrame, checked: DataFrame) -> DataFrame:
-    """Unchecked pairs of bucket members in different components that the sketches do not rule out."""
-    named = members.join(labels, members["_id"] == labels["id"], "left").select(
-        "key", "_id", F.coalesce("component", "_id").alias("c"))
-    sizes = named.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
-    # Buckets with several components, each with its largest one; few buckets remain.
-    open_ = sizes.groupBy("key").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    left = scratch(named.join(open_.filter("parts > 1"), "key").join(facts, "_id").drop("parts"), "open")
-    x, y = left.filter("c <> main").alias("x"), left.alias("y")
-    differ = F.lit(0)
-    for k in range(COORDINATES // 64):
-        differ = differ + F.bit_count(F.get("x.bits", F.lit(k)).bitwiseXOR(F.get("y.bits", F.lit(k))))
-    near = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c"))
-                  & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * PERCENT)
-                  & (differ <= MOST_DIFFERENT_BITS))
-    pairs = near.select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b")).distinct()
-    return pairs.join(checked, ["a", "b"], "left_anti")
+class Forest:
+    """Union-find over 0 .. n - 1; the root of a tree is its smallest member."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def find(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.find(i), self.find(j)
+        if i != j:
+            self.up[max(i, j)] = min(i, j)
+        return i != j
+
+
+def forest_edges(n: int, partners) -> list[tuple[int, int]]:
+    """Spanning edges of a symmetric relation; ``partners(i)`` lists those of i.
+
+    The partners of 0 need no look at each other. All others are compared with everything.
+    """
+    trees, edges = Forest(n), []
+    star = set(partners(0).tolist()) | {0}
+    edges += [(0, j) for j in sorted(star) if trees.join(0, j)]
+    for i in range(n):
+        if i not in star:
+            edges += [(i, j) for j in partners(i).tolist() if trees.join(i, j)]
+    return edges
+
+
+def _sizes_fit(n: np.ndarray, m: int) -> np.ndarray:
+    return np.minimum(n, m) * 100 >= np.maximum(n, m) * PERCENT
+
+
+def _groups(batches, keys: list[str]):
+    """Tables of rows with equal keys; rows arrive in key order."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        new = np.zeros(len(held), bool)
+        for k in keys:
+            v = held.column(k).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        at = [0, *np.flatnonzero(new).tolist()]
+        for lo, hi in zip(at, at[1:]):
+            yield held.slice(lo, hi - lo)
+        held = held.slice(at[-1]) if len(held) else None
+    if held is not None and len(held):
+        yield held
+
+
+def _plausible(batches):
+    """Spanning edges of the plausible partners in each bucket."""
+    a, b = [], []
+
+    def out():
+        got = pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        a.clear(), b.clear()
+        return got
+
+    for table in _groups(batches, ["key"]):
+        ids, n = table.column("_id").to_numpy(), table.column("n").to_numpy()
+        # Unsigned: bits are counted of the absolute value.
+        bits = table.column("bits").combine_chunks().flatten().to_numpy().view(_U).reshape(-1, COORDINATES // 64)
+
+        def partners(i):
+            differ = np.bitwise_count(bits ^ bits[i]).sum(axis=1)
+            return np.flatnonzero((differ <= MOST_DIFFERENT_BITS) & _sizes_fit(n, n[i]))
+
+        for i, j in forest_edges(len(ids), partners):
+            a.append(ids[i])
+            b.append(ids[j])
+        if len(a) > 1 << 16:
+            yield out()
+    yield out()
+
+
+def _linked(batches):
+    """Spanning edges of the true links in each cell."""
+    for table in _groups(batches, ["cluster", "low", "high"]):
+        ids = table.column("_id").to_numpy()
+        lists = table.column("shingles").combine_chunks()
+        _, dense = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        n = np.diff(lists.offsets.to_numpy())
+        at = np.cumsum(n) - n
+        flag = np.zeros(len(dense), bool)
+
+        def partners(i):
+            own = dense[at[i]:at[i] + n[i]]
+            flag[own] = True
+            common = np.add.reduceat(flag[dense], at, dtype=np.int64)
+            flag[own] = False
+            return np.flatnonzero(common * 100 >= (n + n[i] - common) * PERCENT)
+
+        edges = forest_edges(len(ids), partners)
+        yield pa.RecordBatch.from_pydict({
+            "a": pa.array([ids[i] for i, _ in edges], pa.int64()), "b": pa.array([ids[j] for _, j in edges], pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,21 +250,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Classes of equal sets.
     smallest = usable.groupBy("p", "q", "n").agg(F.min("_id").alias("rep"))
     first = smallest.select(F.col("rep").alias("_id"), "p", "q", "n")
-    reps = usable.join(first, ["_id", "p", "q", "n"]).dropDuplicates(["_id", "p", "q", "n"])
+    reps = usable.join(first, ["_id", "p", "q", "n"]).dropDuplicates(["_id", "p", "q", "n"]).drop("p", "q")
     buckets = reps.select("_id", F.explode("keys").alias("key"))
-    heads = buckets.groupBy("key").agg(F.min("_id").alias("a"), F.max("_id").alias("z")).filter("a < z").drop("z")
-    shared = scratch(buckets.join(heads, "key").select("key", "_id", "a"), "shared")
-    checked = scratch(shared.filter("_id <> a").select("a", F.col("_id").alias("b")).distinct(), "pairs")
-    links = scratch(_verified(checked, slim), "links")
-    while True:
-        labels = scratch(components(links), "labels")
-        rest = scratch(_across(shared.drop("a"), labels, reps.select("_id", "n", "bits"), checked), "pairs")
-        if rest.isEmpty():
-            break
-        more = scratch(_verified(rest, slim), "links")
-        checked, links = checked.union(rest), links.union(more)
-        if more.isEmpty():
-            break
+    heads = buckets.groupBy("key").agg(F.min("_id").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = scratch(buckets.join(heads, "key"), "shared")
+    # Members with the facts to compare them by.
+    small = shared.filter(F.col("size") <= LARGE_BUCKET).select("key", "_id").join(reps.select("_id", "n", "bits"), "_id")
+    edges = small.select("key", "_id", "n", "bits").repartition("key").sortWithinPartitions("key", "_id").mapInArrow(
+        _plausible, "a bigint, b bigint")
+    large = shared.filter((F.col("size") > LARGE_BUCKET) & (F.col("_id") != F.col("head")))
+    clusters = scratch(components(edges.union(large.select("head", "_id"))), "clusters")
+    sized = clusters.join(reps.select(F.col("_id").alias("id"), "n"), "id")
+    blocks = sized.groupBy(F.col("component").alias("cluster")).agg(
+        F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    placed = clusters.join(blocks, F.col("component") == F.col("cluster")).select(
+        F.col("id").alias("_id"), "cluster", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))
+    # One row per id, should rows repeat.
+    wanted = slim.join(placed, "_id").dropDuplicates(["_id"])
+    sets = by_slice(wanted, _sets, "_id bigint, cluster bigint, blocks bigint, block bigint, shingles array<bigint>")
+    cells = sets.select("_id", "shingles", "cluster", "block", F.explode_outer(
+        F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")).select(
+        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "_id", "shingles")
+    links = cells.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "_id").mapInArrow(
+        _linked, "a bigint, b bigint")
+    labels = components(links)
     named = smallest.join(labels, smallest["rep"] == labels["id"], "left").select(
         "p", "q", "n", F.coalesce("component", "rep").alias("_c"))
     out = described.select("_id", "n", "p", "q").join(named, ["p", "q", "n"], "left")
