@@ -15,7 +15,9 @@ input, as bytes, inside one text.
    shard, since equal strings share their anchor. A task works through its
    pieces in shards of about ``SHARD_BYTES``: an induced suffix sort, permuted
    common prefixes, and groups of suffixes that share ``LENGTH`` bytes. In each
-   group all but the earliest are repeats.
+   group all but the earliest are repeats. An anchor with over ``MOST_PIECES``
+   different pieces would not fit one shard; its strings are grouped by their
+   bytes instead, with partial aggregation.
 3. *Spans.* Repeats are joined per document and cut out.
 
 Pieces are compared by a 64-bit hash beside the 64-bit hash of their anchor in
@@ -43,6 +45,7 @@ GRAM = 24
 SHARD_BYTES = 4 << 20
 SEGMENT_BYTES = 2 << 20
 FOLD_ROWS = 2 << 20
+MOST_PIECES = 50_000
 NO_ID = -(1 << 63)
 _PLACE_BITS = 22
 
@@ -164,31 +167,50 @@ def _groups(batches, key: str):
 
 
 def _resolved(batches):
-    """Per anchor: spans of repeated equal pieces, and the different pieces where there are several."""
-    for table in _groups(batches, "a"):
-        a, p, d, s, n = (table.column(c).to_numpy() for c in ("a", "p", "d", "s", "n"))
+    """Spans of repeated equal pieces, and the different pieces of anchors that have several.
+
+    Rows arrive by anchor, piece and place. Only the last first piece is held, until the next one shows whether its
+    anchor has another.
+    """
+    held = None  # a, p, d, s, n of the last first piece, and whether its anchor had one before
+    for batch in batches:
+        a, p, d, s, n = (batch.column(c).to_numpy() for c in ("a", "p", "d", "s", "n"))
         n = n.astype(np.int64)
-        settled = n <= 0
-        spans = [(d[settled], s[settled], s[settled] - n[settled])]
-        a, p, d, s, n = (x[~settled] for x in (a, p, d, s, n))
+        done = n <= 0
+        spans = [(d[done], s[done], s[done] - n[done])]
+        a, p, d, s, n = (x[~done] for x in (a, p, d, s, n))
+        fresh = held is None
+        if held is not None:
+            a, p, d, s, n = (np.insert(x, 0, v) for x, v in zip((a, p, d, s, n), held))
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) | (p[1:] != p[:-1])
-        head = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0)) if len(a) else new
-        copy = ~new & ((d != d[head]) | (s != s[head])) if len(a) else new
+        first = np.flatnonzero(new)
+        head = np.repeat(first, np.diff(np.append(first, len(a))))
+        # Rows that repeat an id have the same place; they are no repeats of each other.
+        copy = (d != d[head]) | (s != s[head])
         spans.append((d[copy], s[copy], s[copy] + n[copy] + LENGTH - 1))
         sd, ss, se = _joined(*(np.concatenate(x) for x in zip(*spans)))
-        a, d, s, n = a[new], d[new], s[new], n[new]
-        beside = np.zeros(len(a), bool)
-        if len(a) > 1:
-            equal = a[1:] == a[:-1]
-            beside[1:] |= equal
-            beside[:-1] |= equal
-        a, d, s, n = a[beside], d[beside], s[beside], n[beside]
-        yield pa.RecordBatch.from_pydict({
-            "d": np.concatenate([sd, d]), "s": np.concatenate([ss, s]), "e": np.concatenate([se, s + n + LENGTH - 1]),
-            "a": pa.array(np.concatenate([np.zeros(len(sd), np.int64), a]), pa.int64(),
-                          mask=np.arange(len(sd) + len(a)) < len(sd)),
-        })
+        a, d, s, n, p = a[first], d[first], s[first], n[first], p[first]
+        same = a[1:] == a[:-1]
+        before = np.concatenate([[False if fresh else held[5]], same]) if len(a) else np.zeros(0, bool)
+        beside = before.copy()
+        beside[:-1] |= same
+        if len(a):
+            held = (a[-1], p[-1], d[-1], s[-1], n[-1], bool(before[-1]))
+            a, d, s, n = (x[:-1][beside[:-1]] for x in (a, d, s, n))
+        yield _marks(sd, ss, se, a, d, s, n)
+    if held is not None and held[5]:
+        a, _, d, s, n, _ = (np.array([x]) for x in held)
+        none = d[:0]
+        yield _marks(none, none, none, a, d, s, n)
+
+
+def _marks(sd, ss, se, a, d, s, n) -> pa.RecordBatch:
+    """Spans (``a`` null) and pieces to compare."""
+    return pa.RecordBatch.from_pydict({
+        "d": np.concatenate([sd, d]), "s": np.concatenate([ss, s]), "e": np.concatenate([se, s + n + LENGTH - 1]),
+        "a": pa.array(np.concatenate([np.zeros(len(sd), np.int64), a]), pa.int64(), mask=np.arange(len(sd) + len(a)) < len(sd)),
+    })
 
 
 def _cut(batches):
@@ -284,20 +306,42 @@ def _parts(table: pa.Table):
         lo = hi
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   most_pieces: int = MOST_PIECES) -> DataFrame:
     """``d``, ``s``, ``e``: spans of bytes to remove, which may overlap; a null id is the smallest integer."""
     slim = texts(docs, id_col, text_col).select(F.coalesce("_id", F.lit(NO_ID)).alias("_id"), "_text")
     found = slim.mapInArrow(_anchored, "a bigint, p bigint, d bigint, s bigint, n int")
     marks = scratch(
         found.repartition("a").sortWithinPartitions("a", "p", "d", "s")
         .mapInArrow(_resolved, "d bigint, s bigint, e bigint, a bigint"), "marks")
-    wanted = marks.filter("a IS NOT NULL").groupBy(F.col("d").alias("_id")).agg(
-        F.collect_set(F.struct("s", "e", "a")).alias("wanted"))
-    # One row per id, should rows repeat.
-    cut = slim.join(wanted, "_id").select("_id", "_text", "wanted").mapInArrow(
+    many = scratch(marks.filter("a IS NOT NULL").groupBy("a").agg(F.count(F.lit(1)).alias("many"))
+                   .filter(F.col("many") > most_pieces).select("a"), "frequent")
+    piece = marks.filter("a IS NOT NULL")
+    cold = _bytes_of(slim, piece.join(many, "a", "left_anti"))
+    spans = cold.repartition("a").sortWithinPartitions("a", "d", "s").mapInArrow(_compared, "d bigint, s bigint, e bigint")
+    out = marks.filter("a IS NULL").select("d", "s", "e").union(spans)
+    return out if many.isEmpty() else out.union(_frequent(_bytes_of(slim, piece.join(many, "a", "left_semi"))))
+
+
+def _bytes_of(slim: DataFrame, piece: DataFrame) -> DataFrame:
+    """The pieces with their bytes: ``a``, ``d``, ``s``, ``bytes``."""
+    wanted = piece.groupBy(F.col("d").alias("_id")).agg(F.collect_set(F.struct("s", "e", "a")).alias("wanted"))
+    return slim.join(wanted, "_id").select("_id", "_text", "wanted").mapInArrow(
         _cut, "a bigint, d bigint, s bigint, bytes binary")
-    spans = cut.repartition("a").sortWithinPartitions("a", "d", "s").mapInArrow(_compared, "d bigint, s bigint, e bigint")
-    return marks.filter("a IS NULL").select("d", "s", "e").union(spans)
+
+
+def _frequent(cut: DataFrame) -> DataFrame:
+    """Repeats among the pieces of anchors that have too many for one shard.
+
+    Their strings are grouped as such: the earliest place of each is found with partial aggregation, and all others
+    are repeats. The join splits strings that are frequent themselves.
+    """
+    at = F.explode(F.sequence(F.lit(0), F.length("bytes") - LENGTH)).alias("i")
+    string = F.substring(F.col("bytes"), F.col("i") + 1, F.lit(LENGTH)).alias("string")
+    rows = scratch(cut.select("d", "s", "bytes", at).select("d", (F.col("s") + F.col("i")).alias("s"), string), "strings")
+    first = rows.groupBy("string").agg(F.min(F.struct("d", "s")).alias("first"))
+    late = rows.join(first, "string").filter(F.struct("d", "s") > F.col("first"))
+    return late.select("d", "s", (F.col("s") + LENGTH).alias("e"))
 
 
 def _removed(batches):
@@ -324,10 +368,11 @@ def _removed(batches):
             }) if kept else None
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   most_pieces: int = MOST_PIECES) -> DataFrame:
     """Per row: the id, ``n_bytes``, ``n_removed``, ``spans`` (maximal removed runs of bytes) and ``kept``, the other
     bytes (which may cut a character)."""
-    spans = scratch(repeated_spans(docs, id_col, text_col), "spans").groupBy(F.col("d").alias("_d")).agg(
+    spans = scratch(repeated_spans(docs, id_col, text_col, most_pieces), "spans").groupBy(F.col("d").alias("_d")).agg(
         F.collect_list(F.struct("s", "e")).alias("spans"))
     slim = texts(docs, id_col, text_col)
     joined = slim.join(spans, F.coalesce("_id", F.lit(NO_ID)) == F.col("_d"), "left").select("_id", "_text", "spans")
