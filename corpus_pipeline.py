@@ -30,8 +30,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group the document with the smallest id stays."""
-    gone = near_dups.near_duplicates(docs).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_dups.near_duplicates(docs).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id")
+    return docs.join(gone.distinct(), ["doc_id"], "left_anti")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -128,5 +128,5 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows without those whose document holds an item."""
-    found = hits(docs, benchmark, id_col, text_col, item_col, item_text).select(qcol(id_col).alias("_hit")).distinct()
-    return docs.join(found, qcol(id_col).cast("bigint") == F.col("_hit"), "left_anti")
+    found = hits(docs, benchmark, id_col, text_col, item_col, item_text).select(qcol(id_col)).distinct()
+    return docs.join(found, [id_col], "left_anti")

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattspan.functions.columns import qcol, set_columns
+from wattspan.functions.columns import qcol
 from wattspan.llm.batches import IS_SPACE, Prefix, lowered, slices
 from wattspan.llm.frames import scratch, texts
 
@@ -194,7 +194,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_lines = (F.length(F.coalesce("_text", F.lit(""))) - F.length(F.replace(F.coalesce("_text", F.lit("")), F.lit("\n")))
                + 1).cast("bigint")
     n_dropped = F.when(F.col("_drop").isNull(), F.lit(0)).otherwise(F.size("_drop")).cast("bigint")
-    return set_columns(
-        joined.select("_doc.*", text.alias("_new"), n_lines.alias("_n"), n_dropped.alias("_d")),
-        {text_col: F.col("_new"), "n_lines": F.col("_n"), "n_dropped": F.col("_d")},
-    ).drop("_new", "_n", "_d")
+    # Two steps: beside the expanded row, a name in a lambda could mean one of the row's own columns.
+    done = joined.select("_doc", text.alias("_new"), n_lines.alias("_n"), n_dropped.alias("_d"))
+    new = {text_col: F.col("_new"), "n_lines": F.col("_n"), "n_dropped": F.col("_d")}
+    names = [*docs.columns, *[c for c in new if c not in docs.columns]]
+    return done.select(*[new[c].alias(c) if c in new else F.col("_doc")[c].alias(c) for c in names])
