@@ -144,3 +144,11 @@ def test_histogram_and_power_factor(spark):
     assert [(r["efficiency_class"], r["efficiency_score"]) for r in out] == [("Excelente", 100), ("Muy Bueno", 90), ("Mejorable", 40)]
     cost = stats.energy_cost(spark.createDataFrame([(100.0, True), (100.0, False)], "k double, p boolean"), "k", F.col("p")).collect()
     assert cost[0]["total_cost"] == pytest.approx(22.5) and cost[0]["savings_potential"] == pytest.approx(7.5) and cost[1]["surcharge"] == 0
+
+
+def test_repeated_and_null_corrections(spark):
+    """Of several corrections for a key the smallest counts; rows are never multiplied."""
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, c string")
+    table = spark.createDataFrame([("a", "y"), ("a", "x"), (None, "z")], "k string, v string")
+    got = sorted((r.id, r.c) for r in clean.map_values_from(df, "c", table, "k", "v").collect())
+    assert got == [(1, "x"), (2, "b"), (3, None)]

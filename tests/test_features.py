@@ -140,3 +140,17 @@ def test_rankings(spark):
         corr.top_features(a, "s", 0)
     with pytest.raises(ValueError):
         corr.correlations(df, "nope")
+
+
+def test_rows_that_share_order_and_line_stay_apart(spark, tmp_path):
+    """Residuals of two items with one order and line number are not merged."""
+    from wattspan.plans.queries import QUERIES
+
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(50)
+    li = li.withColumn("l_orderkey", F.lit(1).cast(li.schema["l_orderkey"].dataType)).withColumn(
+        "l_linenumber", F.lit(1).cast(li.schema["l_linenumber"].dataType))
+    li.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {(r.a, r.b): r.correlation for r in QUERIES["m8_residual_correlation"](spark, str(tmp_path)).collect()}
+    rows = li.select("l_extendedprice", "l_quantity").toPandas()
+    flat, rate = rows.l_extendedprice - 30000, rows.l_extendedprice - 1500 * rows.l_quantity
+    assert abs(got["flat", "rate"] - flat.corr(rate)) < 1e-6

@@ -19,6 +19,11 @@ def qcol(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def number(name: str) -> Column:
+    """The column with NaN as null. Numeric operators leave NaN out as they do null; infinite values are values."""
+    return F.when(~F.isnan(qcol(name)), qcol(name))
+
+
 def qcols(names: Iterable[str]) -> list[Column]:
     return [qcol(n) for n in names]
 

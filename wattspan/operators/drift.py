@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattspan.functions.columns import qcol, qcols, require, unpivot
@@ -21,11 +23,46 @@ WARNING_FACTOR = 0.7
 MIN_SHARE = 1e-4
 
 
-def _sides(parts: list[DataFrame]) -> DataFrame:
-    ref, cur = parts
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    return ref.select("*", one.alias("a"), none.alias("b")).unionByName(
-        cur.select("*", none.alias("a"), one.alias("b")))
+def numeric_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows per column and distinct value; null and NaN are left out."""
+    known = unpivot(df, [], cols, "column", "value").filter("value IS NOT NULL AND NOT isnan(value)")
+    return known.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def category_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows per column and distinct text; null is left out."""
+    long = df.select(*[qcol(c).cast("string").alias(c) for c in cols]).unpivot([], qcols(cols), "column", "category")
+    return long.filter("category IS NOT NULL").groupBy("column", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@dataclass
+class Reference:
+    """Counts of a reference, settled once for many comparisons."""
+
+    numeric: DataFrame | None
+    categorical: DataFrame | None
+
+
+def settle_reference(reference: DataFrame, numeric: list[str], categorical: list[str]) -> Reference:
+    require(reference, [*numeric, *categorical])
+    return Reference(checkpointed(numeric_counts(reference, numeric)) if numeric else None,
+                     checkpointed(category_counts(reference, categorical)) if categorical else None)
+
+
+def _counted(reference: DataFrame | Reference, current: DataFrame, cols: list[str], kind: str) -> DataFrame:
+    """Counts of both sides (``a``, ``b``) per column and value."""
+    count = numeric_counts if kind == "numeric" else category_counts
+    if isinstance(reference, Reference):
+        ref = getattr(reference, kind).filter(F.col("column").isin(cols))
+    else:
+        require(reference, cols)
+        ref = count(reference, cols)
+    require(current, cols)
+    none = F.lit(0).cast("bigint")
+    both = ref.withColumn("b", none).withColumnRenamed("n", "a").unionByName(
+        count(current, cols).withColumn("a", none).withColumnRenamed("n", "b"))
+    value = "value" if kind == "numeric" else "category"
+    return checkpointed(both.groupBy("column", value).agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
 
 
 def _psi(a: Column, na: Column, b: Column, nb: Column) -> Column:
@@ -45,7 +82,7 @@ def ks_p_value(d: Column, na: Column, nb: Column, terms: int = 100) -> Column:
     return F.when(lam.isNull(), None).when(lam < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * total)))
 
 
-def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bins: int = 10,
+def numeric_drift(reference: DataFrame | Reference, current: DataFrame, cols: list[str], bins: int = 10,
                   test: str = "wasserstein") -> DataFrame:
     """PSI, Kolmogorov-Smirnov and normalised Wasserstein distance per numeric column.
 
@@ -55,13 +92,9 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bin
     reported. A column that is empty on one side has no distance and counts as
     drifted.
     """
-    require(reference, cols)
-    require(current, cols)
     if test not in ("psi", "ks", "wasserstein"):
         raise ValueError(f"unknown test {test}")
-    long = _sides([unpivot(df, [], cols, "column", "value") for df in (reference, current)])
-    known = long.filter("value IS NOT NULL AND NOT isnan(value)")
-    counts = checkpointed(known.groupBy("column", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    counts = _counted(reference, current, cols, "numeric")
     v, a = F.col("value"), F.col("a")
     mean = F.try_divide(F.sum(v * a), F.sum("a"))
     first = counts.groupBy("column").agg(
@@ -103,21 +136,14 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols: list[str], bin
     return out.select("*", score.alias("drift_score"), F.coalesce(drifted, F.lit(True)).alias("drifted"))
 
 
-def categorical_drift(reference: DataFrame, current: DataFrame, cols: list[str], test: str = "js") -> DataFrame:
+def categorical_drift(reference: DataFrame | Reference, current: DataFrame, cols: list[str], test: str = "js") -> DataFrame:
     """PSI, Jensen-Shannon distance and chi-square statistic per text column.
 
     ``test`` names the measure that judges.
     """
-    require(reference, cols)
-    require(current, cols)
     if test not in ("psi", "js"):
         raise ValueError(f"unknown test {test}")
-    parts = [
-        df.select(*[qcol(c).cast("string").alias(c) for c in cols]).unpivot([], qcols(cols), "column", "category")
-        for df in (reference, current)
-    ]
-    known = _sides(parts).filter(F.col("category").isNotNull())
-    counts = checkpointed(known.groupBy("column", "category").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    counts = _counted(reference, current, cols, "categorical")
     totals = counts.groupBy("column").agg(F.sum("a").alias("n_ref"), F.sum("b").alias("n_cur"))
     # One row per column.
     placed = counts.join(F.broadcast(totals), "column")
@@ -138,7 +164,7 @@ def categorical_drift(reference: DataFrame, current: DataFrame, cols: list[str],
     return out.select("*", score.alias("drift_score"), F.coalesce(drifted, F.lit(True)).alias("drifted"))
 
 
-def column_drift(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str],
+def column_drift(reference: DataFrame | Reference, current: DataFrame, numeric: list[str], categorical: list[str],
                  numeric_test: str = "wasserstein", categorical_test: str = "js") -> DataFrame:
     """Both kinds of column in one report (column, kind, drift_score, drifted)."""
     parts = []

@@ -108,7 +108,9 @@ def _attempt(numbers: DataFrame, by: list[str], cols: list[str], spec, level: in
         part = F.lit(q) * (F.col("n") - 1)
         frac = part - F.floor(part)
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        outs.append((low if how == "nearest" else low + (high - low) * frac).alias(f"q{i}"))
+        # Equal ranks may be infinite, where a difference is no number.
+        between = F.when((frac == 0) | (low == high), low).otherwise(low + (high - low) * frac)
+        outs.append((low if how == "nearest" else between).alias(f"q{i}"))
     return checkpointed(picked.select(*qcols(keys), "n", *outs, "_missed"))
 
 

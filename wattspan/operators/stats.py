@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wattspan.functions import temporal as t
-from wattspan.functions.columns import numeric_columns, qcol, qcols, require, rows_of
+from wattspan.functions.columns import number, numeric_columns, qcol, qcols, require, rows_of
 from wattspan.operators.clean import modes
 from wattspan.operators.quantiles import exact_quantiles, quantile_row
 from wattspan.operators.small import scalar_row
@@ -86,10 +86,10 @@ def numeric_summary(df: DataFrame, cols: list[str] | None = None, quartiles: boo
     probs = [(0.5, "linear")] + ([(0.25, "nearest"), (0.75, "nearest")] if quartiles else [])
     q = scalar_row(quantile_row(df, names, probs))
     one = df.agg(
-        *[F.avg(qcol(c)).alias(f"{c}|mean") for c in names],
-        *[F.stddev_samp(qcol(c)).alias(f"{c}|std") for c in names],
-        *[F.min(qcol(c)).cast("double").alias(f"{c}|min") for c in names],
-        *[F.max(qcol(c)).cast("double").alias(f"{c}|max") for c in names],
+        *[F.avg(number(c)).alias(f"{c}|mean") for c in names],
+        *[F.stddev_samp(number(c)).alias(f"{c}|std") for c in names],
+        *[F.min(number(c)).cast("double").alias(f"{c}|min") for c in names],
+        *[F.max(number(c)).cast("double").alias(f"{c}|max") for c in names],
     ).withColumn("_q", q)
     rows = []
     for c in names:

@@ -218,6 +218,32 @@ def _(spark, sf):
     return split.stratified_split(o, "o_totalprice", "o_orderkey").drop("o_totalprice")
 
 
+def _strata_sql(stratum, source="orders"):
+    return f"""WITH b AS (SELECT o_orderkey, {stratum} AS bin, md5(concat('42|', o_orderkey)) AS h FROM {source}),
+  k AS (SELECT o_orderkey, row_number() OVER (PARTITION BY bin ORDER BY h) AS rn, count(*) OVER (PARTITION BY bin) AS n FROM b)
+  SELECT o_orderkey, CASE WHEN rn <= round(n * 0.70::DOUBLE) THEN 'train'
+    WHEN rn <= round(n * (0.70::DOUBLE + 0.15::DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM k"""
+
+
+_SOME_PRIORITY = "CASE WHEN o_orderkey % 10 <> 0 THEN o_orderpriority END"
+_SOME_PRICE = """CASE WHEN o_orderkey % 10 < 2 THEN 0 ELSE CAST(least(floor((o_totalprice - lo) * 10 / (hi - lo)) + 1, 10) AS INTEGER) END"""
+
+
+@query("x1_stratified_split_category", _strata_sql(_SOME_PRIORITY))
+def _(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", F.expr(_SOME_PRIORITY).alias("c"))
+    return split.stratified_split(o, "c", "o_orderkey").drop("c")
+
+
+@query("x1_stratified_split_nulls", _strata_sql(_SOME_PRICE, """orders, (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi
+    FROM orders WHERE o_orderkey % 10 >= 2)"""))
+def _(spark, sf):
+    k = F.col("o_orderkey") % 10
+    price = F.when(k == 0, None).when(k == 1, float("nan")).otherwise(F.col("o_totalprice"))
+    o = table(spark, sf, "orders").select("o_orderkey", price.alias("p"))
+    return split.stratified_split(o, "p", "o_orderkey").drop("p")
+
+
 @query("x2_temporal_split", """WITH k AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS pos,
     count(*) OVER () AS n FROM orders)
   SELECT o_orderkey, CASE WHEN pos < floor(n * 0.7::DOUBLE) THEN 'train'

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wattspan.operators import drift, history, textlog
 from wattspan.plans import monitoring as jobs
-from wattspan.plans.queries.base import query, rounded, scratch, table
+from wattspan.plans.queries.base import query, r, rounded, scratch, table
 from wattspan.sources import io
 from wattspan.streaming import jobs as streams
 
@@ -253,11 +253,26 @@ def _(spark, sf):
 # ---- text logs ---------------------------------------------------------------------
 
 
+# Endings with triggers; the prose of the table has none.
+_ENDINGS = ["", " what will usage be tomorrow at 3 pm", " what if we shift it to low load", " why was there a spike on friday",
+            " explain what is medium load at 10:30 am", " hoy at 12am with max load", " sábado, por qué", " the definition at 7 pm"]
+
+
+def _messages(spark, sf):
+    at = (F.col("conv_id") * 3 + F.col("turn")) % len(_ENDINGS)
+    ending = F.element_at(F.array(*[F.lit(e) for e in _ENDINGS]), (at + 1).cast("int"))
+    return table(spark, sf, "conversations").withColumn("text", F.concat(F.regexp_replace("text", "[0-9]", ""), ending))
+
+
+_MESSAGES = ("m AS (SELECT conv_id, turn, lower(regexp_replace(text, '[0-9]', '', 'g') || [" + ", ".join(f"'{e}'" for e in _ENDINGS)
+             + f"][(conv_id * 3 + turn) % {len(_ENDINGS)} + 1]) AS t FROM conversations)")
+
+
 def _score_sql(patterns):
     return " + ".join("regexp_matches(t, '{}')::INT".format(textlog.whole_words(p).replace("'", "''")) for p in patterns)
 
 
-_INTENT = ("WITH m AS (SELECT conv_id, turn, lower(text) AS t FROM conversations), s AS (SELECT *, "
+_INTENT = ("WITH " + _MESSAGES + ", s AS (SELECT *, "
            + ", ".join(f"{_score_sql(ps)} AS s{i}" for i, ps in enumerate(textlog.INTENTS.values()))
            + " FROM m), g AS (SELECT *, greatest(s0, s1, s2, s3) AS b FROM s), tagged AS (SELECT conv_id, turn, CASE WHEN b = 0 THEN 'general' "
            + " ".join(f"WHEN s{i} = b THEN '{n}'" for i, n in enumerate(textlog.INTENTS)) + " END AS intent FROM g)")
@@ -265,12 +280,12 @@ _INTENT = ("WITH m AS (SELECT conv_id, turn, lower(text) AS t FROM conversations
 
 @query("l1_intents", _INTENT + " SELECT * FROM tagged")
 def _(spark, sf):
-    return textlog.tag_intent(table(spark, sf, "conversations"), "text").select("conv_id", "turn", "intent")
+    return textlog.tag_intent(_messages(spark, sf), "text").select("conv_id", "turn", "intent")
 
 
 @query("l1_intent_counts", _INTENT + " SELECT intent, count(*) AS n FROM tagged GROUP BY 1")
 def _(spark, sf):
-    return textlog.intent_counts(table(spark, sf, "conversations"), "text")
+    return textlog.intent_counts(_messages(spark, sf), "text")
 
 
 _TODAY = dt.date(2024, 1, 17)
@@ -282,7 +297,7 @@ def _words_sql(words, default):
     return "CASE " + " ".join(f"WHEN contains(t, '{w}') THEN {q(v)}" for w, v in words) + f" ELSE {q(default)} END"
 
 
-_SLOTS = f"""WITH m AS (SELECT conv_id, turn, lower(text) AS t FROM conversations),
+_SLOTS = f"""WITH {_MESSAGES},
   p AS (SELECT *, TRY_CAST(regexp_extract(t, '{_TIME}', 1) AS INTEGER) AS h, coalesce(TRY_CAST(regexp_extract(t, '{_TIME}', 2) AS INTEGER), 0) AS mi,
     regexp_extract(t, '{_TIME}', 3) AS half FROM m),
   d AS (SELECT *, CASE WHEN contains(t, 'tomorrow') OR contains(t, 'mañana') THEN {(_TODAY + dt.timedelta(days=1)).weekday()}
@@ -294,7 +309,7 @@ _SLOTS = f"""WITH m AS (SELECT conv_id, turn, lower(text) AS t FROM conversation
 
 @query("l2_slots", _SLOTS)
 def _(spark, sf):
-    out = textlog.extract_slots(table(spark, sf, "conversations"), "text", _TODAY)
+    out = textlog.extract_slots(_messages(spark, sf), "text", _TODAY)
     return out.select("conv_id", "turn", "nsm", "day_of_week", "load_type", "week_status")
 
 
@@ -339,9 +354,31 @@ def _(spark, sf):
     return out.withColumn("accepted", spark.read.parquet(good).agg(F.count(F.lit(1))).scalar())
 
 
-@query("z3_stream_drift", """SELECT count(*) AS "rows", 2::BIGINT AS number_of_features FROM events""")
+_PARTS = 3
+
+
+def _part_sql(k):
+    """Drift of the events with event_id % 3 = k against all events."""
+    return f"""t{k} AS (SELECT count(*) AS na, count(*) FILTER (event_id % {_PARTS} = {k}) AS nb, stddev_pop(value) AS sd, max(ts) FILTER (event_id % {_PARTS} = {k}) AS seen FROM events),
+    v{k} AS (SELECT value AS v, count(*) AS a, count(*) FILTER (event_id % {_PARTS} = {k}) AS b FROM events GROUP BY 1),
+    r{k} AS (SELECT v, a, b, sum(a) OVER w AS ca, sum(b) OVER w AS cb, lag(v) OVER (ORDER BY v) AS pv FROM v{k}
+      WINDOW w AS (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    w{k} AS (SELECT sum(abs(coalesce((ca - a) / na - (cb - b) / nb, 0)) * coalesce(v - pv, 0)) / max(sd) AS score FROM r{k}, t{k}),
+    c{k} AS (SELECT event_type, count(*) / max(na) AS p, count(*) FILTER (event_id % {_PARTS} = {k}) / max(nb) AS q FROM events, t{k} GROUP BY 1),
+    j{k} AS (SELECT sqrt(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2) AS score FROM c{k}),
+    b{k} AS (SELECT nb AS "rows", seen AS timestamp, 'value' AS "column", round(w{k}.score, 6) AS drift_score, w{k}.score >= 0.1 AS drifted FROM t{k}, w{k}
+      UNION ALL SELECT nb, seen, 'event_type', round(greatest(j{k}.score, 0), 6), j{k}.score >= 0.1 FROM t{k}, j{k})"""
+
+
+@query("z3_stream_drift", f"""WITH {', '.join(_part_sql(k) for k in range(_PARTS))} """
+       + " UNION ALL ".join(f"SELECT * FROM b{k}" for k in range(_PARTS)))
 def _(spark, sf):
-    ev = table(spark, sf, "events").select("value", "event_type")
+    ev = table(spark, sf, "events")
+    log = scratch(spark, "events-log")
+    for k in range(_PARTS):
+        ev.filter(F.col("event_id") % _PARTS == k).coalesce(1).write.mode("append").parquet(log)
     hist, check = scratch(spark, "drift"), scratch(spark, "drift-state")
-    streams.run_drift(_log(spark, sf), ev, ["value"], ["event_type"], hist, check).awaitTermination()
-    return spark.read.parquet(hist).select(F.col("rows").cast("bigint").alias("rows"), "number_of_features")
+    stream = streams.log_stream(spark, log, ev.schema, files_per_batch=1)
+    streams.run_drift(stream, ev, ["value"], ["event_type"], hist, check, "ts").awaitTermination()
+    runs = spark.read.parquet(hist).select("rows", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), F.inline("columns"))
+    return runs.select("rows", "timestamp", "column", r("drift_score").alias("drift_score"), "drifted")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattspan.operators import tseries
-from wattspan.plans.queries.base import query, rounded, table
+from wattspan.plans.queries.base import query, r, rounded, table
 
 _ORDER = ["ts", "event_id"]
 _P, _TYPE_P = 7, 4
@@ -38,6 +38,16 @@ def _(spark, sf):
     return rounded(_decomposed(spark, sf, "user_id").drop("ts"), 8)
 
 
+_SPIKE = _USER.replace("value AS y", "CASE WHEN event_id = 77 THEN 1e17 ELSE value END AS y")
+
+
+@query("ts1_decompose_spike", f"""WITH {_SPIKE} SELECT user_id, event_id, pos, CASE WHEN abs(trend) < 1e9 THEN round(trend, 8) END AS trend FROM dec""")
+def _(spark, sf):
+    spike = F.when(F.col("event_id") == 77, 1e17).otherwise(F.col("value"))
+    out = tseries.decompose(table(spark, sf, "events").withColumn("value", spike), ["user_id"], _ORDER, "value", _P)
+    return out.select("user_id", "event_id", "pos", F.when(F.abs("trend") < 1e9, r("trend", 8)).alias("trend"))
+
+
 @query("ts2_strengths", f"WITH {_USER}, s AS (SELECT user_id, {_STRENGTH} FROM dec GROUP BY 1) SELECT user_id, n, {_R6} FROM s")
 def _(spark, sf):
     return rounded(tseries.strengths(_decomposed(spark, sf, "user_id"), ["user_id"]))

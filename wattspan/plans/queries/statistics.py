@@ -343,12 +343,10 @@ def _(spark, sf):
     return side("A").intersect(side("R"))
 
 
-@query("j4_set_difference", """SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A'
-  EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'""")
+@query("j4_set_difference", "SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def _(spark, sf):
-    li = table(spark, sf, "lineitem")
-    side = lambda f: li.filter(F.col("l_returnflag") == f).select("l_partkey")
-    return side("A").subtract(side("R"))
+    buyers = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_custkey")
+    return table(spark, sf, "customer").select("c_custkey").subtract(buyers)
 
 
 @query("j5_union", "SELECT c_custkey AS k, c_acctbal AS balance FROM customer UNION ALL SELECT s_suppkey, s_acctbal FROM supplier")
@@ -382,3 +380,44 @@ def _(spark, sf):
 def _(spark, sf):
     ev = table(spark, sf, "events").withColumn("guess", F.lit(50.0))
     return rounded(stats.best_by(evaluate.metrics(ev, "value", "guess", ["event_type"]), "event_type", "rmse"))
+
+
+# ---- NaN, null and infinite values -------------------------------------------------
+
+_HOLES = """holes AS (SELECT event_id, CASE WHEN event_id % 100 = 3 THEN 'NaN'::DOUBLE WHEN event_id % 100 = 5 THEN NULL
+  WHEN event_id = 77 THEN 'Infinity'::DOUBLE ELSE value END AS v FROM events)"""
+
+
+def _holes(spark, sf):
+    e = F.col("event_id")
+    v = F.when(e % 100 == 3, float("nan")).when(e % 100 == 5, None).when(e == 77, float("inf")).otherwise(F.col("value"))
+    return table(spark, sf, "events").select("event_id", v.alias("v"))
+
+
+@query("a16_histogram_nan", f"""WITH {_HOLES}, k AS (SELECT v FROM holes WHERE v IS NOT NULL AND isfinite(v)),
+  e AS (SELECT min(v) AS lo, max(v) AS hi FROM k),
+  b AS (SELECT CAST(least(floor((v - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin, count(*) AS n FROM k, e GROUP BY 1)
+  SELECT CAST(g.bin AS INTEGER) AS bin, round(lo + (hi - lo) / 20 * g.bin, 4) AS lower,
+    round(lo + (hi - lo) / 20 * (g.bin + 1), 4) AS upper, coalesce(n, 0) AS n
+  FROM range(20) g(bin) LEFT JOIN b ON g.bin = b.bin, e""")
+def _(spark, sf):
+    return rounded(stats.histogram(_holes(spark, sf), "v", 20), 4)
+
+
+@query("o6_zscore_report_nan", f"""WITH {_HOLES}, k AS (SELECT v FROM holes WHERE v IS NOT NULL AND isfinite(v)),
+  s AS (SELECT avg(v) AS m, stddev_samp(v) AS d FROM k)
+  SELECT 'v' AS "column", count(*) FILTER (abs((v - m) / d) > 1.5) AS outlier_count,
+    round(count(*) FILTER (abs((v - m) / d) > 1.5) * 100.0 / (SELECT count(*) FROM holes WHERE event_id <> 77), 2) AS outlier_pct,
+    (SELECT count(*) FROM holes WHERE event_id <> 77) AS total_count, round(any_value(m), 6) AS mean, round(any_value(d), 6) AS std FROM k, s""")
+def _(spark, sf):
+    from wattspan.operators import outliers
+
+    return rounded(outliers.zscore_report(_holes(spark, sf).filter("event_id <> 77").select("v"), threshold=1.5))
+
+
+@query("a8_quartiles_infinity", f"""WITH {_HOLES}, k AS (SELECT v FROM holes WHERE v IS NOT NULL AND NOT isnan(v))
+  SELECT 'v' AS "column", min(v) AS q0, round(quantile_cont(v, 0.5), 6) AS q1, max(v) AS q2, count(*) AS n FROM k""")
+def _(spark, sf):
+    from wattspan.operators.quantiles import exact_quantiles
+
+    return rounded(exact_quantiles(_holes(spark, sf), ["v"], [0.0, 0.5, 1.0]))

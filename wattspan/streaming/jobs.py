@@ -7,9 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from wattspan.functions.columns import qcol, qcols
-from wattspan.operators.drift import column_drift, dataset_drift
+from wattspan.operators.drift import column_drift, dataset_drift, settle_reference
 from wattspan.operators.quality import row_errors, split_valid
-from wattspan.operators.small import null_safe_join
+from wattspan.operators.small import checkpointed, null_safe_join
 
 
 def log_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -78,18 +78,25 @@ def run_validation(stream: DataFrame, features: list[str], ranges: dict, accepte
 
 
 def run_drift(stream: DataFrame, reference: DataFrame, numeric: list[str], categorical: list[str], history: str,
-              checkpoint: str, min_samples: int = 100) -> StreamingQuery:
+              checkpoint: str, ts: str, min_samples: int = 100) -> StreamingQuery:
     """Drift of every batch against the reference, one history row per batch.
 
-    Batches below ``min_samples`` rows are judged too, and marked.
+    The reference is counted once, before the stream starts. A row is stamped with the batch's latest ``ts`` and holds
+    the verdict, the report per column and the number of rows; batches below ``min_samples`` rows are judged too, and
+    marked. A repeated batch overwrites its own folder.
     """
+    settled = settle_reference(reference, numeric, categorical)
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.select(*qcols([*numeric, *categorical])).persist()
-        rows = kept.count()
+        kept = batch.select(*qcols([*numeric, *categorical]), qcol(ts).alias("_ts")).persist()
+        rows, latest = kept.agg(F.count(F.lit(1)), F.max("_ts")).first()
         if rows:
-            run = dataset_drift(column_drift(reference, kept, numeric, categorical))
-            run = run.withColumn("rows", F.lit(rows)).withColumn("below_min", F.lit(rows < min_samples))
-            run.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
+            report = checkpointed(column_drift(settled, kept, numeric, categorical))
+            # One entry per column of the data set.
+            columns = report.agg(F.array_sort(F.collect_list(F.struct("column", "kind", "drift_score", "drifted"))))
+            run = dataset_drift(report).withColumn("columns", columns.scalar())
+            run = run.withColumn("timestamp", F.lit(latest)).withColumn("rows", F.lit(rows).cast("bigint"))
+            run.withColumn("below_min", F.lit(rows < min_samples)).write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
         kept.unpersist()
 
     return (
