@@ -269,6 +269,45 @@ def _(spark, sf):
     return out.select("feature", r("importance", 1).alias("importance"))
 
 
+# One deep tree on the line number has a leaf per number, which predicts that number's mean.
+_ONE_TREE = {"maxIter": 1, "maxDepth": 6}
+_ITEM = """i AS (SELECT concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS BIGINT),
+    CAST(round(l_extendedprice * 100) AS BIGINT), CAST(round(l_discount * 100) AS BIGINT), CAST(round(l_tax * 100) AS BIGINT),
+    CAST(l_shipdate AS DATE)) AS id, l_orderkey % 10 < 7 AS train, l_linenumber AS x, l_extendedprice AS y FROM lineitem)"""
+
+
+def _items(spark, sf):
+    return table(spark, sf, "lineitem").select(
+        _item_id().alias("id"), (F.col("l_orderkey") % 10 < 7).alias("train"), F.col("l_linenumber").cast("double").alias("x"),
+        F.col(_Y).alias("y"))
+
+
+@query("m1_one_tree", f"""WITH {_ITEM}, f AS (SELECT x, avg(y) AS p FROM i WHERE train GROUP BY 1)
+  SELECT count(*) AS n, round(sqrt(avg((y - p) ** 2)), 3) AS rmse, round(avg(abs(y - p)), 3) AS mae FROM i JOIN f USING (x) WHERE NOT train""")
+def _(spark, sf):
+    items = _items(spark, sf)
+    model = models.train(items.filter("train"), "gbt", ["x"], "y", **_ONE_TREE)
+    out = evaluate.metrics(models.score(model, items.filter("NOT train")), "y", "prediction")
+    return out.select("n", r("rmse", 3).alias("rmse"), r("mae", 3).alias("mae"))
+
+
+@query("m2_one_tree_cross_validation", f"""WITH {_ITEM}, o AS (SELECT x, y, CAST((row_number() OVER (ORDER BY md5(concat('42|', id))) - 1) % 3 AS INTEGER) AS fold FROM i),
+  f AS (SELECT k.k AS fold, x, avg(y) AS p FROM o, range(3) k(k) WHERE o.fold <> k.k GROUP BY 1, 2)
+  SELECT o.fold, count(*) AS n, round(sqrt(avg((y - p) ** 2)), 3) AS rmse, round(avg(abs(y - p)), 3) AS mae
+  FROM o JOIN f ON o.fold = f.fold AND o.x = f.x GROUP BY 1""")
+def _(spark, sf):
+    folds, _, _ = models.cross_validate(_items(spark, sf), "gbt", ["x"], "y", "id", 3, **_ONE_TREE)
+    return folds.select("fold", "n", r("rmse", 3).alias("rmse"), r("mae", 3).alias("mae"))
+
+
+@query("m9_one_tree_scoring", f"""WITH {_ITEM}, f AS (SELECT x, avg(y) AS p FROM i WHERE train GROUP BY 1)
+  SELECT count(*) AS n, round(avg(p), 3) AS "avg", round(min(p), 3) AS "min", round(max(p), 3) AS "max" FROM i JOIN f USING (x)""")
+def _(spark, sf):
+    items = _items(spark, sf)
+    model = models.train(items.filter("train"), "gbt", ["x"], "y", **_ONE_TREE)
+    return rounded(stats.prediction_summary(models.score(model, items)), 3)
+
+
 _PREP = """e AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
   b AS (SELECT readings.*, CAST(least(floor((value - lo) * 10 / (hi - lo)) + 1, 10) AS INTEGER) AS bin, md5(concat('42|', event_id)) AS h FROM readings, e),
   k AS (SELECT *, row_number() OVER (PARTITION BY bin ORDER BY h) AS rn, count(*) OVER (PARTITION BY bin) AS n FROM b),
