@@ -122,10 +122,12 @@ def test_decontamination(spark, limit):
     changed = ITEM.replace("12", "30").replace("Alice", "Carol").replace("apples", "apples")
     mixed = ITEM.replace("pays 12", "pays 30").replace("Alice", "Carol").replace("Bob 12", "Bob 77").replace("3 bags", "12 bags")
     rows = cases.documents(20) + [(300, "x y z " + ITEM + " and so on"), (301, "q\n" + changed), (302, mixed), (303, ITEM[:30]),
-                                  (304, "how many apples does she buy"), (305, ITEM), (305, ITEM), (None, ITEM)]
+                                  (304, "how many apples does she buy"), (305, ITEM), (305, ITEM), (None, ITEM),
+                                  (306, "X!! " + ITEM.upper())]
     docs = cases.frame(spark, rows)
     got = {(r.doc_id, r.item_id): (r.n_slots, r.n_changed) for r in decontaminate.hits(docs, bench, limit_bytes=limit).collect()}
-    assert set(got) == {(300, 1), (301, 1), (302, 1), (305, 1)} or set(got) == {(300, 1), (301, 1), (305, 1)}
+    # 302 replaces one value by several; 306 has no window without a name left that suffices.
+    assert {(300, 1), (301, 1), (305, 1)} <= set(got) <= {(300, 1), (301, 1), (302, 1), (305, 1), (306, 1)}
     assert got[300, 1][1] == 0 and got[301, 1][1] >= 3 and got[305, 1] == got[300, 1]
     left = decontaminate.decontaminate(docs, bench)
     assert left.columns == docs.columns

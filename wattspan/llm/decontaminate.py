@@ -1,8 +1,9 @@
 """Benchmark decontamination on templates.
 
 Tokens are words, numbers and the signs of units. A token's template form depends
-on the token alone: numbers become ``<num>``, units ``<unit>``, words with a
-capital first letter ``<name>``; other words are lower-cased. A window is
+on the token alone: numbers become ``<num>``, units ``<unit>``, capitalised
+words ``<name>``; other words are lower-cased, so a
+passage in capitals keeps its windows between names. A window is
 ``WINDOW`` forms in a row, hashed; benchmark windows with fewer than
 ``LEAST_WORDS`` literal words say too little and are left out. Windows of
 documents are joined to those of the benchmark by hash.
@@ -42,7 +43,7 @@ TOKEN = r"\p{L}+|[0-9]+(?:[.,][0-9]+)*|[%$€£°]"
 NUMBER = r"^[0-9]"
 UNIT = (r"^(?:[%$€£°]|mm|cm|m|km|mg|g|kg|ml|l|s|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|"
         r"meters?|metres?|miles?|feet|inch(?:es)?|liters?|litres?|grams?|kilograms?|pounds?|dollars?|euros?|cents?)$")
-NAME = r"^\p{Lu}"
+NAME = r"^\p{Lu}\p{Ll}"
 
 
 def form(token: Column) -> Column:

@@ -129,7 +129,7 @@ WITH texts AS (
   SELECT kind, id, regexp_extract_all(text, '\p{L}+|[0-9]+(?:[.,][0-9]+)*|[%$€£°]') AS t FROM texts
 ), forms AS (
   SELECT *, list_transform(t, lambda x: CASE WHEN regexp_matches(x, '^[0-9]') THEN '<num>'
-    WHEN regexp_matches(x, '^\p{Lu}') THEN '<name>'
+    WHEN regexp_matches(x, '^\p{Lu}\p{Ll}') THEN '<name>'
     WHEN regexp_matches(x, '^(?:[%$€£°]|mm|cm|m|km|mg|g|kg|ml|l|s|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|feet|inch(?:es)?|liters?|litres?|grams?|kilograms?|pounds?|dollars?|euros?|cents?)$') THEN '<unit>'
     ELSE lower(x) END) AS f FROM tokens
 ), windows AS (
