@@ -154,3 +154,9 @@ def test_rows_that_share_order_and_line_stay_apart(spark, tmp_path):
     rows = li.select("l_extendedprice", "l_quantity").toPandas()
     flat, rate = rows.l_extendedprice - 30000, rows.l_extendedprice - 1500 * rows.l_quantity
     assert abs(got["flat", "rate"] - flat.corr(rate)) < 1e-6
+
+
+def test_five_thousand_categories(spark):
+    df = spark.range(5000).selectExpr("id", "CASE WHEN id > 0 THEN concat('c', lpad(CAST(id AS STRING), 5, '0')) END AS c")
+    out = prep.index_categories(df, prep.category_table(df, ["c"]), ["c"])
+    assert [r.c_index for r in out.orderBy("id").collect()] == [None, *range(4999)]

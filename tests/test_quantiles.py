@@ -98,8 +98,8 @@ def test_categorical_drift_and_dataset(spark):
 
 
 @pytest.mark.parametrize("score, share, rmse, want", [
-    (0.5, 0.0, 10.0, "CRITICAL"), (0.0, 0.5, 10.0, "CRITICAL"), (0.0, 0.0, 11.5, "CRITICAL"),
-    (0.36, 0.0, 10.0, "WARNING"), (0.0, 0.36, 11.4, "WARNING"), (0.3, 0.3, 11.4, "INFO")])
+    (0.7, 0.0, 10.0, "CRITICAL"), (0.0, 0.5, 10.0, "CRITICAL"), (0.0, 0.0, 11.5, "CRITICAL"), (0.5, 0.0, 10.0, "WARNING"),
+    (0.0, 0.36, 11.4, "WARNING"), (0.36, 0.3, 11.4, "INFO")])
 def test_alert_severity(spark, score, share, rmse, want):
     run = spark.createDataFrame([(score, share, rmse)], "drift_score double, share_of_drifted_features double, rmse double")
     assert drift.alert(run, 10.0).first()["severity"] == want

@@ -79,7 +79,7 @@ def test_short_series_has_fewer_lags(spark):
 
 def test_packaging(spark):
     df = spark.createDataFrame([("a", i, float(i), float(-i)) for i in range(7)] + [("b", 0, 9.0, 1.0)], "k string, t long, v double, c double")
-    one = tseries.pack_series(df, ["k"], ["t"], "v", ["c"], ["c"])
+    one = tseries.pack_series(df, ["k"], ["t"], "v", ["c"], ["c"], chunk=100)
     rec = {r["k"]: r for r in one.collect()}
     assert rec["a"]["target"] == [float(i) for i in range(7)] and rec["a"]["past_covariates"]["c"][3] == -3.0
     parts = tseries.pack_series(df, ["k"], ["t"], "v", ["c"], chunk=3)
@@ -88,9 +88,9 @@ def test_packaging(spark):
     st = tseries.packaging_stats(parts, ["k"]).first()
     assert (st["n_series"], st["min_length"], st["max_length"], st["has_future_covariates"]) == (2, 1, 7, False)
     with pytest.raises(ValueError):
-        tseries.pack_series(df, ["k"], ["t"], "v", [], ["c"], require_subset=True)
+        tseries.pack_series(df, ["k"], ["t"], "v", [], ["c"], chunk=9, require_subset=True)
     with pytest.raises(ValueError):
-        tseries.pack_series(df, ["k"], ["t"], "missing")
+        tseries.pack_series(df, ["k"], ["t"], "missing", chunk=9)
 
 
 @pytest.mark.parametrize("block", [None, 16])

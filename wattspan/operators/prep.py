@@ -11,6 +11,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattspan.functions.columns import map_lookup, qcol, qcols, require, rows_of, set_columns
+from wattspan.operators.order import with_position
+from wattspan.operators.small import join_small
 
 
 class _Saved(DefaultParamsReadable, DefaultParamsWritable):
@@ -109,7 +111,7 @@ class CategoryEncoderModel(Model, _HasColumns, _Saved):
 class CategoryEncoder(Estimator, _HasColumns, _Saved):
     """One-hot encoding that drops the first category in sorted order.
 
-    Each category becomes a column, so a fit fails beyond ``maxCategories``.
+    Each category becomes a column, so a fit fails beyond ``maxCategories``; :func:`index_categories` has no limit.
     """
 
     maxCategories = Param(Params._dummy(), "maxCategories", "largest number of categories",
@@ -137,6 +139,26 @@ class CategoryEncoder(Estimator, _HasColumns, _Saved):
         return CategoryEncoderModel(cols, found)
 
 
+def category_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column``, ``category`` and its 0-based ``index`` in sorted order, for any number of categories."""
+    require(df, columns)
+    long = df.select(*[qcol(c).cast("string").alias(c) for c in columns]).unpivot([], qcols(columns), "column", "category")
+    distinct = long.filter("category IS NOT NULL").distinct()
+    return with_position(distinct, ["category"], ["column"], "index").select("column", "category", "index")
+
+
+def index_categories(df: DataFrame, table: DataFrame, columns: list[str], suffix: str = "_index") -> DataFrame:
+    """Adds each column's category index by a join with the table; unknown and null values become null.
+
+    The index feeds tree models as it is, and sparse one-hot vectors through ``pyspark.ml.feature.OneHotEncoder``.
+    """
+    out = df
+    for c in columns:
+        side = table.filter(F.col("column") == c).select(F.col("category").alias("_category"), F.col("index").alias(c + suffix))
+        out = join_small(out.withColumn("_category", qcol(c).cast("string")), side, ["_category"], "left").drop("_category")
+    return out
+
+
 def map_binary(df: DataFrame, feature: str, mapping: dict[str, int]) -> DataFrame:
     """Explicit value map to int; unmatched values become null."""
     require(df, [feature])

@@ -84,7 +84,7 @@ def _attempt(numbers: DataFrame, by: list[str], cols: list[str], spec, level: in
         .agg(F.count(F.lit(1)).alias("c"))
     )
     hist, n_hist = settled(hist)
-    if n_hist <= window_rows:
+    if n_hist.rows <= window_rows:
         upto = W.partitionBy(*qcols(keys)).orderBy("rep", "open").rowsBetween(W.unboundedPreceding, 0)
         cum = hist.withColumn("c_cum", F.sum("c").over(upto))
     else:

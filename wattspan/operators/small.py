@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wattspan.functions.columns import qcol
 
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -55,25 +56,44 @@ def c_ref(name: str) -> str:
     return "`" + name + "`"
 
 
-def settled(side: DataFrame) -> tuple[DataFrame, int]:
-    """The frame checkpointed, and its number of rows."""
+class Size(NamedTuple):
+    rows: int
+    bytes: int
+
+
+def _width(field: T.StructField) -> Column:
+    """Estimated bytes of one value."""
+    c = qcol(field.name)
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 24
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 24
+    return F.lit(16)
+
+
+def settled(side: DataFrame) -> tuple[DataFrame, Size]:
+    """The frame checkpointed, with its rows and estimated bytes."""
     side = checkpointed(side)
-    return side, side.count()
+    width = F.lit(16)
+    for field in side.schema.fields:
+        width = width + _width(field)
+    rows, size = side.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return side, Size(rows, size)
 
 
-def join_settled(big: DataFrame, side: DataFrame, rows: int, on: list[str], how: str = "inner",
+def join_settled(big: DataFrame, side: DataFrame, size: Size, on: list[str], how: str = "inner",
                  limit: int | None = None) -> DataFrame:
-    """Broadcasts a checkpointed side of known row count, or shuffles beyond the limit."""
-    bound = BROADCAST_ROWS if limit is None else limit
-    return null_safe_join(big, F.broadcast(side) if rows <= bound else side, on, how)
+    """Broadcasts a checkpointed side of known size, or shuffles beyond ``limit`` bytes."""
+    bound = BROADCAST_BYTES if limit is None else limit
+    return null_safe_join(big, F.broadcast(side) if size.bytes <= bound else side, on, how)
 
 
 def join_small(big: DataFrame, side: DataFrame, on: list[str], how: str = "inner",
                limit: int | None = None) -> DataFrame:
     """Joins an aggregate that is usually small.
 
-    The side is checkpointed and counted; up to ``limit`` rows it is broadcast,
+    The side is checkpointed and measured; up to ``limit`` bytes it is broadcast,
     beyond that the join shuffles and adaptive execution splits skewed keys.
     """
-    side, rows = settled(side)
-    return join_settled(big, side, rows, on, how, limit)
+    side, size = settled(side)
+    return join_settled(big, side, size, on, how, limit)

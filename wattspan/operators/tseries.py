@@ -153,11 +153,11 @@ def partial_autocorrelation(acf: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def pack_series(df: DataFrame, keys: list[str], order_by: list[str], target: str, past: list[str] = (),
-                future: list[str] = (), chunk: int = 65_536, require_subset: bool = False) -> DataFrame:
+                future: list[str] = (), *, chunk: int, require_subset: bool = False) -> DataFrame:
     """Arrays of target and covariates per series, in order, as float.
 
-    A series up to ``chunk`` rows is one record. A longer one continues in
-    records numbered by ``part``, so no record outgrows a task.
+    A record has at most ``chunk`` rows; a series is its records in the order of
+    ``part``, which belongs to the key. The caller chooses the chunk.
     """
     require(df, [*keys, *order_by, target, *past, *future])
     if require_subset and not set(future) <= set(past):

@@ -149,6 +149,13 @@ def _(spark, sf):
     return prep.CategoryEncoder(columns=["o_orderstatus"]).fit(o).transform(o)
 
 
+@query("e2_category_index", """WITH k AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS c FROM orders)
+  SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY c) - 1 AS BIGINT) AS c_index FROM k""")
+def _(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("c"))
+    return prep.index_categories(o, prep.category_table(o, ["c"]), ["c"]).select("o_orderkey", "c_index")
+
+
 @query("e2_one_hot_unknown", """SELECT o_orderkey, CAST(o_orderpriority = '2-HIGH' AS INTEGER) AS "o_orderpriority_2-HIGH"
   FROM orders""")
 def _(spark, sf):

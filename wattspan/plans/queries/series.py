@@ -112,7 +112,7 @@ def _(spark, sf):
   TRUE AS has_past_covariates, TRUE AS has_future_covariates FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1)""")
 def _(spark, sf):
     ev = table(spark, sf, "events")
-    packed = tseries.pack_series(ev, ["user_id"], _ORDER, "value", ["event_id"], ["event_id"], require_subset=True)
+    packed = tseries.pack_series(ev, ["user_id"], _ORDER, "value", ["event_id"], ["event_id"], chunk=_CHUNK, require_subset=True)
     return rounded(tseries.packaging_stats(packed, ["user_id"]))
 
 
