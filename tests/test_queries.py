@@ -14,6 +14,10 @@ SPREAD = [
     "e5_preprocessing_saved", "f7_temporal_features", "i1_interpolate_series", "l1_intents", "m11_compare_models", "o4_iqr_report",
     "p5_clean_categories", "r1_numeric_drift", "r10_trend_report", "s9_prediction_log", "ts1_decompose", "ts11_backtest",
     "v5_range_report", "v15_split_report", "x1_stratified_split", "z1_window_statistics", "z2_stream_validation",
+    "a8_quartiles_infinity", "a16_histogram_nan", "e2_category_index", "j4_set_difference", "l1_intent_counts", "l2_slots",
+    "m1_one_tree", "m8_residual_correlation", "o6_zscore_report_nan", "p6_map_values_table", "r6_alert", "s11_history_scan",
+    "s12_retention", "ts1_decompose_spike", "ts6_partial_autocorrelation", "x1_stratified_split_category",
+    "x1_stratified_split_nulls", "z3_stream_drift",
 ]
 
 
