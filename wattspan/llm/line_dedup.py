@@ -37,6 +37,8 @@ LEAST_FILTER_BITS = 1 << 20
 MOST_FILTER_BITS = 1 << 30
 SEGMENT_BYTES = 1 << 16
 PROBES = 3
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 64
 
 _U = np.uint64
 NO_ID = -(1 << 63)
@@ -175,12 +177,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slim = texts(docs, id_col, text_col).select(*row, "_text")
     bitmap = twice_filter(slim, filter_bits(docs.count(), most_bits), min_points)
     found = scratch(suspects(slim, bitmap, min_points), "suspects")
-    frequent = (
+    frequent = scratch(
         found.filter("new").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("_k").alias("keeper"))
-        .filter(F.col("n") >= min_documents).drop("n")
-    )
+        .filter(F.col("n") >= min_documents).drop("n"), "frequent")
+    size = frequent.agg(F.sum(F.octet_length("key") + ROW_BYTES)).first()[0] or 0
     drops = (
-        found.join(frequent, "key").filter("_k <> keeper")
+        # Beyond the bound the join shuffles, and adaptive execution splits the lines of a hot key.
+        found.join(F.broadcast(frequent) if size <= BROADCAST_BYTES else frequent, "key").filter("_k <> keeper")
         .groupBy(F.col("_k").alias("_dk"), F.col("_h").alias("_dh")).agg(F.collect_set("line").alias("_drop"))
     )
     # The whole rows, under names that no column of the input has.
