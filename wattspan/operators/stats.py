@@ -310,6 +310,29 @@ def power_factor_classes(df: DataFrame, lagging: str, leading: str) -> DataFrame
     )
 
 
+# Class, largest tCO2 per kWh, score.
+EMISSION_CLASSES = [
+    ("Bajo Impacto", 0.0008, 100),
+    ("Impacto Moderado Bajo", 0.0015, 80),
+    ("Impacto Moderado", 0.0025, 60),
+    ("Alto Impacto", None, 40),
+]
+LEAST_KWH = 0.001
+TREES_PER_TON = 50
+CAR_KM_PER_TON = 4500
+
+
+def emission_impact(df: DataFrame, kwh: str, co2: str) -> DataFrame:
+    """Adds tCO2 per kWh, its class and score, and what the emissions compare to. Null and NaN readings stay unclassed."""
+    rate = number(co2) / F.greatest(number(kwh), F.lit(LEAST_KWH))
+    rate = F.when(number(kwh).isNotNull(), rate)
+    pick = lambda k: F.coalesce(*[F.when(rate <= c[1] if c[1] is not None else rate.isNotNull(), F.lit(c[k])) for c in EMISSION_CLASSES])
+    return df.select(
+        "*", rate.alias("co2_per_kwh"), pick(0).alias("impact_class"), pick(2).alias("impact_score"),
+        (number(co2) * TREES_PER_TON).alias("trees_equivalent"), (number(co2) * CAR_KM_PER_TON).alias("car_km_equivalent"),
+    )
+
+
 def top_rows(df: DataFrame, order: str, n: int = 10, ascending: bool = False, columns: list[str] | None = None,
              tiebreak: list[str] = ()) -> DataFrame:
     """The n rows with the largest (or smallest) values; nulls come last."""

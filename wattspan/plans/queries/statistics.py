@@ -205,6 +205,22 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n"), r(F.avg("improvement_potential")).alias("mean_gap"))
 
 
+_EMISSIONS = """SELECT value AS kwh, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value * (event_id % 8) * 0.00045::DOUBLE END AS co2 FROM events"""
+
+
+@query("a20_emission_impact", f"""WITH e AS ({_EMISSIONS}), x AS (SELECT *, co2 / greatest(kwh, 0.001) AS x FROM e)
+  SELECT CASE WHEN x <= 0.0008 THEN 'Bajo Impacto' WHEN x <= 0.0015 THEN 'Impacto Moderado Bajo' WHEN x <= 0.0025 THEN 'Impacto Moderado'
+    WHEN x IS NOT NULL THEN 'Alto Impacto' END AS impact_class,
+    CAST(CASE WHEN x <= 0.0008 THEN 100 WHEN x <= 0.0015 THEN 80 WHEN x <= 0.0025 THEN 60 WHEN x IS NOT NULL THEN 40 END AS INTEGER) AS impact_score,
+    count(*) AS n, round(sum(co2 * 50), 4) AS trees, round(sum(co2 * 4500), 2) AS km FROM x GROUP BY 1, 2""")
+def _(spark, sf):
+    e = F.col("event_id")
+    co2 = F.when(e % 11 != 0, F.col("value") * (e % 8) * 0.00045)
+    out = stats.emission_impact(table(spark, sf, "events").select(F.col("value").alias("kwh"), co2.alias("co2")), "kwh", "co2")
+    return out.groupBy("impact_class", "impact_score").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("trees_equivalent"), 4).alias("trees"), F.round(F.sum("car_km_equivalent"), 2).alias("km"))
+
+
 # ---- correlation -------------------------------------------------------------------
 
 _TARGET = "l_extendedprice"
