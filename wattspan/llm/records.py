@@ -144,42 +144,40 @@ def write_records(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col
     return scratch(placed.mapInArrow(run, "shard string, records bigint, tokens bigint, bytes bigint"), "manifest")
 
 
+def shard_starts(manifest: DataFrame) -> DataFrame:
+    """``shard`` and ``first``, the number of ids in all files before it. The window sees one row per file."""
+    before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    return manifest.select("shard", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("first"))
+
+
 def read_records(manifest: DataFrame, folder: str) -> DataFrame:
-    """Documents of the files: ``shard``, ``record`` (its place in the file), ``doc_id``, ``ids`` and ``before``, the
-    number of ids before it in the file. Checksums are verified."""
-    kinds = pa.schema([("shard", pa.string()), ("record", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()),
+    """Documents of the files: ``shard``, ``record`` (its place in the file), ``doc_id``, ``start`` (ids of all records
+    before it) and ``ids``. Checksums are verified."""
+    kinds = pa.schema([("shard", pa.string()), ("record", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
                        ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
         for batch in batches:
-            for name in batch.column("shard").to_pylist():
+            for name, start in zip(batch.column("shard").to_pylist(), batch.column("first").to_pylist()):
                 store, inner = fs.FileSystem.from_uri(folder)
                 with store.open_input_file(f"{inner}/{name}.rec") as f, store.open_input_file(f"{inner}/{name}.idx") as g:
                     data, offsets = f.read_buffer(), np.frombuffer(g.read_buffer(), "<u8").tolist()
-                before = 0
                 for k in range(0, len(offsets), 512):
-                    got, befores = [], []
+                    got, starts = [], []
                     for at in offsets[k:k + 512]:
-                        payload, _ = unframe(data, at)
-                        got.append(parse(payload))
-                        befores.append(before)
-                        before += len(got[-1][1])
+                        got.append(parse(unframe(data, at)[0]))
+                        starts.append(start)
+                        start += len(got[-1][1])
                     n = np.cumsum([0, *(len(x[1]) for x in got)]).astype(np.int32)
                     yield pa.RecordBatch.from_pydict({
                         "shard": [name] * len(got), "record": list(range(k, k + len(got))), "doc_id": [x[0] for x in got],
-                        "before": befores,
+                        "start": starts,
                         "ids": pa.ListArray.from_arrays(n, np.concatenate([x[1] for x in got]).astype(np.int32)),
                     }, schema=kinds)
 
     # One file is a task's unit: it has at most file_bytes and one more record.
-    files = manifest.select("shard").repartition("shard")
-    return files.mapInArrow(run, "shard string, record bigint, doc_id bigint, before bigint, ids array<int>")
-
-
-def shard_starts(manifest: DataFrame) -> DataFrame:
-    """``shard`` and ``first``, the number of ids in all files before it. The window sees one row per file."""
-    before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    return manifest.select("shard", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("first"))
+    files = shard_starts(manifest).repartition("shard")
+    return files.mapInArrow(run, "shard string, record bigint, doc_id bigint, start bigint, ids array<int>")
 
 
 def checksums(records: DataFrame) -> DataFrame:
@@ -192,12 +190,12 @@ def checksums(records: DataFrame) -> DataFrame:
             ends = ids.offsets.to_numpy()
             crc = [zlib.crc32(values[s:e]) for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_pydict({
-                **{c: b.column(c) for c in ("shard", "record", "doc_id", "before")},
+                **{c: b.column(c) for c in ("shard", "record", "doc_id", "start")},
                 "n_tokens": np.diff(ends).astype(np.int64), "ids_crc32": pa.array(crc, pa.int64()),
             })
 
     return records.mapInArrow(
-        run, "shard string, record bigint, doc_id bigint, before bigint, n_tokens bigint, ids_crc32 bigint")
+        run, "shard string, record bigint, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
@@ -206,6 +204,5 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     before it), ``n_tokens`` and ``ids_crc32``."""
     folder = folder or f"{checkpoint_dir(docs.sparkSession)}/wattspan-llm/records-{uuid.uuid4().hex}"
     manifest = write_records(docs, folder, id_col, text_col, path, end_id)
-    got = checksums(read_records(manifest, folder)).join(shard_starts(manifest), "shard")
-    return got.select(qcol("doc_id").alias(id_col), (F.col("first") + F.col("before")).alias("start"), "n_tokens",
-                      "ids_crc32", "shard", "record")
+    got = checksums(read_records(manifest, folder))
+    return got.select(qcol("doc_id").alias(id_col), "start", "n_tokens", "ids_crc32", "shard", "record")
