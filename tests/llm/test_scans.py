@@ -134,6 +134,15 @@ def test_decontamination(spark, limit):
     assert {r.doc_id for r in left.collect()} == {i for i, _ in rows} - {d for d, _ in got}
 
 
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_copies_in_other_case(spark, limit):
+    item = ITEM + ". The Straße was wide and Every house had 3 doors"
+    bench = spark.createDataFrame([(1, item), (2, ITEM)], "item_id bigint, text string")
+    rows = [(306, "X!! " + ITEM.upper()), (307, item.upper()), (308, item.lower()), (309, item.title()), (310, "a b c")]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.hits(cases.frame(spark, rows), bench, limit_bytes=limit).collect()}
+    assert {(306, 2), (307, 1), (307, 2), (308, 1), (309, 1)} <= got and 310 not in {d for d, _ in got}
+
+
 def test_slots_must_agree(spark):
     item = "take 3 red and 3 blue and 3 green and 3 black and 3 white marbles out"
     bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")

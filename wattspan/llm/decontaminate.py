@@ -15,6 +15,17 @@ consistent: a value of the item always has the same counterpart. A group counts
 when at least ``LEAST_WINDOWS`` windows match (all of a shorter item's) and at
 least ``LEAST_CONSISTENT`` of its slot pairs are consistent.
 
+Beside these windows of the text as it stands, a second search takes folded
+tokens: a run of placeholders of one type is one slot, so a value may be longer
+or shorter than the item's. It reads the text without case (words in any case
+are literals, numbers and units are slots). Its windows have ``SHORT`` forms, of
+which at least ``SHORT_WORDS`` are literal. They are grouped by one distance, by
+near ones, and by distances of up to the item's length, since a literal may be
+replaced by more words. A group counts when its windows cover
+``LEAST_COVERED`` of the item, or when at least ``LEAST_SHORT`` lie at one or near
+distances, and its slots are consistent. A pair that the first search finds
+keeps that search's figures.
+
 Nothing but built-in functions runs on the texts. The benchmark side is
 broadcast when its counted rows are within the limit and shuffled otherwise.
 
@@ -34,6 +45,12 @@ WINDOW = 8
 LEAST_WORDS = 4
 LEAST_WINDOWS = 6
 LEAST_CONSISTENT = 0.8
+SHORT = 5
+SHORT_WORDS = 3
+LEAST_SHORT = 9
+LEAST_COVERED = 0.6
+NEAR = 8
+KINDS = ("caseless",)
 BROADCAST_BYTES = 64 << 20
 # Estimated bytes of a benchmark window in memory: a hash, two numbers and WINDOW strings.
 ROW_BYTES = 1024
@@ -41,9 +58,15 @@ ROW_BYTES = 1024
 # The tokens, and the forms that are slots.
 TOKEN = r"\p{L}+|[0-9]+(?:[.,][0-9]+)*|[%$€£°]"
 NUMBER = r"^[0-9]"
-UNIT = (r"^(?:[%$€£°]|mm|cm|m|km|mg|g|kg|ml|l|s|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|"
-        r"meters?|metres?|miles?|feet|inch(?:es)?|liters?|litres?|grams?|kilograms?|pounds?|dollars?|euros?|cents?)$")
+UNIT_WORDS = (r"mm|cm|m|km|mg|g|kg|ml|l|s|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|"
+              r"meters?|metres?|miles?|feet|inch(?:es)?|liters?|litres?|grams?|kilograms?|pounds?|dollars?|euros?|cents?")
+UNIT = rf"^(?:[%$€£°]|{UNIT_WORDS})$"
 NAME = r"^\p{Lu}\p{Ll}"
+# Folded tokens: runs of units, names and numbers, and words. Possessive, so that Java's matcher loops and does not recurse.
+BETWEEN = r"[^\p{L}0-9%$€£°]*+"
+FIRST_UNIT = rf"(?:[%$€£°]|(?:{UNIT_WORDS})(?!\p{{L}}))"
+FOLDED = "|".join([f"{x}(?:{BETWEEN}{x})*+" for x in (
+    FIRST_UNIT, r"\p{Lu}\p{Ll}\p{L}*+", r"[0-9]++(?:[.,][0-9]++)*+")] + [r"\p{L}++"])
 
 
 def form(token: Column) -> Column:
@@ -54,6 +77,14 @@ def form(token: Column) -> Column:
     )
 
 
+def folded_form(token: Column) -> Column:
+    """Template form of a folded token, by its beginning."""
+    return (
+        F.when(F.rlike(token, F.lit(NUMBER)), "<num>").when(F.rlike(token, F.lit(NAME)), "<name>")
+        .when(F.rlike(token, F.lit("^" + FIRST_UNIT)), "<unit>").otherwise(F.lower(token))
+    )
+
+
 def _neighbours(column: str, step: int) -> Column:
     """Hash of each element with the one ``step`` behind it; the last ones drop out."""
     size = F.greatest(F.size(column) - step, F.lit(0))
@@ -98,19 +129,44 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return rows.select("doc", "pos", "h", values).join(side, "h").drop("h")
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-         item_text: str = "text", limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """One row per document and item found in it: ``n_windows`` (most at one distance), ``n_slots`` and
-    ``n_changed`` (slots there, and those with another value)."""
-    found = scratch(matches(docs, benchmark, id_col, text_col, item_col, item_text, limit_bytes), "matches")
-    at = ["doc", "item", "gap"]
-    found = found.withColumn("gap", F.col("pos") - F.col("ipos"))
-    counts = found.groupBy(*at).agg(F.countDistinct("ipos").alias("n_windows"), F.max("many").alias("many"))
-    counts = counts.filter(F.col("n_windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("many")))
-    # Slots of the item at this distance, once each, with the values on both sides.
+def short_windows(df: DataFrame, kind: str) -> DataFrame:
+    """``_id``, ``_tokens`` and ``_forms`` (folded), and ``_h5``, one hash per window of five."""
+    text = F.coalesce("_text", F.lit(""))
+    if kind == "caseless":
+        # Upper case first: some letters have several lower-case forms or become two.
+        text = F.lower(F.upper(text))
+    split = df.select("_id", F.regexp_extract_all(text, F.lit(FOLDED), 0).alias("_tokens"))
+    out = split.withColumn("_forms", F.transform("_tokens", folded_form))
+    out = out.withColumn("_h2", _neighbours("_forms", 1)).withColumn("_h4", _neighbours("_h2", 2))
+    size = F.greatest(F.size("_h4") - 1, F.lit(0))
+    h5 = F.transform("_h4", lambda x, i: F.xxhash64(x, F.get("_forms", i + 4)))
+    return out.withColumn("_h5", F.slice(h5, F.lit(1), size))
+
+
+def short_matches(docs: DataFrame, benchmark: DataFrame, kind: str, limit_bytes: int) -> DataFrame:
+    """Matching short windows: ``doc``, ``pos``, ``dvals``, ``item``, ``ipos``, ``ivals`` and ``size``, the item's tokens."""
+    w = short_windows(benchmark, kind).filter("_id IS NOT NULL")
+    rows = w.select(F.col("_id").alias("item"), "_tokens", "_forms", F.posexplode_outer("_h5").alias("ipos", "h")).filter("h IS NOT NULL")
+    literal = F.size(F.filter(F.slice("_forms", F.col("ipos") + 1, SHORT), lambda x: ~F.startswith(x, F.lit("<"))))
+    side = scratch(rows.filter(literal >= SHORT_WORDS).select(
+        "h", "item", "ipos", F.slice("_tokens", F.col("ipos") + 1, SHORT).alias("ivals"), F.size("_tokens").alias("size")), kind)
+    d = short_windows(docs, kind).filter("_id IS NOT NULL")
+    rows = d.select(F.col("_id").alias("doc"), "_tokens", F.posexplode_outer("_h5").alias("pos", "h")).filter("h IS NOT NULL")
+    values = F.slice("_tokens", F.col("pos") + 1, SHORT).alias("dvals")
+    if side.count() * ROW_BYTES <= limit_bytes:
+        rows = rows.join(F.broadcast(side), "h").select("doc", "pos", values, "item", "ipos", "ivals", "size")
+    else:
+        rows = rows.select("doc", "pos", "h", values).join(side, "h").drop("h")
+    return rows.withColumn("kind", F.lit(kind))
+
+
+def _consistent(found: DataFrame, counts: DataFrame, at: list[str], form_of, value_of=lambda c: c) -> DataFrame:
+    """The groups of ``counts`` with ``n_slots`` and ``n_changed``, as far as their slots are consistent."""
+    # Slots of the item in this group, once each, with the values on both sides.
     pairs = found.select(*at, "ipos", F.posexplode_outer(F.arrays_zip("ivals", "dvals")).alias("k", "v")).select(
         *at, (F.col("ipos") + F.col("k")).alias("slot"), F.col("v.ivals").alias("i"), F.col("v.dvals").alias("d"))
-    pairs = pairs.filter(F.startswith(form(F.col("i")), F.lit("<"))).distinct()
+    pairs = pairs.filter(F.startswith(form_of(F.col("i")), F.lit("<"))).select(
+        *at, "slot", value_of(F.col("i")).alias("i"), value_of(F.col("d")).alias("d")).distinct()
     values = pairs.groupBy(*at, "i", "d").agg(F.count(F.lit(1)).alias("n"))
     # Of an item's value the most frequent counterpart is consistent.
     settled = values.groupBy(*at, "i").agg(
@@ -119,9 +175,47 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     slots = settled.groupBy(*at).agg(F.sum("slots").alias("n_slots"), F.sum("agree").alias("agree"),
                                      F.sum("changed").alias("n_changed"))
     judged = counts.join(slots, at, "left").fillna(0, ["n_slots", "agree", "n_changed"])
-    good = judged.filter(F.col("agree") >= F.lit(LEAST_CONSISTENT) * F.col("n_slots"))
-    best = good.groupBy("doc", "item").agg(F.max(F.struct(
-        "n_windows", (-F.col("n_changed")).alias("kept"), "n_slots")).alias("b"))
+    return judged.filter(F.col("agree") >= F.lit(LEAST_CONSISTENT) * F.col("n_slots"))
+
+
+def _short_hits(found: DataFrame) -> DataFrame:
+    """Good groups of short windows; ``n_windows`` counts these."""
+    gap, size = F.col("pos") - F.col("ipos"), F.col("size")
+    groups = [(0, gap), (1, F.floor(gap / NEAR)), (2, F.floor((gap + NEAR // 2) / NEAR)),
+              (3, F.floor(gap / (2 * size))), (4, F.floor((gap + size) / (2 * size)))]
+    found = found.select("doc", "item", "ipos", "size", "ivals", "dvals", F.explode(F.array(*[
+        F.concat_ws(":", "kind", F.lit(k), b.cast("bigint")) for k, b in groups])).alias("at"))
+    at = ["doc", "item", "at"]
+    starts = found.groupBy(*at).agg(F.collect_set("ipos").alias("starts"), F.max("size").alias("size"))
+    near = ~F.rlike(F.col("at"), F.lit(":[34]:"))
+    covered = F.size(F.array_distinct(F.flatten(F.transform("starts", lambda x: F.sequence(x, x + SHORT - 1)))))
+    counts = scratch(starts.select(*at, F.size("starts").cast("bigint").alias("n_windows"), "size", covered.alias("covered")).filter(
+        (near & (F.col("n_windows") >= LEAST_SHORT)) | (F.col("covered") >= F.lit(LEAST_COVERED) * F.col("size"))), "groups")
+    # Only groups that count have their slots compared.
+    found = scratch(found.join(counts.select(*at), at, "left_semi"), "grouped")
+    return _consistent(found, counts.select(*at, "n_windows"), at, folded_form, lambda c: F.regexp_replace(c, BETWEEN[:-2] + "+", " "))
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+         item_text: str = "text", limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """One row per document and item found in it: ``n_windows`` (most at one distance, or of short windows in one group),
+    ``n_slots`` and ``n_changed`` (slots there, and those with another value)."""
+    found = scratch(matches(docs, benchmark, id_col, text_col, item_col, item_text, limit_bytes), "matches")
+    at = ["doc", "item", "gap"]
+    found = found.withColumn("gap", F.col("pos") - F.col("ipos"))
+    counts = found.groupBy(*at).agg(F.countDistinct("ipos").alias("n_windows"), F.max("many").alias("many"))
+    counts = counts.filter(F.col("n_windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("many")))
+    good = _consistent(found, counts, at, form)
+    slim, items = texts(docs, id_col, text_col), texts(benchmark, item_col, item_text)
+    short = None
+    for kind in KINDS:
+        rows = short_matches(slim, items, kind, limit_bytes)
+        short = rows if short is None else short.unionByName(rows)
+    columns = ["doc", "item", "n_windows", "n_slots", "n_changed"]
+    both = good.select(F.lit(1).alias("first"), *columns).union(
+        _short_hits(scratch(short, "short")).select(F.lit(0).alias("first"), *columns))
+    best = both.groupBy("doc", "item").agg(F.max(F.struct(
+        "first", "n_windows", (-F.col("n_changed")).alias("kept"), "n_slots")).alias("b"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), F.col("b.n_windows"), F.col("b.n_slots"),
                        (-F.col("b.kept")).alias("n_changed"))
 
