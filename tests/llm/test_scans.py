@@ -143,6 +143,16 @@ def test_copies_in_other_case(spark, limit):
     assert {(306, 2), (307, 1), (307, 2), (308, 1), (309, 1)} <= got and 310 not in {d for d, _ in got}
 
 
+def test_values_of_other_length(spark):
+    names = "Anna met old Bert near the mill while Carl sold red Dora fresh bread and Emil saw it"
+    words = "we took the narrow path along the river until it reached the old mill"
+    bench = spark.createDataFrame([(1, names), (2, words)], "item_id bigint, text string")
+    longer = re.sub("([A-Z][a-z]+)", r"\1 Miller", names)
+    rows = [(1, "x " + longer), (2, words.replace("river", "stream")), (3, words.replace("river", "very small stream")), (4, "a b")]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.hits(cases.frame(spark, rows), bench).collect()}
+    assert got == {(1, 1), (2, 2), (3, 2)}
+
+
 def test_slots_must_agree(spark):
     item = "take 3 red and 3 blue and 3 green and 3 black and 3 white marbles out"
     bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
