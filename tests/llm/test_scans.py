@@ -38,6 +38,13 @@ def test_index_takes_the_rarest_token(spark):
     assert got == {"org/": "org", "example.org/es/": "es", "example.org/en/1": "en", "com/fr/": "fr", "com/de/": "de"}
 
 
+def test_rules_without_a_token(spark):
+    df = spark.createDataFrame([(1, "http://a.com/x99"), (2, "http://b.com/y"), (3, "://"), (4, None)], "page_id bigint, url string")
+    rules = [("block", r"[0-9]{2}$", []), ("block", r"^://$", []), ("block", r"/y$", ["y"])]
+    got = {r.page_id: r.verdict for r in url_filters.judge_urls(df, site_rules=[], pattern_rules=rules).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
 TOKENS = re.compile(r"[^\W_]+|(?:[^\w\s]|_)+")
 
 

@@ -3,7 +3,7 @@
 A rule is a regular expression with the whole tokens (runs of a-z and 0-9) that
 any matching URL must contain. Token frequencies over the table's URLs choose
 each rule's rarest token; the URL's own tokens fetch its candidate rules by a
-join, and only these expressions run.
+join, and only these expressions run. Rules without a token run on every URL.
 
 Site rules (host and path prefix) win by length over each other, and over
 pattern rules; without either a URL is allowed. A null URL, or one without
@@ -61,7 +61,7 @@ def tokens(c: Column) -> Column:
 
 
 def rule_index(spark, urls: DataFrame, site_rules=None, pattern_rules=None) -> tuple[DataFrame, int]:
-    """Rules with the literal token that is rarest in ``urls``, ties by the token; and their number."""
+    """Rules with the literal token that is rarest in ``urls``, ties by the token, null without one; and their number."""
     rows = []
     for verdict, text in SITE_RULES if site_rules is None else site_rules:
         pattern, whole = site_rule(text)
@@ -75,7 +75,7 @@ def rule_index(spark, urls: DataFrame, site_rules=None, pattern_rules=None) -> t
         F.count(F.lit(1)).alias("n"))
     rarest = literals.join(counts, "token", "left").groupBy("no").agg(
         F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), F.col("token"))).alias("token"))
-    return rules.join(rarest, "no").drop("whole"), len(rows)
+    return rules.join(rarest, "no", "left").drop("whole"), len(rows)
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", site_rules=None, pattern_rules=None
@@ -89,6 +89,11 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     index, many = rule_index(pages.sparkSession, distinct, site_rules, pattern_rules)
     candidates = distinct.select("_url", F.explode("tokens").alias("token")).join(
         broadcast_if_small(index, many, RULE_BYTES), "token")
+    whole = [w for _, _, w in (PATTERN_RULES if pattern_rules is None else pattern_rules)]
+    whole += [site_rule(t)[1] for _, t in (SITE_RULES if site_rules is None else site_rules)]
+    if not all(whole):
+        bare = broadcast_if_small(index.filter("token IS NULL"), many, RULE_BYTES)
+        candidates = candidates.unionByName(distinct.select("_url").crossJoin(bare))
     subject = F.when(F.col("site").isNull(), ascii_lower(F.col("_url"))).otherwise(F.concat(host, path))
     hits = candidates.filter(F.rlike(subject, F.col("pattern")))
     best = F.max(F.when(F.col("site").isNotNull(), F.struct(F.length("site").alias("n"), "site", "action")))
