@@ -113,3 +113,12 @@ def test_models_learn_a_line(spark):
     assert imp[0]["feature"] == "x" and imp[0]["importance"] > 1 and imp[1]["importance"] == pytest.approx(0, abs=1e-6)
     with pytest.raises(ValueError):
         models.train(df, "net", ["x"], "y")
+
+
+def test_history_keeps_undated_runs(spark, tmp_path):
+    path = f"{tmp_path}/undated"
+    rows = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ '2024-01-01 00:00:00', 1), (TIMESTAMP_NTZ '2024-01-02 00:00:00', 2), "
+                     "(CAST(NULL AS TIMESTAMP_NTZ), 3) AS t(timestamp, v)")
+    io.append_history(rows, path)
+    assert [r["v"] for r in io.read_history(spark, path, 3).collect()] == [2, 1, 3]
+    assert [r["v"] for r in io.read_history(spark, path, 2).collect()] == [2, 1]

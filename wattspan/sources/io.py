@@ -93,9 +93,10 @@ def read_history(spark: SparkSession, path: str, limit: int | None = None, times
         newer = W.orderBy(F.desc("run_date")).rowsBetween(W.unboundedPreceding, -1)
         days = df.groupBy("run_date").agg(F.count(F.lit(1)).alias("n"))
         needed = days.filter("run_date IS NOT NULL").withColumn("_before", F.coalesce(F.sum("n").over(newer), F.lit(0)))
-        first = needed.filter(F.col("_before") < limit).agg(F.min("run_date").alias("d")).first()["d"]
-        if first is not None:
-            df = df.filter(F.col("run_date") >= F.lit(first))
+        last = needed.filter(F.col("_before") < limit).agg(F.min("run_date").alias("d"), F.sum("n").alias("n")).first()
+        # Runs without a date come last, where the dated ones do not fill the limit.
+        if last["d"] is not None and last["n"] >= limit:
+            df = df.filter(F.col("run_date") >= F.lit(last["d"]))
     return limited(df.drop("run_date").orderBy(qcol(timestamp).desc()), limit)
 
 
