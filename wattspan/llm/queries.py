@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattspan.llm import (
-    decontaminate, licenses, line_dedup, near_dups, packing, quality_rules, records, substrings, token_counts, url_filters,
+    decontaminate, embeddings, licenses, line_dedup, near_dups, packing, phrases, quality_rules, records, substrings, token_counts,
+    tries, url_filters,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +169,92 @@ def op9(spark, sf):
 @query("op7_license_scans")
 def op7(spark, sf):
     return licenses.scan_licenses(documents(spark, sf))
+
+
+@query("op11_collocations", r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents
+), words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), grams AS MATERIALIZED (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3), (4)) t(k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 30
+), found AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM grams WHERE k > 1
+), cuts AS (
+  SELECT lang, k, g, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM found)
+), scored AS (
+  SELECT c.lang, c.g, c.a, j, p.f AS l, q.f AS r, ((2000000::HUGEINT * c.a) // (p.f::HUGEINT + q.f))::BIGINT AS score
+  FROM cuts c JOIN grams p ON c.lang = p.lang AND c.x = p.g AND p.k = c.j
+  JOIN grams q ON c.lang = q.lang AND c.y = q.g AND q.k = c.k - c.j
+), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM found, (VALUES (2), (3)) t(m) WHERE m < k) GROUP BY ALL
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.g) AS rank
+  FROM best b LEFT JOIN inside i ON b.lang = i.lang AND b.g = i.g WHERE longer IS NULL OR 100 * longer < 80 * a
+)
+SELECT r.lang, rank, g AS phrase, a, l, r, n, score FROM ranked r JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def op11(spark, sf):
+    return phrases.collocations(documents(spark, sf))
+
+
+@query("op12_near_vectors", """
+WITH RECURSIVE rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), usable AS MATERIALIZED (
+  SELECT * FROM rows WHERE label IS NOT NULL AND e IS NOT NULL
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT x.i AS a, y.i AS b FROM usable x JOIN usable y ON x.label = y.label AND x.i <> y.i AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98
+), reach AS (SELECT i AS a, i AS b FROM rows UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a, min(vec_id) AS component_id FROM reach JOIN rows ON b = i GROUP BY a
+), degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, CASE WHEN vec_id IS NOT NULL THEN component_id END AS component_id,
+  coalesce(vec_id = component_id, FALSE) AS kept
+FROM rows JOIN least ON i = least.a LEFT JOIN degrees ON i = degrees.a
+""")
+def op12(spark, sf):
+    return embeddings.near_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query("op13_prefix_trie", """
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS i,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT)),
+    lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384))),
+    4294967295::BIGINT) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), mixed AS (
+  SELECT s.conv_id, i, t FROM sizes s JOIN turns b ON b.conv_id = s.base AND i < h
+  UNION ALL SELECT s.conv_id, i, t FROM sizes s JOIN turns o ON o.conv_id = s.conv_id AND i >= h
+), whole AS MATERIALIZED (
+  SELECT s.conv_id, coalesce(list(t ORDER BY i) FILTER (WHERE t IS NOT NULL), []) AS ts
+  FROM sizes s LEFT JOIN mixed m ON m.conv_id = s.conv_id GROUP BY s.conv_id
+), members AS MATERIALIZED (
+  SELECT conv_id, d AS depth, ts[1:d] AS prefix, len(ts) = d AS ends FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM whole)
+), nodes AS MATERIALIZED (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256,
+    (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE strlen(prefix[depth].text) END AS saved
+  FROM members GROUP BY prefix, depth
+), children AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS c FROM nodes WHERE depth > 0 GROUP BY 1
+), counted AS (SELECT n.*, coalesce(c, 0) AS c FROM nodes n LEFT JOIN children USING (prefix)
+), above AS (
+  SELECT prefix[1:d] AS prefix, sum(saved) AS saved, count(*) FILTER (WHERE c = 0) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n AS n_convs, n.c AS n_children, a.leaves AS n_leaves,
+  a.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN above a ON a.prefix = n.prefix LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.prefix[1:n.depth - 1]
+""")
+def op13(spark, sf):
+    return tries.conversation_trie(spark.read.parquet(f"{sf}/conversations.parquet"))
