@@ -4,22 +4,21 @@ Texts are lower-cased (A to Z), split at ``[.,;:!?`` and line breaks``]`` into
 pieces and at spaces and tabs into words. The graph's nodes are three words, its
 edges four words, weighted by their number of places.
 
-1. *Cut.* Hashed counters of words and of neighbouring pairs, summed over all
-   tasks, tell which of them can reach ``min_count``. A piece is cut between two
-   words whose pair cannot, and words that cannot are left out: no phrase with
-   ``min_count`` places is touched, since each of its pairs has as many. Equal
-   hashes let more through; they never lose or change a count. The counters grow
-   with the rows up to ``MOST_COUNTERS``, which bounds the broadcast bitmap (one
-   bit each); fuller counters cut less.
-2. *Edges.* Every run of words gives its edges, and its last words (three, or
-   all of a shorter run) as the end of a piece. Only these are shuffled, summed
-   on the map side first.
-3. *Flow.* A node's count is its outgoing flow plus the runs that end in it. Two
-   words have the sum of the nodes that begin with them plus the runs that end
-   in them, and one word likewise. So each shorter count comes from the next
-   longer one and its end correction.
-4. *Compaction.* A node is unary when one edge enters it, one leaves it, and no
-   run begins or ends there. Chains of unary nodes become one path of any length
+1. *Cut.* Hashed counters of words, of neighbouring pairs and of triples, summed
+   over all tasks, tell which of them can reach ``min_count``. Where one cannot, the
+   text is cut: no phrase with ``min_count`` places is touched, since each of its
+   parts has as many. Equal hashes let more through; they never lose or change a
+   count. The counters grow with the rows up to ``MOST_COUNTERS``, which bounds the
+   broadcast bitmap (one bit each); fuller counters cut less.
+2. *Edges.* Each place gives one row: the edge that begins there, or, where a piece
+   or a cut ends it earlier, the one to three words up to there. Only these are
+   shuffled, summed on the map side first.
+3. *Flow.* A node's count is its outgoing flow plus the ends of three words. Two
+   words have the sum of the nodes that begin with them plus the ends of two words,
+   and one word likewise. So each shorter count comes from the next longer one and
+   its end correction.
+4. *Compaction.* A node is unary when one edge enters it, one leaves it, and
+   nothing begins or ends there. Chains of unary nodes become one path of any length
    with one count (``paths``), by pointer doubling over the frequent nodes.
    Phrases of four words are read off the paths. A ring of unary nodes has no
    first node; its edges stay paths of their own.
@@ -47,9 +46,10 @@ INSIDE_PERCENT = 80
 FIRST = 2000
 WORDS = 4
 LEAST_COUNTERS = 1 << 20
-MOST_COUNTERS = 1 << 26
+MOST_COUNTERS = 1 << 25
 COUNTERS_PER_ROW = 64
 SEGMENT = 1 << 16
+PART_BYTES = SLICE_BYTES // 4
 
 # The ends of pieces, and what parts words.
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -60,7 +60,7 @@ _IS_GAP = table_of(WORD_GAPS)
 _U = np.uint64
 
 
-def _parts(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _parts(column: pa.Array, size: int = PART_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, bytes and offsets of slices; a text over the size comes in parts that end where a piece does."""
     for lo, hi, data, off in slices(column, size):
         if hi - lo > 1 or len(data) <= 2 * size:
@@ -79,7 +79,7 @@ def _parts(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.
 
 
 def _words(data: np.ndarray, off: np.ndarray, salt: np.ndarray):
-    """Word bounds, the text of each, hashes of words and of neighbours, and whether a word and the next are neighbours."""
+    """Bounds and text of the words, and hashes of words, pairs and triples with whether a pair or triple stands in one piece."""
     ends_at = _IS_END[data]
     starts, ends = runs(~(ends_at | _IS_GAP[data]), off)
     text = np.searchsorted(off, starts, side="right") - 1
@@ -87,7 +87,9 @@ def _words(data: np.ndarray, off: np.ndarray, salt: np.ndarray):
     np.cumsum(ends_at, out=stops[1:])
     h = mix(Prefix(data).of(starts, ends) + salt[text])
     near = (text[1:] == text[:-1]) & (stops[starts[1:]] == stops[ends[:-1]])
-    return starts, ends, text, h, mix(h[:-1] * _U(0xD6E8FEB86659FD93) + h[1:]), near
+    pairs = mix(h[:-1] * _U(0xD6E8FEB86659FD93) + h[1:])
+    triples = mix(pairs[:-1] * _U(0xCA5A826395121157) + h[2:])
+    return starts, ends, text, h, pairs, near, triples, near[:-1] & near[1:]
 
 
 def _languages(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
@@ -108,8 +110,8 @@ def _may_reach(docs: DataFrame, counters: int, min_count: int) -> np.ndarray:
         for batch in batches:
             _, salt = _languages(batch)
             for lo, data, off in _parts(batch.column("_text")):
-                _, _, _, h, pairs, near = _words(lowered(data), off, salt[lo:lo + len(off) - 1])
-                for keys in (h, pairs[near]):
+                _, _, _, h, pairs, near, triples, all_ = _words(lowered(data), off, salt[lo:lo + len(off) - 1])
+                for keys in (h, pairs[near], triples[all_]):
                     np.add.at(counts, (keys & _U(counters - 1)).astype(np.int64), 1)
             # Sums that reached the limit need no more.
             np.minimum(counts, 1 << 30, out=counts)
@@ -146,7 +148,7 @@ def _may_reach(docs: DataFrame, counters: int, min_count: int) -> np.ndarray:
 
 
 def _grams(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """``lang``, ``k``, ``g``, ``c``: edges (k = 4), ends of runs (k = 1 to 3), and numbers of words (k = 0)."""
+    """``lang``, ``k``, ``g``, ``c``: edges (k = 4), ends (k = 1 to 3), and numbers of words (k = 0)."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -156,19 +158,16 @@ def _grams(docs: DataFrame, bits: np.ndarray) -> DataFrame:
             names, salt = _languages(batch)
             for lo, data, off in _parts(batch.column("_text")):
                 data = lowered(data)
-                starts, ends, text, h, pairs, near = _words(data, off, salt[lo:lo + len(off) - 1])
+                starts, ends, text, h, pairs, near, triples, all_ = _words(data, off, salt[lo:lo + len(off) - 1])
                 n = len(starts)
                 if not n:
                     continue
                 often = bit(h)
-                # link[i]: word i - 1 and word i stay together.
-                link = np.zeros(n + 1, bool)
-                link[1:n] = near & often[:-1] & often[1:] & bit(pairs)
-                four = np.flatnonzero(link[1:n - 2] & link[2:n - 1] & link[3:n]) if n > 3 else np.zeros(0, np.int64)
-                last = np.flatnonzero(often & ~link[1:])
-                back = link[last].astype(np.int64)
-                back += (back == 1) & link[np.maximum(last - 1, 0)]
-                first, final = np.concatenate([four, last - back]), np.concatenate([four + WORDS - 1, last])
+                two, three = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+                two[:n - 1] = near & often[:-1] & often[1:] & bit(pairs)
+                three[:max(n - 2, 0)] = all_ & two[:n - 2] & two[1:n - 1] & bit(triples) if n > 2 else False
+                first = np.flatnonzero(often)
+                final = first + two[first] + three[first] + (three[first] & three[first + 1])
                 size = ends - starts
                 at = np.cumsum(size + 1) - size - 1
                 spaced = data[np.minimum(ragged(starts, size + 1), len(data) - 1)]
@@ -215,14 +214,14 @@ class Graph:
         often = F.col("f") >= min_count
         self.words = counts.filter("k = 0").select("lang", F.col("c").alias("n"))
         edges, ends = counts.filter("k = 4").select("lang", "g", "c"), counts.filter("k BETWEEN 1 AND 3")
-        # Outgoing flow, and runs that end here.
+        # Outgoing flow, and what ends here.
         nodes = scratch(
             edges.select("lang", _first("g", 3).alias("g"), "c", F.lit(1).alias("out"), F.lit(0).alias("ends"))
             .unionAll(ends.filter("k = 3").select("lang", "g", "c", F.lit(0), F.lit(1)))
             .groupBy("lang", "g").agg(F.sum("c").alias("f"), F.sum("out").alias("out"), F.sum("ends").alias("ends")), "nodes")
         shorter = lambda longer, k: (
             longer.select("lang", _first("g", k).alias("g"), "f")
-            .unionAll(ends.filter(F.col("k") >= k).select("lang", _last("g", k), "c"))
+            .unionAll(ends.filter(F.col("k") == k).select("lang", "g", "c"))
             .groupBy("lang", "g").agg(F.sum("f").alias("f")))
         pairs = scratch(shorter(nodes, 2), "pairs")
         self.pairs, self.singles = pairs.filter(often), shorter(pairs, 1).filter(often)
