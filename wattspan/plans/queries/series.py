@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattspan.operators import tseries
+from wattspan.operators import loess, tseries
 from wattspan.plans.queries.base import query, r, rounded, table
 
 _ORDER = ["ts", "event_id"]
@@ -48,6 +48,84 @@ def _(spark, sf):
     return out.select("user_id", "event_id", "pos", F.when(F.abs("trend") < 1e9, r("trend", 8)).alias("trend"))
 
 
+def _fits(name: str, points: str, source: str, q: int, key: str) -> str:
+    """SQL of local lines through ``source`` (key, i, n, y, w) at ``points`` (key, x)."""
+    left = f"greatest(0, least(x - {(q - 1) // 2}, n - least({q}, n)))"
+    return f"""{name}_p AS (SELECT {key}, x, n, {left} AS lo, {left} + least({q}, n) - 1 AS hi FROM {points}),
+  {name}_h AS (SELECT *, greatest(x - lo, hi - x) + greatest({q} - n, 0) // 2 AS h FROM {name}_p),
+  {name}_w AS (SELECT {key}, x, p.n, s.i - x AS d, s.y, s.w * CASE WHEN abs(s.i - x) <= 0.001 * h THEN 1
+      WHEN abs(s.i - x) <= 0.999 * h THEN (1 - (abs(s.i - x) / h) ** 3) ** 3 ELSE 0 END AS w
+    FROM {name}_h p JOIN {source} s USING ({key}) WHERE s.i BETWEEN lo AND hi),
+  {name}_m AS (SELECT {key}, x, max(n) AS n, sum(w) AS s0, sum(w * d) / nullif(sum(w), 0) AS c, sum(w * d * d) / nullif(sum(w), 0) AS d2,
+    sum(w * y) / nullif(sum(w), 0) AS t0, sum(w * d * y) / nullif(sum(w), 0) AS t1 FROM {name}_w GROUP BY ALL),
+  {name} AS MATERIALIZED (SELECT {key}, x, t0 + CASE WHEN sqrt(greatest(d2 - c * c, 0)) > 0.001 * (n - 1) THEN -c / (d2 - c * c) * (t1 - c * t0)
+    ELSE 0 END AS fit FROM {name}_m)"""
+
+
+def _stl(p: int, seasonal: int, trend: int, low: int, inner: int, outer: int) -> str:
+    """SQL of the robust decomposition of the users' series, pass by pass."""
+    out = [f"""{_POS.format(key='user_id')}, st0 AS (SELECT user_id, pos, n, y, 0.0::DOUBLE AS trend, 1.0::DOUBLE AS w FROM pos WHERE n >= {2 * p})"""]
+    k = 0
+    for turn in range(outer + 1):
+        for _ in range(inner):
+            a = f"a{k}"
+            out.append(f"""{a}_s AS MATERIALIZED (SELECT user_id * 100 + pos % {p} AS g, user_id, pos % {p} AS phase, pos // {p} AS i,
+    count(*) OVER (PARTITION BY user_id, pos % {p}) AS n, y - trend AS y, w FROM st{k}),
+  {a}_x AS (SELECT g, unnest(range(-1, max(n) + 1)) AS x, max(n) AS n FROM {a}_s GROUP BY g),
+  {_fits(f'{a}_f', f'{a}_x', f'{a}_s', seasonal, 'g')},
+  {a}_i AS (SELECT f.g, f.x, coalesce(f.fit, s.y) AS fit FROM {a}_f f LEFT JOIN {a}_s s ON f.g = s.g AND f.x = s.i),
+  {a}_c AS (SELECT g // 100 AS user_id, (x + 1) * {p} + g % 100 AS e, coalesce(fit, CASE WHEN x < 0 THEN lead(fit) OVER o ELSE lag(fit) OVER o END)
+    AS c FROM {a}_i WINDOW o AS (PARTITION BY g ORDER BY x)),
+  {a}_m1 AS (SELECT user_id, e, avg(c) OVER w AS c, count(*) OVER w AS k FROM {a}_c
+    WINDOW w AS (PARTITION BY user_id ORDER BY e ROWS BETWEEN CURRENT ROW AND {p - 1} FOLLOWING)),
+  {a}_m2 AS (SELECT user_id, e, avg(c) OVER w AS c, count(*) OVER w AS k FROM {a}_m1 WHERE k = {p}
+    WINDOW w AS (PARTITION BY user_id ORDER BY e ROWS BETWEEN CURRENT ROW AND {p - 1} FOLLOWING)),
+  {a}_m3 AS (SELECT user_id, e, avg(c) OVER w AS c, count(*) OVER w AS k FROM {a}_m2 WHERE k = {p}
+    WINDOW w AS (PARTITION BY user_id ORDER BY e ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)),
+  {a}_v AS MATERIALIZED (SELECT user_id, e AS i, count(*) OVER (PARTITION BY user_id) AS n, c AS y, 1.0 AS w FROM {a}_m3 WHERE k = 3),
+  {a}_vx AS (SELECT user_id, i AS x, n FROM {a}_v),
+  {_fits(f'{a}_l', f'{a}_vx', f'{a}_v', low, 'user_id')},
+  {a}_d AS MATERIALIZED (SELECT s.user_id, s.pos AS i, s.n, s.w, s.y AS raw, c.c - l.fit AS season, s.y - (c.c - l.fit) AS y FROM st{k} s
+    JOIN {a}_c c ON c.user_id = s.user_id AND c.e = s.pos + {p} JOIN {a}_l l ON l.user_id = s.user_id AND l.x = s.pos),
+  {a}_dx AS (SELECT user_id, i AS x, n FROM {a}_d),
+  {_fits(f'{a}_t', f'{a}_dx', f'{a}_d', trend, 'user_id')},
+  st{k + 1} AS MATERIALIZED (SELECT d.user_id, d.i AS pos, d.n, d.raw AS y, coalesce(t.fit, d.y) AS trend, d.w, d.season
+    FROM {a}_d d JOIN {a}_t t ON t.user_id = d.user_id AND t.x = d.i)""")
+            k += 1
+        if turn < outer:
+            out.append(f"""b{k} AS (SELECT *, abs(y - trend - season) AS r, 6 * median(abs(y - trend - season)) OVER (PARTITION BY user_id) AS h FROM st{k}),
+  st{k + 1} AS MATERIALIZED (SELECT user_id, pos, n, y, trend, season, CASE WHEN r <= 0.001 * h THEN 1 WHEN r <= 0.999 * h THEN (1 - (r / h) ** 2) ** 2
+    ELSE 0 END AS w FROM b{k})""")
+            k += 1
+    return ",\n  ".join(out) + f""", dec AS (SELECT p.*, CAST(p.pos % {p} AS INTEGER) AS phase, trend, season AS seasonal, p.y - trend - season AS resid, w AS weight
+    FROM pos p LEFT JOIN st{k} s USING (user_id, pos))"""
+
+
+def _robust(spark, sf, spike: bool = False):
+    df = table(spark, sf, "events")
+    if spike:
+        df = df.withColumn("value", F.when(F.col("event_id") % 97 == 0, 1e5).otherwise(F.col("value")))
+    return loess.decompose_loess(df, ["user_id"], _ORDER, "value", _P, outer=2)
+
+
+_STL = _stl(_P, 7, 15, 9, 2, 2)
+
+
+@query("ts1_loess", f"""WITH {_STL} SELECT user_id, event_id, pos, phase, y AS observed, round(trend, 6) + 0 AS trend,
+  round(seasonal, 6) + 0 AS seasonal, round(resid, 6) + 0 AS resid, round(weight, 6) AS weight FROM dec""")
+def _(spark, sf):
+    return rounded(_robust(spark, sf).drop("ts"))
+
+
+@query("ts2_loess_strengths_spike", f"""WITH {_STL.replace("value AS y", "CASE WHEN event_id % 97 = 0 THEN 1e5 ELSE value END AS y")},
+  s AS (SELECT user_id, {_STRENGTH} FROM dec GROUP BY 1) SELECT user_id, n, round(seasonal_strength, 6) AS seasonal_strength,
+  round(trend_strength, 6) AS trend_strength, round(seasonal_peak_to_trough, 4) AS seasonal_peak_to_trough FROM s""")
+def _(spark, sf):
+    out = tseries.strengths(_robust(spark, sf, True), ["user_id"])
+    return out.select("user_id", "n", r("seasonal_strength").alias("seasonal_strength"), r("trend_strength").alias("trend_strength"),
+                      r("seasonal_peak_to_trough", 4).alias("seasonal_peak_to_trough"))
+
+
 @query("ts2_strengths", f"WITH {_USER}, s AS (SELECT user_id, {_STRENGTH} FROM dec GROUP BY 1) SELECT user_id, n, {_R6} FROM s")
 def _(spark, sf):
     return rounded(tseries.strengths(_decomposed(spark, sf, "user_id"), ["user_id"]))
