@@ -84,6 +84,43 @@ def test_sources(spark, tmp_path):
     spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def _history(spark, path, days=(1, 9, 10, 10, 50, 100)):
+    start = dt.datetime(2024, 1, 1, 12)
+    rows = [(start + dt.timedelta(days=d, hours=k), 10 * d + k) for k, d in enumerate(days)]
+    io.append_history(spark.createDataFrame(rows, "timestamp timestamp_ntz, v int"), path)
+
+
+def test_expired_entries_are_removed(spark, tmp_path):
+    path = str(tmp_path / "h")
+    _history(spark, path)
+    # The newest entry is day 100 at 17:00; the limit falls between the two entries of day 10.
+    assert io.remove_expired(spark, path, 90) == 4 and io.remove_expired(spark, path, 90) == 0
+    _history(spark, path, (10, 10))
+    spark.sql("SELECT CAST(NULL AS timestamp_ntz) AS timestamp, 7 AS v").createOrReplaceTempView("dateless")
+    io.append_history(spark.table("dateless"), path)
+    days = sorted(f.name for f in (tmp_path / "h").iterdir() if f.is_dir())
+    assert io.remove_expired(spark, path, 50) == 2
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [7, 504, 1005]
+    left = sorted(f.name for f in (tmp_path / "h").iterdir() if f.is_dir())
+    assert "run_date=2024-01-11" in days and left == ["run_date=2024-02-20", "run_date=2024-04-10", "run_date=__HIVE_DEFAULT_PARTITION__"]
+
+
+@pytest.mark.parametrize("step", ["written", "aside", "swapped"])
+def test_an_interrupted_removal_loses_nothing(spark, tmp_path, step):
+    path, root = str(tmp_path / "h"), tmp_path / "h"
+    _history(spark, path, (10, 10, 100))
+    day = "run_date=2024-01-11"
+    spark.read.parquet(path).filter("v = 101").drop("run_date").write.parquet(f"{path}/_kept-{day}")
+    if step != "written":
+        (root / day).rename(root / f"_aside-{day}")
+    if step == "swapped":
+        (root / f"_kept-{day}").rename(root / day)
+    io.recover_history(spark, path)
+    # Before the day is put aside the removal is taken back, later it is finished.
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == ([100, 101, 1002] if step == "written" else [101, 1002])
+    assert not [f for f in root.iterdir() if f.name.startswith(("_kept", "_aside"))]
+
+
 def test_monitoring_job(spark, tmp_path):
     ref = spark.range(2000).select((F.col("id") % 100).cast("double").alias("v"), F.concat(F.lit("c"), F.col("id") % 3).alias("c"))
     cur = ref.withColumn("v", F.col("v") + 80).withColumn("y", F.lit(1.0))

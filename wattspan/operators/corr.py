@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -62,7 +65,8 @@ def mutual_information(df: DataFrame, target: str, features: list[str] | None =
     """
     names = [c for c in (features or numeric_columns(df)) if c != target]
     require(df, [target, *names])
-    full = df.select(*qcols([*names, target])).na.drop()
+    known = reduce(and_, [qcol(c).isNotNull() & ~F.isnan(qcol(c)) for c in [*names, target]])
+    full = df.select(*qcols([*names, target])).filter(known)
     probs = [k / bins for k in range(1, bins)]
     edges = scalar_row(quantile_row(full, [*names, target], probs, "nearest"))
     placed = full.withColumn("_e", edges)

@@ -33,10 +33,11 @@ def _odd(n: int) -> int:
     return n + 1 - n % 2
 
 
-def local_fits(y: np.ndarray, weights: np.ndarray, q: int, at: np.ndarray) -> np.ndarray:
+def local_fits(y: np.ndarray, weights: np.ndarray, q: int, at: np.ndarray, whole) -> np.ndarray:
     """Local lines through the columns of ``y`` (n rows), by tricube weights of the ``q`` nearest rows, at places ``at``.
 
-    Places may lie one beyond either end. A fit whose weights are all zero gives NaN.
+    Places may lie one beyond either end. A fit whose weights are all zero gives NaN. Where the weighted rows spread over
+    less than a thousandth of the ``whole`` series, the line is level.
     """
     n = len(y)
     out = np.empty((len(at), y.shape[1]))
@@ -54,20 +55,20 @@ def local_fits(y: np.ndarray, weights: np.ndarray, q: int, at: np.ndarray) -> np
             centre = (w * near[:, :, None]).sum(axis=1)
             off = near[:, :, None] - centre[:, None, :]
             spread = (w * off * off).sum(axis=1)
-            slope = np.where(np.sqrt(spread) > 0.001 * (n - 1), (x[:, None] - centre) / spread, 0.0)
+            slope = np.where(np.sqrt(spread) > 0.001 * (np.asarray(whole) - 1), (x[:, None] - centre) / spread, 0.0)
         out[lo:lo + POINTS] = (w * (1 + slope[:, None, :] * off) * y[near]).sum(axis=1)
     return out
 
 
-def _smooth(y: np.ndarray, weights: np.ndarray, q: int) -> np.ndarray:
+def _smooth(y: np.ndarray, weights: np.ndarray, q: int, whole: int) -> np.ndarray:
     """Fits at every row; where none is possible the value itself."""
     if len(y) < 2:
         return y.copy()
-    fit = local_fits(y[:, None], weights[:, None], q, np.arange(len(y)))[:, 0]
+    fit = local_fits(y[:, None], weights[:, None], q, np.arange(len(y)), whole)[:, 0]
     return np.where(np.isnan(fit), y, fit)
 
 
-def _cycles(y: np.ndarray, weights: np.ndarray, period: int, q: int) -> np.ndarray:
+def _cycles(y: np.ndarray, weights: np.ndarray, period: int, q: int, first: int, whole: int) -> np.ndarray:
     """Smoothed cycle-subseries, with one period more at both ends."""
     n = len(y)
     out = np.empty(n + 2 * period)
@@ -75,7 +76,8 @@ def _cycles(y: np.ndarray, weights: np.ndarray, period: int, q: int) -> np.ndarr
         phases = [j for j in range(period) if (n - 1 - j) // period + 1 == rows]
         pick = np.arange(rows)[:, None] * period + np.array(phases)
         own = y[pick]
-        fit = local_fits(own, weights[pick], q, np.arange(-1, rows + 1))
+        all_rows = (whole - 1 - (first + np.array(phases)) % period) // period + 1
+        fit = local_fits(own, weights[pick], q, np.arange(-1, rows + 1), all_rows)
         inside = np.where(np.isnan(fit[1:-1]), own, fit[1:-1])
         fit = np.concatenate([np.where(np.isnan(fit[:1]), inside[:1], fit[:1]), inside, np.where(np.isnan(fit[-1:]), inside[-1:], fit[-1:])])
         out[np.arange(rows + 2)[:, None] * period + np.array(phases)] = fit
@@ -88,14 +90,14 @@ def _mean(y: np.ndarray, length: int) -> np.ndarray:
 
 
 def passes(y: np.ndarray, trend: np.ndarray, weights: np.ndarray, period: int, seasonal: int, trend_q: int, low_q: int,
-           inner: int) -> tuple[np.ndarray, np.ndarray]:
-    """Seasonal and trend after ``inner`` passes that start from ``trend``."""
+           inner: int, first: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
+    """Seasonal and trend after ``inner`` passes that start from ``trend``; the rows begin at place ``first`` of ``whole``."""
     even = np.ones(len(y))
     for _ in range(inner):
-        cycles = _cycles(y - trend, weights, period, seasonal)
-        low = _smooth(_mean(_mean(_mean(cycles, period), period), 3), even, low_q)
+        cycles = _cycles(y - trend, weights, period, seasonal, first, whole)
+        low = _smooth(_mean(_mean(_mean(cycles, period), period), 3), even, low_q, whole)
         season = cycles[period:-period] - low
-        trend = _smooth(y - season, weights, trend_q)
+        trend = _smooth(y - season, weights, trend_q, whole)
     return season, trend
 
 
@@ -120,17 +122,17 @@ def decompose_loess(df: DataFrame, keys: list[str], order_by: list[str], value:
     rows = _series(df, keys, order_by, value)
     sizes = rows.groupBy(*qcols(keys)).agg(F.count(F.lit(1)).alias("_n"))
     long_ = join_small(rows, sizes, keys).filter(F.col("_n") >= 2 * period)
-    state = long_.select(*qcols(keys), "pos", "observed", F.lit(0.0).alias("trend"), F.lit(1.0).alias("weight"))
+    state = long_.select(*qcols(keys), "pos", "_n", "observed", F.lit(0.0).alias("trend"), F.lit(1.0).alias("weight"))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("pos")
         y, t, w = (table.column(c).to_numpy() for c in ("observed", "trend", "weight"))
-        season, t = passes(y, t, w, period, seasonal, trend_q, low_q, inner)
-        cols = {c: table.column(c) for c in [*keys, "pos", "observed"]}
+        season, t = passes(y, t, w, period, seasonal, trend_q, low_q, inner, table.column("pos")[0].as_py(), table.column("_n")[0].as_py())
+        cols = {c: table.column(c) for c in [*keys, "pos", "_n", "observed"]}
         cols |= {"trend": pa.array(t), "seasonal": pa.array(season), "weight": table.column("weight")}
         return pa.table(cols).filter(table.column("_home"))
 
-    fields = [state.schema[c] for c in [*keys, "pos", "observed", "trend"]]
+    fields = [state.schema[c] for c in [*keys, "pos", "_n", "observed", "trend"]]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["seasonal double", "weight double"])
     for i in range(outer + 1):
         blocked = in_blocks(state, "pos", reach, reach, block)
@@ -143,7 +145,7 @@ def decompose_loess(df: DataFrame, keys: list[str], order_by: list[str], value:
         weight = F.when(F.col("_r") <= 0.001 * F.col("_h"), 1.0).when(
             F.col("_r") <= 0.999 * F.col("_h"), (1 - far * far) * (1 - far * far)).otherwise(0.0)
         state = join_small(fitted.withColumn("_r", off), medians, keys).select(
-            *qcols(keys), "pos", "observed", "trend", weight.alias("weight"))
+            *qcols(keys), "pos", "_n", "observed", "trend", weight.alias("weight"))
     parts = fitted.select(*qcols(keys), "pos", "trend", "seasonal", "weight")
     out = null_safe_join(rows, parts, [*keys, "pos"], "left").withColumn("phase", (F.col("pos") % period).cast("int"))
     return out.withColumn("resid", F.col("observed") - F.col("trend") - F.col("seasonal"))

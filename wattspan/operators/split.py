@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wattspan.functions.columns import numeric_columns, qcol, qcols, require
 from wattspan.functions.hashing import seeded_md5, unit_interval
-from wattspan.operators.order import with_position
+from wattspan.operators.order import row_at, with_position
 from wattspan.operators.small import checkpointed, join_small, scalar_row
 
 PREFIX_ROWS = 1_000_000
@@ -117,25 +117,16 @@ def temporal_split(df: DataFrame, date: str, id_col: str, train: float = 0.70, v
                    test: float = 0.15, name: str = "split") -> DataFrame:
     """Earliest rows to train, latest to test.
 
-    Only the (date, id) pairs are sorted, to find the two boundary rows; the
-    table itself is labelled by comparison, without a shuffle.
+    The two boundary rows are selected by counts per slice, and only the slices that
+    hold them are sorted; the table itself is labelled by comparison, without a shuffle.
     """
     _check_sizes(train, val, test)
     require(df, [date, id_col])
-    keys = checkpointed(with_position(df.select(qcol(date), qcol(id_col)), [date, id_col], name="_pos"))
-    n = keys.agg(F.count(F.lit(1)).alias("n"))
     first = F.floor(F.col("n") * F.lit(train))
-    ends = scalar_row(n.select(first.alias("a"), (first + F.floor(F.col("n") * F.lit(val))).alias("b")))
-    at = keys.withColumn("_ends", ends)
-    pair = F.struct(qcol(date).alias("d"), qcol(id_col).alias("i"))
-    bounds = scalar_row(
-        checkpointed(
-            at.agg(
-                F.max(F.when(F.col("_pos") == F.col("_ends").getField("a"), pair)).alias("a"),
-                F.max(F.when(F.col("_pos") == F.col("_ends").getField("b"), pair)).alias("b"),
-            )
-        )
-    )
+    found = row_at(df.select(qcol(date), qcol(id_col)), [date, id_col], F.array(first, first + F.floor(F.col("n") * F.lit(val))))
+    pair = F.struct(qcol(date).alias("c0"), qcol(id_col).alias("c1"))
+    bounds = scalar_row(checkpointed(found.agg(
+        *[F.max(F.when(F.col("place") == i, F.col("point"))).alias(k) for i, k in enumerate("ab")])))
     out = df.withColumn("_b", bounds)
     before = lambda k: F.coalesce(pair < F.col("_b").getField(k), F.lit(True))
     return out.withColumn(name, F.when(before("a"), "train").when(before("b"), "val").otherwise("test")).drop("_b")

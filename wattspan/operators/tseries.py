@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wattspan.functions.columns import qcol, qcols, require
@@ -11,12 +13,12 @@ from wattspan.operators.small import checkpointed, join_small
 
 
 def _series(df: DataFrame, keys: list[str], order_by: list[str], value: str, extra: list[str] = ()) -> DataFrame:
-    """Values that are numbers with their 0-based position, checkpointed for the passes that follow."""
+    """Values that are numbers with their 0-based position, which come from a checkpoint."""
     require(df, [*keys, *order_by, value, *extra])
     names = list(dict.fromkeys([*keys, *order_by, *extra]))
     known = df.select(*qcols(names), qcol(value).cast("double").alias("observed"))
     kept = known.filter("observed IS NOT NULL AND NOT isnan(observed)")
-    return checkpointed(with_position(kept, order_by, keys, "pos"))
+    return with_position(kept, order_by, keys, "pos")
 
 
 def decompose(df: DataFrame, keys: list[str], order_by: list[str], value: str, period: int,
@@ -73,10 +75,11 @@ def strengths(decomposed: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def seasonality_by_group(df: DataFrame, group: str, order_by: list[str], value: str, period: int) -> DataFrame:
-    """Strengths per group; a group shorter than two periods gets an error text instead."""
+def seasonality_by_group(df: DataFrame, group: str, order_by: list[str], value: str, period: int,
+                         decomposer: Callable[..., DataFrame] = decompose) -> DataFrame:
+    """Strengths per group by any decomposer; a group shorter than two periods gets an error text instead."""
     kept = df.filter(qcol(group).isNotNull())
-    out = strengths(decompose(kept, [group], order_by, value, period), [group])
+    out = strengths(decomposer(kept, [group], order_by, value, period), [group])
     short = F.col("n") < 2 * period
     measures = [c for c in out.columns if c not in (group, "n")]
     return out.select(

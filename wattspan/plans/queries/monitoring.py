@@ -197,6 +197,15 @@ def _(spark, sf):
     return rounded(spark.read.parquet(kept).select("timestamp", "rmse"))
 
 
+@query("s12_remove_expired", f"""WITH {_HIST}, c AS (SELECT max(timestamp) - INTERVAL 12 DAY AS cut FROM h)
+  SELECT timestamp, round(rmse, 6) AS rmse, (SELECT count(*) FROM h, c WHERE timestamp < cut) AS removed FROM h, c WHERE timestamp >= cut""")
+def _(spark, sf):
+    path = scratch(spark, "history")
+    io.append_history(_history(spark, sf), path)
+    removed = io.remove_expired(spark, path, 12)
+    return rounded(spark.read.parquet(path).select("timestamp", "rmse", F.lit(removed).cast("bigint").alias("removed")))
+
+
 @query("r7_trends", f"WITH {_hist_long(5)} SELECT metric, round(regr_slope(value, pos), 6) AS slope, {_TREND} AS trend FROM long GROUP BY 1")
 def _(spark, sf):
     return rounded(history.trends(_history(spark, sf), _ALL))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattspan.operators import corr, evaluate, stats
+from wattspan.operators.neighbours import neighbour_information
 from wattspan.plans.queries.base import READINGS, exact_quantile_sql as eq, query, r, readings, rounded, table
 
 
@@ -296,6 +297,25 @@ def _(spark, sf):
     return rounded(corr.mutual_information(li, _TARGET))
 
 
+_NEAR = ["p_size", "p_partkey"]
+
+
+@query("c6_neighbour_information", "WITH z AS (" + " UNION ALL ".join(f"""SELECT '{c}' AS feature, p_partkey AS i,
+    {c} / stddev_pop({c}) OVER () AS x, p_retailprice / stddev_pop(p_retailprice) OVER () AS y FROM part""" for c in _NEAR) + """),
+  r AS MATERIALIZED (SELECT a.feature, a.i, a.x, a.y, min(greatest(abs(a.x - b.x), abs(a.y - b.y)), 3)[3] AS r
+    FROM z a JOIN z b ON a.feature = b.feature AND a.i <> b.i GROUP BY ALL),
+  c AS MATERIALIZED (SELECT r.feature, r.i,
+      count(*) FILTER (abs(r.x - b.x) < r * (1 - 1e-9) OR (r = 0 AND r.x = b.x)) AS nx,
+      count(*) FILTER (abs(r.y - b.y) < r * (1 - 1e-9) OR (r = 0 AND r.y = b.y)) AS ny
+    FROM r JOIN z b ON r.feature = b.feature GROUP BY ALL),
+  psi AS (SELECT k AS m, -0.5772156649015329 + coalesce(sum(1.0::DOUBLE / k) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS v
+    FROM range(1, (SELECT count(*) + 2 FROM part)) t(k))
+  SELECT feature, round(greatest(0, (SELECT v FROM psi WHERE m = (SELECT count(*) FROM part)) + (SELECT v FROM psi WHERE m = 3)
+    - avg(p.v + q.v)), 6) AS mi_score FROM c JOIN psi p ON p.m = nx JOIN psi q ON q.m = ny GROUP BY feature""")
+def _(spark, sf):
+    return rounded(neighbour_information(table(spark, sf, "part").select(*_NEAR, "p_retailprice"), "p_retailprice"))
+
+
 @query("c7_top_features", _round_corr(_FEATURES) + " ORDER BY abs_correlation DESC LIMIT 3")
 def _(spark, sf):
     scores = corr.correlations(table(spark, sf, "lineitem"), _TARGET, _FEATURES)

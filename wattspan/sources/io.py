@@ -78,6 +78,10 @@ def append_predictions(scored: DataFrame, path: str, at: Column) -> None:
     scored.select(at.cast("timestamp_ntz").alias("timestamp"), "*").write.mode("append").parquet(path)
 
 
+# Names that readers pass over: what a day keeps, and a day that is being replaced.
+_KEPT, _ASIDE = "_kept-", "_aside-"
+
+
 def append_history(metrics: DataFrame, path: str, timestamp: str = "timestamp") -> None:
     """Adds run metrics to the history, one partition per run day."""
     metrics.withColumn("run_date", qcol(timestamp).cast("date")).write.mode("append").partitionBy(
@@ -121,6 +125,65 @@ def rewrite_retained(spark: SparkSession, path: str, target: str, days: int = 90
     kept.write.mode("overwrite").partitionBy("run_date").parquet(target)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, a maker of paths below it, and the names there."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    root = make(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, lambda name: make(root, name), [x.getPath().getName() for x in fs.listStatus(root)]
+
+
+def recover_history(spark: SparkSession, path: str) -> None:
+    """Finishes or takes back a removal that was interrupted. Nothing is lost: a day that is away has a whole copy aside."""
+    fs, at, names = _files(spark, path)
+    for name in names:
+        if not name.startswith(_ASIDE):
+            continue
+        day = name.removeprefix(_ASIDE)
+        if not fs.exists(at(day)):
+            fs.rename(at(_KEPT + day if fs.exists(at(f"{_KEPT}{day}/_SUCCESS")) else name), at(day))
+        fs.delete(at(name), True)
+    for name in names:
+        if name.startswith(_KEPT) and fs.exists(at(name)):
+            fs.delete(at(name), True)
+
+
+def remove_expired(spark: SparkSession, path: str, days: int = 90, timestamp: str = "timestamp") -> int:
+    """Removes the entries of a history that are over ``days`` days older than its newest one; gives their number.
+
+    Days that expire whole are deleted as folders. Of the day in which the limit falls, the entries to keep are first
+    written beside it under a name that readers pass over, then both change places. Each step can be repeated, and
+    ``recover_history`` (called first) settles one that was interrupted. Entries without a date stay.
+    """
+    recover_history(spark, path)
+    history = read_parquet(spark, path)
+    newest = F.max(qcol(timestamp))
+    cut = (newest - F.make_interval(days=F.lit(days))).alias("cut")
+    limit = history.agg(cut, cut.cast("date").alias("day")).first()
+    if limit["cut"] is None:
+        return 0
+    before = history.filter(F.col("run_date") < F.lit(limit["day"]))
+    edge = history.filter(F.col("run_date") == F.lit(limit["day"]))
+    expired = qcol(timestamp) < F.lit(limit["cut"])
+    removed = before.count()
+    gone, there = edge.agg(F.count_if(expired), F.count(F.lit(1))).first()
+    fs, at, names = _files(spark, path)
+    day = f"run_date={limit['day']}"
+    if gone and gone < there:
+        edge.filter(~expired).drop("run_date").write.mode("overwrite").parquet(at(_KEPT + day).toString())
+        fs.rename(at(day), at(_ASIDE + day))
+        fs.rename(at(_KEPT + day), at(day))
+        fs.delete(at(_ASIDE + day), True)
+    elif gone:
+        fs.delete(at(day), True)
+    # One folder per day of history.
+    for name in names:
+        if name.startswith("run_date=") and name[9:10].isdigit() and name < day:
+            fs.delete(at(name), True)
+    spark.catalog.refreshByPath(path)
+    return removed + gone
+
+
 def sample_check(reference: DataFrame, production: DataFrame, min_samples: int = 100) -> DataFrame:
     """One row: sizes of both sets, emptiness, and whether production has too few rows."""
     ref = reference.agg(F.count(F.lit(1)).alias("reference_rows"))
