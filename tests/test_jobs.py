@@ -86,20 +86,21 @@ def test_sources(spark, tmp_path):
 
 def _history(spark, path, days=(1, 9, 10, 10, 50, 100)):
     start = dt.datetime(2024, 1, 1, 12)
-    rows = [(start + dt.timedelta(days=d, hours=k), 10 * d + k) for k, d in enumerate(days)]
+    rows = [(start + dt.timedelta(days=d, hours=(0, 0, 0, 4, 0, 2)[k]), 10 * d + k) for k, d in enumerate(days)]
     io.append_history(spark.createDataFrame(rows, "timestamp timestamp_ntz, v int"), path)
 
 
 def test_expired_entries_are_removed(spark, tmp_path):
     path = str(tmp_path / "h")
     _history(spark, path)
-    # The newest entry is day 100 at 17:00; the limit falls between the two entries of day 10.
-    assert io.remove_expired(spark, path, 90) == 4 and io.remove_expired(spark, path, 90) == 0
+    # The limit falls between the two entries of day 10.
+    assert io.remove_expired(spark, path, 90) == 3 and io.remove_expired(spark, path, 90) == 0
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [103, 504, 1005]
     _history(spark, path, (10, 10))
     spark.sql("SELECT CAST(NULL AS timestamp_ntz) AS timestamp, 7 AS v").createOrReplaceTempView("dateless")
     io.append_history(spark.table("dateless"), path)
     days = sorted(f.name for f in (tmp_path / "h").iterdir() if f.is_dir())
-    assert io.remove_expired(spark, path, 50) == 2
+    assert io.remove_expired(spark, path, 51) == 3
     assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [7, 504, 1005]
     left = sorted(f.name for f in (tmp_path / "h").iterdir() if f.is_dir())
     assert "run_date=2024-01-11" in days and left == ["run_date=2024-02-20", "run_date=2024-04-10", "run_date=__HIVE_DEFAULT_PARTITION__"]
