@@ -138,3 +138,17 @@ def test_packing(spark, tokenizer):
         total = sum(n for _, n in own)
         assert total <= 2048 and (total == 2048 or total & (total - 1) == 0)
     assert packing.pack(cases.frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("pair", ["x7", "ab"])
+def test_words_that_a_polynomial_cannot_tell_apart(pair):
+    """a to ab, b to ba, repeated: equal polynomial hashes modulo a power of two in any odd base."""
+    from wattspan.llm.encode import default_path, encoder
+
+    one, two = pair
+    while len(one) < 1024:
+        one, two = one + two, two + one
+    words = encoder(default_path())
+    for w in (one, two):
+        data = np.frombuffer(w.encode(), np.uint8)
+        assert words.encode(data, np.array([0, len(data)]))[0].tolist() == words.tokenizer.encode(w, add_special_tokens=False).ids

@@ -15,12 +15,13 @@ from itertools import chain
 
 import numpy as np
 
-from wattspan.llm.batches import IS_SPACE, Prefix, bounds, ragged, runs, sums
+from wattspan.llm.batches import IS_SPACE, bounds, ragged, runs, sums, word_hashes
 
 WORD_FILE = "word_bpe_49k.json"
-SLOTS = 1 << 22
-MOST_WORDS = 3 << 19
-MOST_IDS = 12 << 20
+SLOTS = 1 << 20
+MOST_WORDS = 3 << 17
+MOST_IDS = 4 << 20
+MOST_PIECES = 100_000
 BATCH_BYTES = 1 << 18
 
 # The file's own pattern, for lower-cased ASCII.
@@ -62,7 +63,7 @@ class WordEncoder:
         """Number of each known word, -1 for new ones."""
         found = np.full(len(h), -1, np.int32)
         open_ = np.arange(len(h))
-        slot = (h >> _U(42)).astype(np.int64)
+        slot = (h >> _U(44)).astype(np.int64)
         while len(open_):
             at = self.at[slot]
             hit = (self.keys[slot] == h[open_]) & (at >= 0)
@@ -73,7 +74,7 @@ class WordEncoder:
 
     def _place(self, h: np.ndarray, numbers: np.ndarray) -> None:
         """Puts distinct new keys into free slots."""
-        slot = (h >> _U(42)).astype(np.int64)
+        slot = (h >> _U(44)).astype(np.int64)
         while len(h):
             free = self.at[slot] < 0
             _, one = np.unique(slot[free], return_index=True)
@@ -93,6 +94,8 @@ class WordEncoder:
         if ids is None:
             ids = [x.id for x in self.model.tokenize(piece)]
             if len(piece) <= 64:
+                if len(self.pieces) >= MOST_PIECES:
+                    self.pieces.clear()
                 self.pieces[piece] = ids
         return ids
 
@@ -142,7 +145,7 @@ class WordEncoder:
     def numbers(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words, and the first word of each text."""
         starts, ends = runs(~IS_SPACE[data], off)
-        h = Prefix(data).of(starts, ends)
+        h = word_hashes(data, starts, ends)
         found = self._find(h)
         new = np.flatnonzero(found < 0)
         if len(new):
