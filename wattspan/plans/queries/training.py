@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattspan.operators import evaluate, models, split, stats
+from wattspan.operators import evaluate, models, search, split, stats
 from wattspan.plans.features import PreprocessSpec, feature_job, preprocess_job
 from wattspan.plans.queries.base import READINGS, query, r, readings, rounded, scratch, table
 from wattspan.plans.queries.series import METRICS_SQL
@@ -300,6 +300,22 @@ def _(spark, sf):
     return folds.select("fold", "n", r("rmse", 3).alias("rmse"), r("mae", 3).alias("mae"))
 
 
+@query("m3_one_tree_search", f"""WITH {_ITEM}, f AS (SELECT x, avg(y) AS p FROM i WHERE train GROUP BY 1),
+  m AS (SELECT sqrt(avg((y - p) ** 2)) AS rmse, avg(abs(y - p)) AS mae FROM i JOIN f USING (x) WHERE NOT train)
+  SELECT CAST(t AS INTEGER) AS trial, 'complete' AS state, round(rmse, 3) AS rmse, round(mae, 3) AS mae, TRUE AS in_space, TRUE AS best_is_first
+  FROM m, range(4) r(t)""")
+def _(spark, sf):
+    # Leaves are far larger than these bounds, so every trial has the same tree and the first one is the best.
+    items = _items(spark, sf)
+    trials, best, _ = search.density_search(
+        items.filter("train"), items.filter("NOT train"), "gbt", ["x"], "y", 4, space={"minInstancesPerNode": (1, 9)},
+        fixed=_ONE_TREE, startup=2, parallel=2)
+    drawn = F.col("params")["minInstancesPerNode"]
+    first = trials.filter("trial = 0").select(drawn).scalar()
+    return trials.select("trial", "state", r("rmse", 3).alias("rmse"), r("mae", 3).alias("mae"), drawn.between(1, 9).alias("in_space"),
+                         (first == F.lit(float(best["minInstancesPerNode"]))).alias("best_is_first"))
+
+
 @query("m9_one_tree_scoring", f"""WITH {_ITEM}, f AS (SELECT x, avg(y) AS p FROM i WHERE train GROUP BY 1)
   SELECT count(*) AS n, round(avg(p), 3) AS "avg", round(min(p), 3) AS "min", round(max(p), 3) AS "max" FROM i JOIN f USING (x)""")
 def _(spark, sf):
