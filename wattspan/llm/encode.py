@@ -18,10 +18,10 @@ import numpy as np
 from wattspan.llm.batches import IS_SPACE, bounds, ragged, runs, sums, word_hashes
 
 WORD_FILE = "word_bpe_49k.json"
-SLOTS = 1 << 20
-MOST_WORDS = 3 << 17
-MOST_IDS = 4 << 20
-MOST_PIECES = 100_000
+SLOTS = 1 << 21
+MOST_WORDS = 3 << 18
+MOST_IDS = 6 << 20
+MOST_PIECES = 200_000
 BATCH_BYTES = 1 << 18
 
 # The file's own pattern, for lower-cased ASCII.
@@ -63,7 +63,7 @@ class WordEncoder:
         """Number of each known word, -1 for new ones."""
         found = np.full(len(h), -1, np.int32)
         open_ = np.arange(len(h))
-        slot = (h >> _U(44)).astype(np.int64)
+        slot = (h >> _U(43)).astype(np.int64)
         while len(open_):
             at = self.at[slot]
             hit = (self.keys[slot] == h[open_]) & (at >= 0)
@@ -74,7 +74,7 @@ class WordEncoder:
 
     def _place(self, h: np.ndarray, numbers: np.ndarray) -> None:
         """Puts distinct new keys into free slots."""
-        slot = (h >> _U(44)).astype(np.int64)
+        slot = (h >> _U(43)).astype(np.int64)
         while len(h):
             free = self.at[slot] < 0
             _, one = np.unique(slot[free], return_index=True)
