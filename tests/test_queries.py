@@ -17,7 +17,7 @@ SPREAD = [
     "a8_quartiles_infinity", "a16_histogram_nan", "e2_category_index", "j4_set_difference", "l1_intent_counts", "l2_slots",
     "m1_one_tree", "m8_residual_correlation", "o6_zscore_report_nan", "p6_map_values_table", "r6_alert", "s11_history_scan",
     "s12_retention", "ts1_decompose_spike", "ts6_partial_autocorrelation", "x1_stratified_split_category",
-    "x1_stratified_split_nulls", "z3_stream_drift",
+    "x1_stratified_split_nulls", "z3_stream_drift", "s12_remove_expired", "ts1_loess", "m3_one_tree_search",
 ]
 
 
