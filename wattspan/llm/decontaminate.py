@@ -38,7 +38,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattspan.functions.columns import qcol
+from wattspan.functions.columns import map_lookup, qcol
 from wattspan.llm.frames import scratch, texts
 
 WINDOW = 8
@@ -50,114 +50,134 @@ SHORT_WORDS = 3
 LEAST_SHORT = 9
 LEAST_COVERED = 0.6
 NEAR = 8
-KINDS = ("caseless", "named")
 BROADCAST_BYTES = 64 << 20
 # Estimated bytes of a benchmark window in memory: a hash, two numbers and WINDOW strings.
 ROW_BYTES = 1024
 
 # The tokens, and the forms that are slots.
 TOKEN = r"\p{L}+|[0-9]+(?:[.,][0-9]+)*|[%$€£°]"
-NUMBER = r"^[0-9]"
-UNIT_WORDS = (r"mm|cm|m|km|mg|g|kg|ml|l|s|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|"
-              r"meters?|metres?|miles?|feet|inch(?:es)?|liters?|litres?|grams?|kilograms?|pounds?|dollars?|euros?|cents?")
-UNIT = rf"^(?:[%$€£°]|{UNIT_WORDS})$"
+UNITS = (
+    "% $ € £ ° mm cm m km mg g kg ml l s min h hour hours minute minutes second seconds day days week weeks month months "
+    "year years meter meters metre metres mile miles feet inch inches liter liters litre litres gram grams kilogram kilograms "
+    "pound pounds dollar dollars euro euros cent cents").split()
 NAME = r"^\p{Lu}\p{Ll}"
-# Folded tokens: runs of units, names and numbers, and words. Possessive, so that Java's matcher loops and does not recurse.
-BETWEEN = r"[^\p{L}0-9%$€£°]*+"
-FIRST_UNIT = rf"(?:[%$€£°]|(?:{UNIT_WORDS})(?!\p{{L}}))"
-FOLDED = "|".join([f"{x}(?:{BETWEEN}{x})*+" for x in (
-    FIRST_UNIT, r"\p{Lu}\p{Ll}\p{L}*+", r"[0-9]++(?:[.,][0-9]++)*+")] + [r"\p{L}++"])
+BETWEEN = r"[^\p{L}0-9%$€£°]+"
+
+# The searches: windows of the text as it stands, and short windows of folded tokens, without case and with names as slots.
+WHOLE, CASELESS, NAMED = 0, 1, 2
+KINDS = {CASELESS: "caseless", NAMED: "named"}
+
+
+def _is_number(token: Column) -> Column:
+    """Tokens begin with a letter, a sign or an ASCII digit, so the order of bytes tells."""
+    return (token >= "0") & (token < ":")
+
+
+def _unit_or(token: Column, literal: Column) -> Column:
+    return F.when(token.isin(*UNITS), "<unit>").otherwise(literal)
 
 
 def form(token: Column) -> Column:
-    """Template form of one token."""
+    """Template form of one token. Most begin with a small ASCII letter and need no regular expression."""
+    plain = _unit_or(token, F.lower(token))
     return (
-        F.when(F.rlike(token, F.lit(NUMBER)), "<num>").when(F.rlike(token, F.lit(NAME)), "<name>")
-        .when(F.rlike(token, F.lit(UNIT)), "<unit>").otherwise(F.lower(token))
+        F.when((token >= "a") & (token < "{"), plain).when(_is_number(token), "<num>")
+        .when(F.rlike(token, F.lit(NAME)), "<name>").otherwise(plain)
     )
 
 
-def folded_form(token: Column) -> Column:
-    """Template form of a folded token, by its beginning."""
-    return (
-        F.when(F.rlike(token, F.lit(NUMBER)), "<num>").when(F.rlike(token, F.lit(NAME)), "<name>")
-        .when(F.rlike(token, F.lit("^" + FIRST_UNIT)), "<unit>").otherwise(F.lower(token))
-    )
+def caseless(text: Column) -> Column:
+    """Upper case first: some letters have several lower-case forms or become two."""
+    return F.lower(F.upper(text))
+
+
+def _is_slot(hashed: Column) -> Column:
+    return hashed.isin(*[F.xxhash64(F.lit(x)) for x in ("<num>", "<name>", "<unit>")])
 
 
-def _neighbours(column: str, step: int) -> Column:
-    """Hash of each element with the one ``step`` behind it; the last ones drop out."""
-    size = F.greatest(F.size(column) - step, F.lit(0))
-    return F.slice(F.transform(column, lambda x, i: F.xxhash64(x, F.get(column, i + step))), F.lit(1), size)
+def _neighbours(column: str, step: int, other: str | None = None) -> Column:
+    """Hash of each element with the one of ``other`` ``step`` behind it; the last ones drop out."""
+    other = other or column
+    size = F.greatest(F.size(other) - step, F.lit(0))
+    return F.slice(F.transform(column, lambda x, i: F.xxhash64(x, F.get(other, i + step))), F.lit(1), size)
+
+
+def _starts(column: str) -> Column:
+    """Places where a folded token begins: all but those of a slot behind one of its own type."""
+    return F.array_compact(F.transform(
+        column, lambda x, i: F.when(~_is_slot(x) | (i == 0) | (x != F.get(column, i - 1)), i)))
 
 
 def windows(df: DataFrame) -> DataFrame:
-    """``_id``, ``_tokens`` and ``_h8``, one hash per window of eight.
+    """``_id``, ``_tokens``, and for the text as it stands (``w``), without case (``c``) and with names (``n``) the hashed
+    forms (``_w``, ``_c``, ``_n``; the latter two folded, with places ``_cat`` and ``_nat``) and hashes of windows
+    (``_w8``, ``_c5``, ``_n5``).
 
-    Pairs are hashed, then pairs of pairs, then pairs of those. Each step is a column of its own: a lambda evaluates
-    whatever is not one anew for each element.
+    The text is cut once. Pairs are hashed, then pairs of pairs, then what is left. Each step is a column of its own: a
+    lambda evaluates whatever is not one anew for each element.
     """
-    split = df.select("_id", F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit(TOKEN), 0).alias("_tokens"))
-    forms = split.withColumn("_forms", F.transform("_tokens", form))
-    out = forms.withColumn("_h2", _neighbours("_forms", 1))
-    out = out.withColumn("_h4", _neighbours("_h2", 2)).withColumn("_h8", _neighbours("_h4", 4))
-    return out
+    out = df.select("_id", F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit(TOKEN), 0).alias("_tokens"))
+    low = F.transform("_tokens", caseless)
+    out = out.withColumns({
+        "_w": F.transform("_tokens", lambda t: F.xxhash64(form(t))),
+        "_l": F.transform(low, lambda t: F.xxhash64(F.when(_is_number(t), "<num>").otherwise(_unit_or(t, t))))})
+    out = out.withColumns({"_w2": _neighbours("_w", 1), "_cat": _starts("_l"), "_nat": _starts("_w")})
+    out = out.withColumns({
+        "_w4": _neighbours("_w2", 2), "_c": F.transform("_cat", lambda i: F.get("_l", i)),
+        "_n": F.transform("_nat", lambda i: F.get("_w", i))})
+    out = out.withColumns({"_w8": _neighbours("_w4", 4), "_c2": _neighbours("_c", 1), "_n2": _neighbours("_n", 1)})
+    out = out.withColumns({"_c4": _neighbours("_c2", 2), "_n4": _neighbours("_n2", 2)})
+    return out.withColumns({"_c5": _neighbours("_c4", 4, "_c"), "_n5": _neighbours("_n4", 4, "_n")})
+
+
+def _values(kind: Column, pos: Column) -> Column:
+    """Tokens of the window; of folded ones the run's tokens in one string."""
+    at = F.when(kind == CASELESS, F.col("_cat")).otherwise(F.col("_nat"))
+    runs = F.transform(F.slice(at, pos + 1, SHORT), lambda a, k: F.array_join(
+        F.slice("_tokens", a + 1, F.coalesce(F.get(at, pos + k + 1), F.size("_tokens")) - a), " "))
+    return (
+        F.when(kind == WHOLE, F.slice("_tokens", pos + 1, WINDOW))
+        .when(kind == CASELESS, F.transform(runs, caseless)).otherwise(runs)
+    )
+
+
+def _exploded(df: DataFrame, id_alias: str, pos: str, forms: bool = False) -> DataFrame:
+    """One row per window: id, ``kind``, place and ``h``, beside the arrays of the text."""
+    sides = [(WHOLE, "_w8", "_w"), (CASELESS, "_c5", "_c"), (NAMED, "_n5", "_n")]
+    each = F.explode(F.array(*[F.struct(
+        F.lit(k).alias("kind"), F.col(h).alias("hashes"), *([F.col(f).alias("forms")] if forms else [])) for k, h, f in sides]))
+    rows = windows(df).filter("_id IS NOT NULL").select(F.col("_id").alias(id_alias), "_tokens", "_cat", "_nat", each.alias("_s"))
+    rows = rows.select(id_alias, "_tokens", "_cat", "_nat", F.col("_s.kind").alias("kind"),
+                       *([F.col("_s.forms").alias("forms")] if forms else []), F.posexplode_outer("_s.hashes").alias(pos, "h"))
+    return rows.filter("h IS NOT NULL")
 
 
 def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``h``, ``item``, ``ipos``, ``ivals`` (the window's tokens) and ``many``, the item's number of windows."""
-    w = windows(texts(benchmark, item_col, text_col)).filter("_id IS NOT NULL")
-    literal = F.size(F.filter(F.slice("_forms", F.col("ipos") + 1, WINDOW), lambda x: ~F.startswith(x, F.lit("<"))))
-    rows = w.select("_id", "_tokens", "_forms", F.posexplode_outer("_h8").alias("ipos", "h")).filter("h IS NOT NULL")
-    rows = rows.filter(literal >= LEAST_WORDS)
-    rows = rows.select("h", F.col("_id").alias("item"), "ipos", F.slice("_tokens", F.col("ipos") + 1, WINDOW).alias("ivals"))
-    many = rows.groupBy(F.col("item").alias("_item")).agg(F.countDistinct("ipos").alias("many"))
-    return rows.join(many, F.col("item") == F.col("_item")).drop("_item")
+    """``h``, ``kind``, ``item``, ``ipos``, ``ivals`` (the window's tokens) and ``size``: the item's number of windows, of
+    short ones its number of folded tokens."""
+    rows = _exploded(texts(benchmark, item_col, text_col), "item", "ipos", forms=True)
+    whole = F.col("kind") == WHOLE
+    literal = F.size(F.filter(F.slice("forms", F.col("ipos") + 1, F.when(whole, WINDOW).otherwise(SHORT)), lambda x: ~_is_slot(x)))
+    rows = rows.filter(literal >= F.when(whole, LEAST_WORDS).otherwise(SHORT_WORDS)).select(
+        "h", "kind", "item", "ipos", _values(F.col("kind"), F.col("ipos")).alias("ivals"), F.size("forms").alias("n"))
+    many = rows.filter(whole).groupBy(F.col("item").alias("_item")).agg(F.countDistinct("ipos").alias("many"))
+    rows = rows.join(many, F.col("item") == F.col("_item"), "left").withColumn("size", F.when(whole, F.col("many")).otherwise(F.col("n")))
+    return rows.drop("_item", "many", "n")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_col: str = "item_id", item_text: str = "text", limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Matching windows: ``doc``, ``pos``, ``dvals`` and the benchmark's columns."""
-    side = scratch(benchmark_windows(benchmark, item_col, item_text), "benchmark")
-    small = side.count() * ROW_BYTES <= limit_bytes
-    w = windows(texts(docs, id_col, text_col)).filter("_id IS NOT NULL")
-    rows = w.select(F.col("_id").alias("doc"), "_tokens", F.posexplode_outer("_h8").alias("pos", "h")).filter("h IS NOT NULL")
-    values = F.slice("_tokens", F.col("pos") + 1, WINDOW).alias("dvals")
-    if small:
-        # Tokens are only referred to here; the window is cut out of matching rows.
-        return rows.join(F.broadcast(side), "h").select("doc", "pos", values, "item", "ipos", "ivals", "many")
-    return rows.select("doc", "pos", "h", values).join(side, "h").drop("h")
-
-
-def short_windows(df: DataFrame, kind: str) -> DataFrame:
-    """``_id``, ``_tokens`` and ``_forms`` (folded), and ``_h5``, one hash per window of five."""
-    text = F.coalesce("_text", F.lit(""))
-    if kind == "caseless":
-        # Upper case first: some letters have several lower-case forms or become two.
-        text = F.lower(F.upper(text))
-    split = df.select("_id", F.regexp_extract_all(text, F.lit(FOLDED), 0).alias("_tokens"))
-    out = split.withColumn("_forms", F.transform("_tokens", folded_form))
-    out = out.withColumn("_h2", _neighbours("_forms", 1)).withColumn("_h4", _neighbours("_h2", 2))
-    size = F.greatest(F.size("_h4") - 1, F.lit(0))
-    h5 = F.transform("_h4", lambda x, i: F.xxhash64(x, F.get("_forms", i + 4)))
-    return out.withColumn("_h5", F.slice(h5, F.lit(1), size))
-
-
-def short_matches(docs: DataFrame, benchmark: DataFrame, kind: str, limit_bytes: int) -> DataFrame:
-    """Matching short windows: ``doc``, ``pos``, ``dvals``, ``item``, ``ipos``, ``ivals`` and ``size``, the item's tokens."""
-    w = short_windows(benchmark, kind).filter("_id IS NOT NULL")
-    rows = w.select(F.col("_id").alias("item"), "_tokens", "_forms", F.posexplode_outer("_h5").alias("ipos", "h")).filter("h IS NOT NULL")
-    literal = F.size(F.filter(F.slice("_forms", F.col("ipos") + 1, SHORT), lambda x: ~F.startswith(x, F.lit("<"))))
-    side = scratch(rows.filter(literal >= SHORT_WORDS).select(
-        "h", "item", "ipos", F.slice("_tokens", F.col("ipos") + 1, SHORT).alias("ivals"), F.size("_tokens").alias("size")), kind)
-    d = short_windows(docs, kind).filter("_id IS NOT NULL")
-    rows = d.select(F.col("_id").alias("doc"), "_tokens", F.posexplode_outer("_h5").alias("pos", "h")).filter("h IS NOT NULL")
-    values = F.slice("_tokens", F.col("pos") + 1, SHORT).alias("dvals")
+    """Matching windows of all searches: ``doc``, ``pos``, ``dvals`` and the benchmark's columns."""
+    side = scratch(benchmark_windows(benchmark, item_col, item_text), "benchmark").withColumnRenamed("kind", "_kind")
+    rows = _exploded(texts(docs, id_col, text_col), "doc", "pos")
+    values = _values(F.col("kind"), F.col("pos")).alias("dvals")
+    # Kinds are compared beside the hash, so that the join's key is one number.
+    found = (F.col("h") == F.col("_h")) & (F.col("kind") == F.col("_kind"))
+    side = side.withColumnRenamed("h", "_h")
     if side.count() * ROW_BYTES <= limit_bytes:
-        rows = rows.join(F.broadcast(side), "h").select("doc", "pos", values, "item", "ipos", "ivals", "size")
-    else:
-        rows = rows.select("doc", "pos", "h", values).join(side, "h").drop("h")
-    return rows.withColumn("kind", F.lit(kind))
+        # Tokens are only referred to here; the window is cut out of matching rows.
+        return rows.join(F.broadcast(side), found).select("doc", "kind", "pos", values, "item", "ipos", "ivals", "size")
+    return rows.select("doc", "kind", "pos", "h", values).join(side, found).drop("h", "_h", "_kind")
 
 
 def _consistent(found: DataFrame, counts: DataFrame, at: list[str], form_of, value_of=lambda c: c) -> DataFrame:
@@ -181,10 +201,11 @@ def _consistent(found: DataFrame, counts: DataFrame, at: list[str], form_of, val
 def _short_hits(found: DataFrame) -> DataFrame:
     """Good groups of short windows; ``n_windows`` counts these."""
     gap, size = F.col("pos") - F.col("ipos"), F.col("size")
+    name = map_lookup(KINDS, F.col("kind"))
     groups = [(0, gap), (1, F.floor(gap / NEAR)), (2, F.floor((gap + NEAR // 2) / NEAR)),
               (3, F.floor(gap / (2 * size))), (4, F.floor((gap + size) / (2 * size)))]
     found = found.select("doc", "item", "ipos", "size", "ivals", "dvals", F.explode(F.array(*[
-        F.concat_ws(":", "kind", F.lit(k), b.cast("bigint")) for k, b in groups])).alias("at"))
+        F.concat_ws(":", name, F.lit(k), b.cast("bigint")) for k, b in groups])).alias("at"))
     at = ["doc", "item", "at"]
     starts = found.groupBy(*at).agg(F.collect_set("ipos").alias("starts"), F.max("size").alias("size"))
     near = ~F.rlike(F.col("at"), F.lit(":[34]:"))
@@ -193,7 +214,8 @@ def _short_hits(found: DataFrame) -> DataFrame:
         (near & (F.col("n_windows") >= LEAST_SHORT)) | (F.col("covered") >= F.lit(LEAST_COVERED) * F.col("size"))), "groups")
     # Only groups that count have their slots compared.
     found = scratch(found.join(counts.select(*at), at, "left_semi"), "grouped")
-    return _consistent(found, counts.select(*at, "n_windows"), at, folded_form, lambda c: F.regexp_replace(c, BETWEEN[:-2] + "+", " "))
+    return _consistent(found, counts.select(*at, "n_windows"), at, lambda c: form(F.substring_index(c, " ", 1)),
+                       lambda c: F.regexp_replace(c, BETWEEN, " "))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -202,18 +224,13 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     ``n_slots`` and ``n_changed`` (slots there, and those with another value)."""
     found = scratch(matches(docs, benchmark, id_col, text_col, item_col, item_text, limit_bytes), "matches")
     at = ["doc", "item", "gap"]
-    found = found.withColumn("gap", F.col("pos") - F.col("ipos"))
-    counts = found.groupBy(*at).agg(F.countDistinct("ipos").alias("n_windows"), F.max("many").alias("many"))
-    counts = counts.filter(F.col("n_windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("many")))
-    good = _consistent(found, counts, at, form)
-    slim, items = texts(docs, id_col, text_col), texts(benchmark, item_col, item_text)
-    short = None
-    for kind in KINDS:
-        rows = short_matches(slim, items, kind, limit_bytes)
-        short = rows if short is None else short.unionByName(rows)
+    whole = found.filter(F.col("kind") == WHOLE).withColumn("gap", F.col("pos") - F.col("ipos"))
+    counts = whole.groupBy(*at).agg(F.countDistinct("ipos").alias("n_windows"), F.max("size").alias("size"))
+    counts = counts.filter(F.col("n_windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("size")))
+    good = _consistent(whole, counts, at, form)
     columns = ["doc", "item", "n_windows", "n_slots", "n_changed"]
     both = good.select(F.lit(1).alias("first"), *columns).union(
-        _short_hits(scratch(short, "short")).select(F.lit(0).alias("first"), *columns))
+        _short_hits(found.filter(F.col("kind") != WHOLE)).select(F.lit(0).alias("first"), *columns))
     best = both.groupBy("doc", "item").agg(F.max(F.struct(
         "first", "n_windows", (-F.col("n_changed")).alias("kept"), "n_slots")).alias("b"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), F.col("b.n_windows"), F.col("b.n_slots"),
