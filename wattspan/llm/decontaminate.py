@@ -95,11 +95,21 @@ def _is_slot(hashed: Column) -> Column:
     return hashed.isin(*[F.xxhash64(F.lit(x)) for x in ("<num>", "<name>", "<unit>")])
 
 
-def _neighbours(column: str, step: int, other: str | None = None) -> Column:
-    """Hash of each element with the one of ``other`` ``step`` behind it; the last ones drop out."""
-    other = other or column
-    size = F.greatest(F.size(other) - step, F.lit(0))
-    return F.slice(F.transform(column, lambda x, i: F.xxhash64(x, F.get(other, i + step))), F.lit(1), size)
+def _neighbours(column: str, step: int) -> Column:
+    """Hash of each element with the one ``step`` behind it; the last ones drop out."""
+    size = F.greatest(F.size(column) - step, F.lit(0))
+    return F.slice(F.transform(column, lambda x, i: F.xxhash64(x, F.get(column, i + step))), F.lit(1), size)
+
+
+def _folded_windows(forms: str, at: str, fours: str) -> Column:
+    """Hashes of windows of five folded tokens. Where none of them is a run, four are hashed already."""
+
+    def hashed(a: Column, i: Column) -> Column:
+        g = lambda k: F.get(forms, F.get(at, i + k))
+        pairs = F.xxhash64(F.xxhash64(g(0), g(1)), F.xxhash64(g(2), g(3)))
+        return F.when(F.get(at, i + 4) == a + 4, F.xxhash64(F.get(fours, a), F.get(forms, a + 4))).otherwise(F.xxhash64(pairs, g(4)))
+
+    return F.slice(F.transform(at, hashed), F.lit(1), F.greatest(F.size(at) - (SHORT - 1), F.lit(0)))
 
 
 def _starts(column: str) -> Column:
@@ -110,7 +120,7 @@ def _starts(column: str) -> Column:
 
 def windows(df: DataFrame) -> DataFrame:
     """``_id``, ``_tokens``, and for the text as it stands (``w``), without case (``c``) and with names (``n``) the hashed
-    forms (``_w``, ``_c``, ``_n``; the latter two folded, with places ``_cat`` and ``_nat``) and hashes of windows
+    forms (``_w``, ``_l`` without case), the places where folded tokens begin (``_cat``, ``_nat``) and hashes of windows
     (``_w8``, ``_c5``, ``_n5``).
 
     The text is cut once. Pairs are hashed, then pairs of pairs, then what is left. Each step is a column of its own: a
@@ -121,13 +131,11 @@ def windows(df: DataFrame) -> DataFrame:
     out = out.withColumns({
         "_w": F.transform("_tokens", lambda t: F.xxhash64(form(t))),
         "_l": F.transform(low, lambda t: F.xxhash64(F.when(_is_number(t), "<num>").otherwise(_unit_or(t, t))))})
-    out = out.withColumns({"_w2": _neighbours("_w", 1), "_cat": _starts("_l"), "_nat": _starts("_w")})
     out = out.withColumns({
-        "_w4": _neighbours("_w2", 2), "_c": F.transform("_cat", lambda i: F.get("_l", i)),
-        "_n": F.transform("_nat", lambda i: F.get("_w", i))})
-    out = out.withColumns({"_w8": _neighbours("_w4", 4), "_c2": _neighbours("_c", 1), "_n2": _neighbours("_n", 1)})
-    out = out.withColumns({"_c4": _neighbours("_c2", 2), "_n4": _neighbours("_n2", 2)})
-    return out.withColumns({"_c5": _neighbours("_c4", 4, "_c"), "_n5": _neighbours("_n4", 4, "_n")})
+        "_w2": _neighbours("_w", 1), "_l2": _neighbours("_l", 1), "_cat": _starts("_l"), "_nat": _starts("_w")})
+    out = out.withColumns({"_w4": _neighbours("_w2", 2), "_l4": _neighbours("_l2", 2)})
+    return out.withColumns({
+        "_w8": _neighbours("_w4", 4), "_c5": _folded_windows("_l", "_cat", "_l4"), "_n5": _folded_windows("_w", "_nat", "_w4")})
 
 
 def _values(kind: Column, pos: Column) -> Column:
@@ -143,9 +151,10 @@ def _values(kind: Column, pos: Column) -> Column:
 
 def _exploded(df: DataFrame, id_alias: str, pos: str, forms: bool = False) -> DataFrame:
     """One row per window: id, ``kind``, place and ``h``, beside the arrays of the text."""
-    sides = [(WHOLE, "_w8", "_w"), (CASELESS, "_c5", "_c"), (NAMED, "_n5", "_n")]
+    folded = lambda column, at: F.transform(at, lambda i: F.get(column, i))
+    sides = [(WHOLE, "_w8", F.col("_w")), (CASELESS, "_c5", folded("_l", "_cat")), (NAMED, "_n5", folded("_w", "_nat"))]
     each = F.explode(F.array(*[F.struct(
-        F.lit(k).alias("kind"), F.col(h).alias("hashes"), *([F.col(f).alias("forms")] if forms else [])) for k, h, f in sides]))
+        F.lit(k).alias("kind"), F.col(h).alias("hashes"), *([f.alias("forms")] if forms else [])) for k, h, f in sides]))
     rows = windows(df).filter("_id IS NOT NULL").select(F.col("_id").alias(id_alias), "_tokens", "_cat", "_nat", each.alias("_s"))
     rows = rows.select(id_alias, "_tokens", "_cat", "_nat", F.col("_s.kind").alias("kind"),
                        *([F.col("_s.forms").alias("forms")] if forms else []), F.posexplode_outer("_s.hashes").alias(pos, "h"))
