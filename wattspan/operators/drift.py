@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattspan.functions.columns import qcol, qcols, require, unpivot
+from wattspan.functions.gamma import chi_square_p_value
 from wattspan.operators.order import running
 from wattspan.operators.small import checkpointed
 
@@ -21,6 +22,8 @@ FEATURE_SCORE = 0.5
 RMSE_DEGRADATION = 0.15
 WARNING_FACTOR = 0.7
 MIN_SHARE = 1e-4
+LEAST_EXPECTED = 5.0
+CHI_SQUARE_P_THRESHOLD = 0.05
 
 
 def numeric_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -164,6 +167,37 @@ def categorical_drift(reference: DataFrame | Reference, current: DataFrame, cols
     return out.select("*", score.alias("drift_score"), F.coalesce(drifted, F.lit(True)).alias("drifted"))
 
 
+def chi_square_test(reference: DataFrame | Reference, current: DataFrame, cols: list[str],
+                    least: float = LEAST_EXPECTED) -> DataFrame:
+    """Chi-square test per text column of the current counts against the reference's shares, with its p-value.
+
+    Categories expected fewer than ``least`` times, those unknown to the reference included, are one cell. If that cell
+    holds unknown categories alone, nothing is expected in it: its rows are evidence enough (p 0, statistic null). Fewer
+    than two cells, or a side without values, give a null p-value.
+    """
+    counts = _counted(reference, current, cols, "categorical")
+    totals = counts.groupBy("column").agg(F.sum("a").alias("n_ref"), F.sum("b").alias("n_cur"))
+    # One row per column.
+    placed = counts.join(F.broadcast(totals), "column")
+    placed = placed.withColumn("expected", F.try_divide(F.col("a") * F.col("n_cur"), F.col("n_ref")))
+    small = F.coalesce(F.col("expected") < least, F.lit(True))
+    e, b = F.coalesce("expected", F.lit(0.0)), F.col("b")
+    sums = placed.groupBy("column").agg(
+        F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.count_if(~small).alias("large"),
+        F.count_if(small).alias("n_pooled"), F.sum(F.when(~small, (b - e) * (b - e) / e)).alias("known"),
+        F.sum(F.when(small, e).otherwise(0.0)).alias("pool_e"), F.sum(F.when(small, b).otherwise(0)).alias("pool_b"))
+    pool_e, pool_b = F.col("pool_e"), F.col("pool_b")
+    new = (pool_e == 0) & (pool_b > 0)
+    sides = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    pooled = F.when(pool_e > 0, (pool_b - pool_e) * (pool_b - pool_e) / pool_e).otherwise(0.0)
+    out = sums.select(
+        "column", "n_ref", "n_cur", "n_pooled",
+        F.when(sides & ~new, F.coalesce("known", F.lit(0.0)) + pooled).alias("chi_square"),
+        (F.col("large") + (F.col("n_pooled") > 0).cast("bigint") - 1).alias("degrees"), (sides & new).alias("new"))
+    p = F.when(F.col("degrees") > 0, F.when(F.col("new"), 0.0).otherwise(chi_square_p_value(F.col("chi_square"), F.col("degrees"))))
+    return out.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < CHI_SQUARE_P_THRESHOLD).drop("new")
+
+
 def column_drift(reference: DataFrame | Reference, current: DataFrame, numeric: list[str], categorical: list[str],
                  numeric_test: str = "wasserstein", categorical_test: str = "js") -> DataFrame:
     """Both kinds of column in one report (column, kind, drift_score, drifted)."""
