@@ -17,7 +17,7 @@ least ``LEAST_CONSISTENT`` of its slot pairs are consistent.
 
 Beside these windows of the text as it stands, a second search takes folded
 tokens: a run of placeholders of one type is one slot, so a value may be longer
-or shorter than the item's. It reads the text twice: without case (words in any
+or shorter than the item's. It takes the tokens twice: without case (words in any
 case are literals, numbers and units are slots), and with names as slots. Its windows have ``SHORT`` forms, of
 which at least ``SHORT_WORDS`` are literal. They are grouped by one distance, by
 near ones, and by distances of up to the item's length, since a literal may be
