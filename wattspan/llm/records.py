@@ -43,6 +43,8 @@ from wattspan.operators.small import checkpoint_dir
 
 END_ID = 2
 FILE_BYTES = 32 << 20
+# Bytes of files that a reading task gets.
+TASK_BYTES = 64 << 20
 # Fixed value: the addend of the mask.
 MASK = 0xA282EAD8
 NULL_ID = -(1 << 63)
@@ -175,8 +177,11 @@ def read_records(manifest: DataFrame, folder: str) -> DataFrame:
                         "ids": pa.ListArray.from_arrays(n, np.concatenate([x[1] for x in got]).astype(np.int32)),
                     }, schema=kinds)
 
-    # One file is a task's unit: it has at most file_bytes and one more record.
-    files = shard_starts(manifest).repartition("shard")
+    # One file is a task's unit: it has at most file_bytes and one more record. Without a number of partitions, adaptive
+    # execution would merge the few rows of the manifest, and one task would read all files.
+    files, size = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    spread = max(1, min(files, max(-(-size // TASK_BYTES), manifest.sparkSession.sparkContext.defaultParallelism)))
+    files = shard_starts(manifest).repartition(spread, "shard")
     return files.mapInArrow(run, "shard string, record bigint, doc_id bigint, start bigint, ids array<int>")
 
 
