@@ -112,6 +112,23 @@ def test_plan_is_gapless(lengths):
     assert sum(n == size for n in fill.values()) == sum(lengths) // size
 
 
+def test_plan_cuts_only_what_fits_nowhere():
+    # Seven of 300 fit in one of 2,048 with 52 left: one per sequence at most is cut.
+    lengths = [300] * 70 + [1900] * 5
+    got = packing.plan(lengths, 2048)
+    whole = {d for d, start, n, _, _ in got if n == lengths[d]}
+    assert len(whole) >= 60 and set(range(70, 75)) <= whole
+    rooms = [2048] * (sum(lengths) // 2048) + [1 << b for b in reversed(range(12)) if sum(lengths) % 2048 >> b & 1]
+    left = list(rooms)
+    for d, start, n, s, at in got:
+        want = lengths[d] - start
+        assert at == rooms[s] - left[s]
+        # A cut means that no sequence had room for the piece.
+        assert n == want or max(left) < want
+        left[s] -= n
+    assert not any(left)
+
+
 def test_plan_balances_cost():
     lengths = [40, 30, 20, 10] * 64
     cost = lambda n: n + packing.ATTENTION_SHARE * n * n

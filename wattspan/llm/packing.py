@@ -3,10 +3,11 @@
 A sequence's cost is linear in its tokens plus quadratic in its pieces (attention
 runs inside a piece). A task takes blocks of its documents in reading order and
 packs each block by itself: the tokens of the block fix how many full sequences
-there are; pieces go, dearest first, to the cheapest sequence with room, and a
-piece that doesn't fit is cut there, its rest waiting for its turn. So all of
-these sequences end full. What is left of a block, less than one sequence,
-becomes sequences whose lengths are powers of two, which need no padding.
+there are; what is left, less than one sequence, becomes sequences whose lengths
+are powers of two, which need no padding. Pieces go, dearest first, to the
+cheapest sequence that has room for the whole piece. Only where none has, the
+piece is cut: it fills the cheapest sequence with room, and its rest waits for
+its turn. So all sequences end full.
 Nothing is shuffled and no task sees more than its own rows.
 
 Null and empty texts have the end id only. Repeated rows are packed each, like
@@ -47,29 +48,27 @@ def plan(lengths: list[int], size: int, attention: float = ATTENTION_SHARE) -> l
     rest = total % size
     rooms += [1 << b for b in reversed(range(size.bit_length())) if rest >> b & 1]
     cost = lambda n: n + attention * n * n
-    filled = [0] * len(rooms)
-    full = total // size
-    # Full sequences by cost; the short ones behind them take what remains.
-    open_ = [(0.0, s) for s in range(full)]
+    room, spent = np.array(rooms, np.int64), np.zeros(len(rooms))
+    # The cheapest sequence comes from the heap; where it is too small, all of the block's sequences are looked at.
+    cheapest = [(0.0, s) for s in range(len(rooms))]
     waiting = [(-n, d, 0) for d, n in enumerate(lengths) if n]
     heapq.heapify(waiting)
-    short = full
     out = []
     while waiting:
         minus, d, start = heapq.heappop(waiting)
         left = -minus
-        if open_:
-            spent, s = heapq.heappop(open_)
-        else:
-            spent, s = 0.0, short
-        n = min(left, rooms[s] - filled[s])
-        out.append((d, start, n, s, filled[s]))
-        filled[s] += n
-        if s < full:
-            if filled[s] < rooms[s]:
-                heapq.heappush(open_, (spent + cost(n), s))
-        elif filled[s] == rooms[s]:
-            short += 1
+        while not room[cheapest[0][1]] or spent[cheapest[0][1]] != cheapest[0][0]:
+            heapq.heappop(cheapest)
+        s = cheapest[0][1]
+        if room[s] < left:
+            fits = np.flatnonzero(room >= left)
+            if len(fits):
+                s = int(fits[np.argmin(spent[fits])])
+        n = min(left, int(room[s]))
+        out.append((d, start, n, s, rooms[s] - int(room[s])))
+        room[s] -= n
+        spent[s] += cost(n)
+        heapq.heappush(cheapest, (float(spent[s]), s))
         if n < left:
             heapq.heappush(waiting, (n - left, d, start + n))
     return out
