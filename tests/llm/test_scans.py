@@ -119,6 +119,35 @@ def test_licenses(spark):
     assert licenses.scan_licenses(cases.frame(spark, [])).count() == 0
 
 
+def written(markup, optional, filler):
+    """The text of a template: optional wording in or out, regions filled with words."""
+    text = re.sub(r"<(\d+)>", lambda m: " ".join(filler[:int(m[1])]), markup)
+    while "[" in text:
+        text = re.sub(r"\[([^\[\]]*)\]", r"\1" if optional else "", text)
+    return text
+
+
+@pytest.mark.parametrize("optional", [True, False])
+def test_whole_license_texts(spark, optional):
+    texts = [t for t in licenses.TEMPLATES if t[1].endswith("-text")]
+    assert len(texts) == 6
+    rows, want = [], {}
+    for k, (markup, label) in enumerate(texts):
+        body = written(markup, optional, ["the", "authors", "or", "holders"])
+        words = body.split()
+        wrapped = "\n# ".join(" ".join(words[i:i + 9]).capitalize() for i in range(0, len(words), 9))
+        # A mandatory word changed near the end: the text is another one.
+        other = body.rsplit(" ", 2)
+        rows += [(3 * k, "Some code\n# " + wrapped + ".\nmore"), (3 * k + 1, " ".join([other[0], "nothing", other[2]])),
+                 (3 * k + 2, body[:len(body) // 2])]
+        want[3 * k], want[3 * k + 1], want[3 * k + 2] = label, None, None
+    got = {r.doc_id: r for r in licenses.scan_licenses(cases.frame(spark, rows)).collect()}
+    for i, label in want.items():
+        mine = [x for x in got[i].labels.split(",") if x.endswith("-text")]
+        assert mine == ([label] if label else []), (i, got[i])
+        assert got[i].score == 1 if label else got[i].score > 0
+
+
 ITEM = "How many apples does Alice buy if she pays 12 dollars for 3 bags of 4 apples and gives Bob 12 of them"
 
 
