@@ -6,6 +6,7 @@ their 64-bit hashes. Null texts are empty texts.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,6 +87,19 @@ class Powers:
 
 
 POWERS = Powers()
+# Emptied by ``release``: what a worker keeps from one task to the next.
+HELD: list[dict] = []
+_MOST_POWERS = 1 << 22
+
+
+def release() -> None:
+    """Frees what earlier tasks left in this worker and the coming one does not need."""
+    if any(HELD) or len(POWERS.up) > _MOST_POWERS:
+        for kept in HELD:
+            kept.clear()
+        POWERS.__init__()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 class Prefix:

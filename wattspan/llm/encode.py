@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-from wattspan.llm.batches import IS_SPACE, bounds, ragged, runs, sums, word_hashes
+from wattspan.llm.batches import HELD, IS_SPACE, bounds, ragged, runs, sums, word_hashes
 
 WORD_FILE = "word_bpe_49k.json"
 SLOTS = 1 << 21
@@ -176,6 +176,7 @@ class WordEncoder:
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
+HELD.append(_ENCODERS)
 
 
 def encoder(path: str) -> WordEncoder:

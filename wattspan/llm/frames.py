@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wattspan.functions.columns import qcol, require
-from wattspan.llm.batches import slices
+from wattspan.llm.batches import release, slices
 from wattspan.operators.small import checkpoint_dir
 
 
@@ -19,10 +19,15 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(qcol(id_col).cast("bigint").alias("_id"), qcol(text_col).cast("string").alias("_text"))
 
 
-def by_slice(df: DataFrame, fn: Callable, schema: str, text_col: str = "_text") -> DataFrame:
-    """Runs ``fn(batch, lo, hi, data, off)`` on slices of bounded bytes; it gives the output columns of the slice."""
+def by_slice(df: DataFrame, fn: Callable, schema: str, text_col: str = "_text", keep: bool = False) -> DataFrame:
+    """Runs ``fn(batch, lo, hi, data, off)`` on slices of bounded bytes; it gives the output columns of the slice.
+
+    Without ``keep`` a task first frees what other tasks left in its worker.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            release()
         for batch in batches:
             for lo, hi, data, off in slices(batch.column(text_col)):
                 yield pa.RecordBatch.from_pydict(fn(batch, lo, hi, data, off))

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from wattspan.functions.columns import qcol
-from wattspan.llm.batches import slices
+from wattspan.llm.batches import release, slices
 from wattspan.llm.encode import default_path, encoder
 from wattspan.llm.frames import scratch, texts
 from wattspan.operators.small import checkpoint_dir
@@ -45,6 +45,9 @@ END_ID = 2
 FILE_BYTES = 32 << 20
 # Bytes of files that a reading task gets.
 TASK_BYTES = 64 << 20
+# Of read records a batch has at most so many, and ids of at most so many and one more record.
+BATCH_RECORDS = 2048
+BATCH_IDS = 1 << 19
 # Fixed value: the addend of the mask.
 MASK = 0xA282EAD8
 NULL_ID = -(1 << 63)
@@ -152,55 +155,58 @@ def shard_starts(manifest: DataFrame) -> DataFrame:
     return manifest.select("shard", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("first"))
 
 
-def read_records(manifest: DataFrame, folder: str) -> DataFrame:
-    """Documents of the files: ``shard``, ``record`` (its place in the file), ``doc_id``, ``start`` (ids of all records
-    before it) and ``ids``. Checksums are verified."""
-    kinds = pa.schema([("shard", pa.string()), ("record", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
-                       ("ids", pa.list_(pa.int32()))])
+def _read(manifest: DataFrame, folder: str, made, fields: list[tuple[str, pa.DataType]], schema: str) -> DataFrame:
+    """Reads the files and verifies the checksums. ``made`` gives the columns ``fields`` of some records' ids."""
+    kinds = pa.schema([("shard", pa.string()), ("record", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), *fields])
 
     def run(batches):
+        release()
         for batch in batches:
             for name, start in zip(batch.column("shard").to_pylist(), batch.column("first").to_pylist()):
                 store, inner = fs.FileSystem.from_uri(folder)
                 with store.open_input_file(f"{inner}/{name}.rec") as f, store.open_input_file(f"{inner}/{name}.idx") as g:
                     data, offsets = f.read_buffer(), np.frombuffer(g.read_buffer(), "<u8").tolist()
-                for k in range(0, len(offsets), 512):
-                    got, starts = [], []
-                    for at in offsets[k:k + 512]:
-                        got.append(parse(unframe(data, at)[0]))
-                        starts.append(start)
-                        start += len(got[-1][1])
-                    n = np.cumsum([0, *(len(x[1]) for x in got)]).astype(np.int32)
-                    yield pa.RecordBatch.from_pydict({
-                        "shard": [name] * len(got), "record": list(range(k, k + len(got))), "doc_id": [x[0] for x in got],
-                        "start": starts,
-                        "ids": pa.ListArray.from_arrays(n, np.concatenate([x[1] for x in got]).astype(np.int32)),
-                    }, schema=kinds)
+                doc_ids, starts, ids, held = [], [], [], 0
+                for k, at in enumerate(offsets):
+                    doc_id, own = parse(unframe(data, at)[0])
+                    doc_ids.append(doc_id)
+                    starts.append(start)
+                    ids.append(own)
+                    start += len(own)
+                    held += len(own)
+                    if held >= BATCH_IDS or len(ids) == BATCH_RECORDS or k + 1 == len(offsets):
+                        yield pa.RecordBatch.from_pydict({
+                            "shard": [name] * len(ids), "record": list(range(k + 1 - len(ids), k + 1)), "doc_id": doc_ids,
+                            "start": starts, **made(ids)}, schema=kinds)
+                        doc_ids, starts, ids, held = [], [], [], 0
 
     # One file is a task's unit: it has at most file_bytes and one more record. Without a number of partitions, adaptive
     # execution would merge the few rows of the manifest, and one task would read all files.
     files, size = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     spread = max(1, min(files, max(-(-size // TASK_BYTES), manifest.sparkSession.sparkContext.defaultParallelism)))
-    files = shard_starts(manifest).repartition(spread, "shard")
-    return files.mapInArrow(run, "shard string, record bigint, doc_id bigint, start bigint, ids array<int>")
+    rows = shard_starts(manifest).repartition(spread, "shard")
+    return rows.mapInArrow(run, "shard string, record bigint, doc_id bigint, start bigint, " + schema)
 
 
-def checksums(records: DataFrame) -> DataFrame:
-    """Replaces ``ids`` by ``n_tokens`` and ``ids_crc32``, the CRC-32 of the ids as little-endian uint32."""
+def read_records(manifest: DataFrame, folder: str) -> DataFrame:
+    """Documents of the files: ``shard``, ``record`` (its place in the file), ``doc_id``, ``start`` (ids of all records
+    before it) and ``ids``."""
 
-    def run(batches):
-        for b in batches:
-            ids = b.column("ids")
-            values = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
-            ends = ids.offsets.to_numpy()
-            crc = [zlib.crc32(values[s:e]) for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_pydict({
-                **{c: b.column(c) for c in ("shard", "record", "doc_id", "start")},
-                "n_tokens": np.diff(ends).astype(np.int64), "ids_crc32": pa.array(crc, pa.int64()),
-            })
+    def made(ids):
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        return {"ids": pa.ListArray.from_arrays(ends, np.concatenate(ids).astype(np.int32))}
+
+    return _read(manifest, folder, made, [("ids", pa.list_(pa.int32()))], "ids array<int>")
+
+
+def read_checksums(manifest: DataFrame, folder: str) -> DataFrame:
+    """Like :func:`read_records`, with ``n_tokens`` and ``ids_crc32``, the CRC-32 of the ids as little-endian uint32,
+    instead of the ids, which stay in the task that reads them."""
+
+    def made(ids):
+        return {"n_tokens": [len(x) for x in ids], "ids_crc32": [zlib.crc32(x.astype("<u4")) for x in ids]}
 
-    return records.mapInArrow(
-        run, "shard string, record bigint, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return _read(manifest, folder, made, [("n_tokens", pa.int64()), ("ids_crc32", pa.int64())], "n_tokens bigint, ids_crc32 bigint")
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
@@ -209,5 +215,5 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     before it), ``n_tokens`` and ``ids_crc32``."""
     folder = folder or f"{checkpoint_dir(docs.sparkSession)}/wattspan-llm/records-{uuid.uuid4().hex}"
     manifest = write_records(docs, folder, id_col, text_col, path, end_id)
-    got = checksums(read_records(manifest, folder))
+    got = read_checksums(manifest, folder)
     return got.select(qcol("doc_id").alias(id_col), "start", "n_tokens", "ids_crc32", "shard", "record")

@@ -33,5 +33,5 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "over_limit": pa.array(n > limit),
         }
 
-    out = by_slice(texts(docs, id_col, text_col), count, "_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    out = by_slice(texts(docs, id_col, text_col), count, "_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean", keep=True)
     return out.select(qcol("_id").alias(id_col), "n_bytes", "n_tokens", "over_limit")
