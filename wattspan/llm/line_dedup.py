@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wattspan.functions.columns import qcol
-from wattspan.llm.batches import IS_SPACE, Prefix, lowered, slices
+from wattspan.llm.batches import IS_SPACE, Prefix, lowered, release, slices
 from wattspan.llm.frames import scratch, texts
 
 MIN_POINTS = 40
@@ -36,6 +36,8 @@ BITS_PER_ROW = 256
 LEAST_FILTER_BITS = 1 << 20
 MOST_FILTER_BITS = 1 << 30
 SEGMENT_BYTES = 1 << 16
+# Bytes of text worked on at once; each takes about ten numbers of 8 bytes.
+SLICE_BYTES = 1 << 19
 PROBES = 3
 BROADCAST_BYTES = 64 << 20
 ROW_BYTES = 64
@@ -102,9 +104,10 @@ def twice_filter(docs: DataFrame, bits: int, min_points: int) -> np.ndarray:
     step = min(SEGMENT_BYTES, size)
 
     def fill(batches):
+        release()
         once, twice = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
         for batch in batches:
-            for _, _, data, off in slices(batch.column("_text")):
+            for _, _, data, off in slices(batch.column("_text"), SLICE_BYTES):
                 doc, _, _, _, h = long_keys(data, off, min_points)
                 keys, n = np.unique(h[once_per_text(doc, h)], return_counts=True)
                 put(twice, keys[(n > 1) | passes(once, keys)])
@@ -149,9 +152,10 @@ def suspects(docs: DataFrame, bitmap: np.ndarray, min_points: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
+        release()
         seen = shared.value
         for batch in batches:
-            for lo, hi, data, off in slices(batch.column("_text")):
+            for lo, hi, data, off in slices(batch.column("_text"), SLICE_BYTES):
                 doc, line, ks, ke, h = long_keys(data, off, min_points)
                 hit = np.flatnonzero(passes(seen, h))
                 doc, line, ks, ke, h = (x[hit] for x in (doc, line, ks, ke, h))
