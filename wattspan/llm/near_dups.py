@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wattspan.functions.columns import qcol
-from wattspan.llm.batches import IS_SPACE, Prefix, bounds, lowered, mix, ragged, runs
+from wattspan.llm.batches import IS_SPACE, bounds, lowered, mix, ragged, runs, word_hashes
 from wattspan.llm.components import components
 from wattspan.llm.frames import by_slice, scratch, texts
 
@@ -63,7 +63,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, width: int = SHINGLE) -> tup
     low = lowered(data)
     starts, ends = runs(~IS_SPACE[low], off)
     first = bounds(starts, off)
-    words = Prefix(low).of(starts, ends)
+    words = word_hashes(low, starts, ends)
     n = np.diff(first)
     # A shingle is a polynomial of its words' hashes; a short text has one over all its words.
     count = np.where(n >= width, n - width + 1, np.minimum(n, 1))
