@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattspan.functions.columns import numeric_columns, qcol, qcols, require, rows_of
+from wattspan.operators.gramian import pairwise_correlations
 from wattspan.operators.quantiles import quantile_row
 from wattspan.operators.small import scalar_row
 
@@ -42,13 +43,10 @@ def correlations(df: DataFrame, target: str, features: list[str] | None = None)
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """All column pairs as (a, b, correlation); each pair is computed once."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    one = df.agg(*[correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        rows += [[("a", F.lit(x)), ("b", F.lit(y)), ("correlation", F.col(f"r{i}"))] for x, y in ((a, b), (b, a))]
-    rows += [[("a", F.lit(c)), ("b", F.lit(c)), ("correlation", F.lit(1.0))] for c in cols]
-    return rows_of(one, rows)
+    pairs = pairwise_correlations(df, cols).drop("n")
+    sides = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b"), "correlation") for x, y in ("ab", "ba")])
+    itself = F.array(*[F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.lit(1.0).alias("correlation")) for c in cols])
+    return pairs.select(F.inline(sides)).union(df.sparkSession.range(1).select(F.inline(itself)))
 
 
 def top_correlated(df: DataFrame, target: str, n: int = 10, exclude: list[str] = ()) -> DataFrame:

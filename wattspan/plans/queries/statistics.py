@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattspan.operators import corr, evaluate, stats
+from wattspan.operators import corr, evaluate, gramian, stats
 from wattspan.operators.neighbours import neighbour_information
 from wattspan.plans.queries.base import READINGS, exact_quantile_sql as eq, query, r, readings, rounded, table
 
@@ -264,6 +264,22 @@ def _(spark, sf):
     return rounded(corr.correlation_matrix(table(spark, sf, "lineitem"), _MATRIX), 8)
 
 
+# Missing values in other rows of each column, and a constant one.
+_SPARSE = {
+    "quantity": "CASE WHEN l_orderkey % 3 <> 0 THEN l_quantity END", "discount": "CASE WHEN l_linenumber <> 2 THEN l_discount END",
+    "price": "l_extendedprice", "tax": "CASE WHEN l_orderkey % 3 = 0 THEN l_tax ELSE l_quantity END", "flat": "CAST(1.5 AS DOUBLE)"}
+
+
+@query("c4_pairwise_complete", "WITH s AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in _SPARSE.items()) + " FROM lineitem) "
+       + " UNION ALL ".join(
+           f"""SELECT '{a}' AS a, '{b}' AS b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n,
+             CASE WHEN '{b}' <> 'flat' THEN round(corr({a}, {b}), 8) END AS correlation FROM s"""
+           for i, a in enumerate(_SPARSE) for b in list(_SPARSE)[i + 1:]))
+def _(spark, sf):
+    df = table(spark, sf, "lineitem").select(*[F.expr(e).alias(c) for c, e in _SPARSE.items()])
+    return rounded(gramian.pairwise_correlations(df, list(_SPARSE), 2), 8)
+
+
 @query("c5_top_correlated", _round_corr(
     ["l_quantity", "l_discount", "l_linenumber"],
     ", CASE WHEN correlation >= 0 THEN 'positive' ELSE 'negative' END AS sign") + " ORDER BY abs_correlation DESC LIMIT 2")
