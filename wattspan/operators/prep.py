@@ -111,7 +111,8 @@ class CategoryEncoderModel(Model, _HasColumns, _Saved):
 class CategoryEncoder(Estimator, _HasColumns, _Saved):
     """One-hot encoding that drops the first category in sorted order.
 
-    Each category becomes a column, so a fit fails beyond ``maxCategories``; :func:`index_categories` has no limit.
+    Each category becomes a column, so a fit fails beyond ``maxCategories``;
+    ``category_tables.TableEncoder`` is the stage without a limit.
     """
 
     maxCategories = Param(Params._dummy(), "maxCategories", "largest number of categories",
@@ -211,8 +212,12 @@ class FeatureSelector(Transformer, _HasColumns, _Saved):
 
 
 def preprocessing(numeric: list[str], categorical: list[str], binary: dict[str, dict[str, int]] | None = None,
-                  keep: list[str] = (), passthrough: bool = False, unscaled: list[str] = ()) -> Pipeline:
-    """Select, scale, map binaries, one-hot. ``passthrough`` keeps all other columns."""
+                  keep: list[str] = (), passthrough: bool = False, unscaled: list[str] = (),
+                  encoder: type[Estimator] = CategoryEncoder) -> Pipeline:
+    """Select, scale, map binaries, one-hot. ``passthrough`` keeps all other columns.
+
+    ``encoder`` is the stage for categories; ``category_tables.TableEncoder`` has no limit on them.
+    """
     binary = binary or {}
     overlap = set(numeric) & set(categorical)
     if overlap or not (numeric or categorical or binary):
@@ -224,7 +229,7 @@ def preprocessing(numeric: list[str], categorical: list[str], binary: dict[str,
     if binary:
         stages.append(BinaryMapper(mappings=json.dumps(binary)))
     if categorical:
-        stages.append(CategoryEncoder(columns=list(categorical)))
+        stages.append(encoder(columns=list(categorical)))
     return Pipeline(stages=stages)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattspan.functions import temporal as t
-from wattspan.operators import prep, split, stats, temporal
+from wattspan.operators import category_tables, prep, split, stats, temporal
 from wattspan.plans.cleaning import clean_readings
 from wattspan.plans.queries.cleaning import CLEAN_SQL, READING_SPEC
 from wattspan.plans.queries.base import READINGS, dirty_csv, query, r, readings, rounded, scratch, table
@@ -156,6 +156,22 @@ def _(spark, sf):
     return prep.index_categories(o, prep.category_table(o, ["c"]), ["c"]).select("o_orderkey", "c_index")
 
 
+@query("e2_table_encoder", """WITH k AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS c FROM orders),
+  s AS (SELECT greatest(count(DISTINCT c) FILTER (c NOT LIKE '%7') - 1, 1) AS width FROM k),
+  d AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS i FROM (SELECT DISTINCT c FROM k WHERE c NOT LIKE '%7'))
+  SELECT o_orderkey, CAST(i AS BIGINT) AS c_index,
+    CASE WHEN i > 0 THEN concat('(', width, ',[', i - 1, '],[1.0])') ELSE concat('(', width, ',[],[])') END AS c_vector
+  FROM k LEFT JOIN d USING (c), s""")
+def _(spark, sf):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("c"))
+    path = scratch(spark, "category-tables")
+    stage = category_tables.TableEncoder(columns=["c"])
+    Pipeline(stages=[stage]).fit(o.filter("c NOT LIKE '%7'")).write().save(path)
+    return PipelineModel.load(path).transform(o).withColumn("c_vector", F.col("c_vector").cast("string"))
+
+
 @query("e2_one_hot_unknown", """SELECT o_orderkey, CAST(o_orderpriority = '2-HIGH' AS INTEGER) AS "o_orderpriority_2-HIGH"
   FROM orders""")
 def _(spark, sf):
