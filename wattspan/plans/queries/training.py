@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattspan.operators import evaluate, models, search, split, stats
+from wattspan.operators import evaluate, models, search, split, stats, target_stats
 from wattspan.plans.features import PreprocessSpec, feature_job, preprocess_job
 from wattspan.plans.queries.base import READINGS, query, r, readings, rounded, scratch, table
 from wattspan.plans.queries.series import METRICS_SQL
@@ -343,3 +343,23 @@ def _(spark, sf):
     return out.groupBy("split").agg(F.count(F.lit(1)).alias("n"), r(F.avg("NSM")).alias("nsm"), r(F.avg("week_status")).alias("weekend"))
 
 
+@query("m1_ordered_target", """WITH p AS (SELECT avg(o_totalprice) AS p FROM orders)
+  SELECT o_orderkey, round((CASE WHEN count(o_totalprice) OVER w > 0 THEN sum(o_totalprice) OVER w ELSE 0 END + p) / (count(o_totalprice) OVER w + 1), 4)
+    AS o_orderpriority_target FROM orders, p
+  WINDOW w AS (PARTITION BY o_orderpriority ORDER BY md5(concat('42|', o_orderkey)), o_orderkey
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def _(spark, sf):
+    orders = table(spark, sf, "orders")
+    out = target_stats.encode_training(orders, "o_orderpriority", "o_totalprice", "o_orderkey")
+    return out.select("o_orderkey", r("o_orderpriority_target", 4).alias("o_orderpriority_target"))
+
+
+@query("m1_target_scoring", """WITH t AS (SELECT * FROM orders WHERE o_custkey % 4 <> 0 OR o_orderkey % 2 = 0),
+  p AS (SELECT avg(o_totalprice) AS p FROM t), c AS (SELECT o_custkey, sum(o_totalprice) AS s, count(*) AS n FROM t GROUP BY 1)
+  SELECT o_orderkey, round((coalesce(s, 0) + 10 * p) / (coalesce(n, 0) + 10), 4) AS customer
+  FROM (SELECT * FROM orders WHERE o_orderkey % 2 = 1) LEFT JOIN c USING (o_custkey), p""")
+def _(spark, sf):
+    orders = table(spark, sf, "orders")
+    known = target_stats.target_table(orders.filter("o_custkey % 4 <> 0 OR o_orderkey % 2 = 0"), "o_custkey", "o_totalprice")
+    out = target_stats.encode_scoring(orders.filter("o_orderkey % 2 = 1"), known, "o_custkey", 10.0, "customer")
+    return out.select("o_orderkey", r("customer", 4).alias("customer"))
