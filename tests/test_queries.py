@@ -18,6 +18,7 @@ SPREAD = [
     "m1_one_tree", "m8_residual_correlation", "o6_zscore_report_nan", "p6_map_values_table", "r6_alert", "s11_history_scan",
     "s12_retention", "ts1_decompose_spike", "ts6_partial_autocorrelation", "x1_stratified_split_category",
     "x1_stratified_split_nulls", "z3_stream_drift", "s12_remove_expired", "ts1_loess", "m3_one_tree_search",
+    "c4_correlation_matrix", "c4_pairwise_complete", "e2_table_encoder", "m1_ordered_target", "m1_target_scoring", "r1_merged_runs",
 ]
 
 

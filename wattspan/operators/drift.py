@@ -52,18 +52,19 @@ def settle_reference(reference: DataFrame, numeric: list[str], categorical: list
                      checkpointed(category_counts(reference, categorical)) if categorical else None)
 
 
-def _counted(reference: DataFrame | Reference, current: DataFrame, cols: list[str], kind: str) -> DataFrame:
+def _side(rows: DataFrame | Reference, cols: list[str], kind: str) -> DataFrame:
+    """Counts of one side, settled before or counted here."""
+    if isinstance(rows, Reference):
+        return getattr(rows, kind).filter(F.col("column").isin(cols))
+    require(rows, cols)
+    return (numeric_counts if kind == "numeric" else category_counts)(rows, cols)
+
+
+def _counted(reference: DataFrame | Reference, current: DataFrame | Reference, cols: list[str], kind: str) -> DataFrame:
     """Counts of both sides (``a``, ``b``) per column and value."""
-    count = numeric_counts if kind == "numeric" else category_counts
-    if isinstance(reference, Reference):
-        ref = getattr(reference, kind).filter(F.col("column").isin(cols))
-    else:
-        require(reference, cols)
-        ref = count(reference, cols)
-    require(current, cols)
     none = F.lit(0).cast("bigint")
-    both = ref.withColumn("b", none).withColumnRenamed("n", "a").unionByName(
-        count(current, cols).withColumn("a", none).withColumnRenamed("n", "b"))
+    both = _side(reference, cols, kind).withColumn("b", none).withColumnRenamed("n", "a").unionByName(
+        _side(current, cols, kind).withColumn("a", none).withColumnRenamed("n", "b"))
     value = "value" if kind == "numeric" else "category"
     return checkpointed(both.groupBy("column", value).agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
 
@@ -85,7 +86,7 @@ def ks_p_value(d: Column, na: Column, nb: Column, terms: int = 100) -> Column:
     return F.when(lam.isNull(), None).when(lam < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * total)))
 
 
-def numeric_drift(reference: DataFrame | Reference, current: DataFrame, cols: list[str], bins: int = 10,
+def numeric_drift(reference: DataFrame | Reference, current: DataFrame | Reference, cols: list[str], bins: int = 10,
                   test: str = "wasserstein") -> DataFrame:
     """PSI, Kolmogorov-Smirnov and normalised Wasserstein distance per numeric column.
 
@@ -139,7 +140,7 @@ def numeric_drift(reference: DataFrame | Reference, current: DataFrame, cols: li
     return out.select("*", score.alias("drift_score"), F.coalesce(drifted, F.lit(True)).alias("drifted"))
 
 
-def categorical_drift(reference: DataFrame | Reference, current: DataFrame, cols: list[str], test: str = "js") -> DataFrame:
+def categorical_drift(reference: DataFrame | Reference, current: DataFrame | Reference, cols: list[str], test: str = "js") -> DataFrame:
     """PSI, Jensen-Shannon distance and chi-square statistic per text column.
 
     ``test`` names the measure that judges.
@@ -167,7 +168,7 @@ def categorical_drift(reference: DataFrame | Reference, current: DataFrame, cols
     return out.select("*", score.alias("drift_score"), F.coalesce(drifted, F.lit(True)).alias("drifted"))
 
 
-def chi_square_test(reference: DataFrame | Reference, current: DataFrame, cols: list[str],
+def chi_square_test(reference: DataFrame | Reference, current: DataFrame | Reference, cols: list[str],
                     least: float = LEAST_EXPECTED) -> DataFrame:
     """Chi-square test per text column of the current counts against the reference's shares, with its p-value.
 
@@ -198,7 +199,7 @@ def chi_square_test(reference: DataFrame | Reference, current: DataFrame, cols:
     return out.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < CHI_SQUARE_P_THRESHOLD).drop("new")
 
 
-def column_drift(reference: DataFrame | Reference, current: DataFrame, numeric: list[str], categorical: list[str],
+def column_drift(reference: DataFrame | Reference, current: DataFrame | Reference, numeric: list[str], categorical: list[str],
                  numeric_test: str = "wasserstein", categorical_test: str = "js") -> DataFrame:
     """Both kinds of column in one report (column, kind, drift_score, drifted)."""
     parts = []

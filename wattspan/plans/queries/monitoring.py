@@ -6,9 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from wattspan.operators import drift, history, textlog
+from wattspan.operators import drift, drift_state, history, textlog
 from wattspan.plans import monitoring as jobs
-from wattspan.plans.queries.base import query, r, rounded, scratch, table
+from wattspan.plans.queries.base import ORACLES, query, r, rounded, scratch, table
 from wattspan.sources import io
 from wattspan.streaming import jobs as streams
 
@@ -64,6 +64,17 @@ def _(spark, sf):
     return rounded(drift.numeric_drift(*_halves(spark, sf), _NUM))
 
 
+@query("r1_merged_runs", ORACLES["r1_numeric_drift"])
+def _(spark, sf):
+    before, after = _halves(spark, sf)
+    path, month = scratch(spark, "drift-states"), F.date_format("o_orderdate", "yyyy-MM")
+    for rows in (before, after):
+        drift_state.store(drift_state.summarise(rows, _NUM, [], month), path)
+    states = drift_state.stored(spark, path)
+    old, new = drift_state.merged(states, last="1999-12"), drift_state.merged(states, first="2000-01")
+    return rounded(drift.numeric_drift(old, new, _NUM))
+
+
 _CATS = [("o_orderstatus", "o_orderstatus"), ("o_orderpriority", "prio")]
 
 
