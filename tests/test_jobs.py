@@ -160,3 +160,20 @@ def test_history_keeps_undated_runs(spark, tmp_path):
     io.append_history(rows, path)
     assert [r["v"] for r in io.read_history(spark, path, 3).collect()] == [2, 1, 3]
     assert [r["v"] for r in io.read_history(spark, path, 2).collect()] == [2, 1]
+
+
+@pytest.mark.parametrize("name", ["r11_history_summary", "s10_history_append", "s11_history_scan", "s12_remove_expired", "s12_retention"])
+def test_history_of_zero_values(spark, tmp_path, name):
+    import __spark_entry__ as entry
+    import duckdb
+    from check_oracle import run
+
+    # A zero, a missing value and a day of nothing else; the relative error of a zero is infinite.
+    values = [0.0, 40.0, None, 55.5, -0.0, 0.0, 61.0]
+    rows = [(dt.datetime(2024, 1, 1 + i * 3, i), v) for i, v in enumerate(values)] + [(dt.datetime(2024, 1, 1, 5), 70.0)]
+    events = spark.createDataFrame(rows, "ts timestamp_ntz, value double")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    count, difference = run(spark, con, str(tmp_path), name, entry.queries(), entry.oracle_sql())
+    assert count > 0 and difference is None, difference

@@ -176,12 +176,14 @@ def _history(spark, sf):
     day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("timestamp")
     share = F.avg((F.col("value") > 60).cast("double"))
     err = F.col("value") - 50
+    # A zero value is infinitely far off, as in the SQL; a plain quotient is an error there.
+    off = F.when(F.col("value") == 0, float("inf")).otherwise(F.abs(err / F.col("value")))
     return e.groupBy(day).agg(
         share.alias("drift_score"), share.alias("share_of_drifted_features"),
         F.count_if(F.col("value") > 60).alias("number_of_drifted_features"), (share > 0.5).alias("dataset_drift"),
         F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"),
         F.when(F.dayofmonth("timestamp") % 4 != 0, 1 - F.avg(F.abs(err)) / 100).alias("r2_score"),
-        F.avg(F.abs(err / F.col("value"))).alias("mape"), F.lit(0.0).alias("rmse_degradation"),
+        F.avg(off).alias("mape"), F.lit(0.0).alias("rmse_degradation"),
     )
 
 
