@@ -159,3 +159,29 @@ def test_rows_at_ranks_and_ties_of_dates(spark):
     parts = split.temporal_split(df, "d", "id", 0.5, 0.25, 0.25).collect()
     want = {i: "train" if k < 50 else "val" if k < 75 else "test" for k, (_, i) in enumerate(ordered)}
     assert {r["id"]: r["split"] for r in parts} == want
+
+
+def test_loess_of_series_side_by_side():
+    rng = np.random.default_rng(7)
+    y, w = rng.normal(size=(40, 3)), rng.random((40, 3))
+    first, whole = np.array([0, 5, 12]), np.array([40, 90, 52])
+    zero = np.zeros_like(y)
+    together = loess.passes(y, zero, w, 6, 7, 13, 7, 2, first, whole)
+    for k in range(3):
+        alone = loess.passes(y[:, [k]], zero[:, [k]], w[:, [k]], 6, 7, 13, 7, 2, first[[k]], whole[[k]])
+        for a, b in zip(together, alone):
+            assert a[:, [k]] == pytest.approx(b, abs=1e-12)
+
+
+def test_loess_of_many_series_in_few_calls(spark, monkeypatch):
+    # Null is a key of its own; the lengths differ, and one series is too short for its period.
+    rows = [(None if g == 3 else g, t, float((t * 7 + g) % 11)) for g in range(12) for t in range(9 if g == 5 else 14 + g % 3)]
+    df = spark.createDataFrame(rows, "g long, t long, v double").repartition(5)
+    got = []
+    for size in (1, 50, 65_536):
+        monkeypatch.setattr(loess, "CALL_ROWS", size)
+        out = loess.decompose_loess(df, ["g"], ["t"], "v", 5, outer=1)
+        got.append({(r.g, r.t): r.trend for r in out.collect()})
+    assert len(got[0]) == len(rows) and all(v is None for (g, _), v in got[0].items() if g == 5)
+    for other in got[1:]:
+        assert other == pytest.approx({k: v for k, v in got[0].items()}, abs=1e-12, nan_ok=True)
