@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wattspan.functions.columns import qcols
 from wattspan.operators import evaluate, models, quality
+from wattspan.operators.small import checkpointed
 
 
 @dataclass
@@ -28,7 +29,8 @@ class TrainingSpec:
 def training_job(df: DataFrame, spec: TrainingSpec, path: str | None = None) -> tuple[Model, DataFrame, DataFrame]:
     """Data gate, training, test metrics with the threshold checks; saves the model if asked."""
     needed = [spec.split, spec.target, *spec.features, *(spec.key_cols or [])]
-    data = df.select(*qcols(dict.fromkeys(needed)))
+    # Written once: the gate, the fit and the test scores each read the split rows.
+    data = checkpointed(df.select(*qcols(dict.fromkeys(needed))))
     gate = quality.data_gate(data, spec.split, spec.target, spec.shares, spec.key_cols)
     part = lambda name: data.filter(F.col(spec.split) == name)
     model = models.train(part("train"), spec.kind, spec.features, spec.target, spec.seed, **spec.params)
