@@ -19,6 +19,8 @@ from wattspan.operators.order import row_at, with_position
 from wattspan.operators.small import checkpointed, join_small, scalar_row
 
 PREFIX_ROWS = 1_000_000
+# Digits by which rows are counted before the prefix length is known.
+FINE_PREFIX = 4
 
 
 def prefix_length(rows: int) -> int:
@@ -26,6 +28,21 @@ def prefix_length(rows: int) -> int:
     return max(2, math.ceil(math.log(max(rows, 1) / PREFIX_ROWS, 16)))
 
 
+def _prefix_counts(hashed: DataFrame, digest: str, by: list[str] = ()) -> tuple[DataFrame, int]:
+    """Rows ``_c`` per stratum and digest prefix ``_pre``, with the prefix length, in one pass over the rows.
+
+    The rows are counted by a finer prefix, at most 65,536 a stratum, and these counts are added up.
+    """
+    counted = lambda length: checkpointed(hashed.groupBy(
+        *qcols(by), F.substring(qcol(digest), 1, length).alias("_pre")).agg(F.count(F.lit(1)).alias("_c")))
+    fine = counted(FINE_PREFIX)
+    length = prefix_length(fine.agg(F.coalesce(F.sum("_c"), F.lit(0))).first()[0])
+    if length > FINE_PREFIX:
+        return counted(length), length
+    short = F.substring("_pre", 1, length).alias("_pre")
+    return fine.groupBy(*qcols(by), short).agg(F.sum("_c").alias("_c")), length
+
+
 def _check_sizes(*sizes: float) -> None:
     if abs(sum(sizes) - 1.0) > 1e-8:
         raise ValueError(f"sizes must sum to 1, got {sum(sizes)}")
@@ -53,8 +70,8 @@ def hash_cuts(df: DataFrame, digest: str, by: list[str], quotas: list[Column]) -
     Quotas are row counts, written over ``_n``, the stratum's size. A quota below
     1 gives the empty string, which no digest is below.
     """
-    prefix = F.substring(qcol(digest), 1, prefix_length(df.count())).alias("_pre")
-    counts = df.groupBy(*qcols(by), prefix).agg(F.count(F.lit(1)).alias("_c"))
+    counts, length = _prefix_counts(df, digest, by)
+    prefix = F.substring(qcol(digest), 1, length).alias("_pre")
     # One row per prefix and stratum goes through these windows.
     stratum = W.partitionBy(*qcols(by)) if by else W.partitionBy()
     upto = stratum.orderBy("_pre").rowsBetween(W.unboundedPreceding, 0)
@@ -154,16 +171,20 @@ def stratum_distribution(df: DataFrame, stratum: str) -> DataFrame:
 
 def hash_rank(df: DataFrame, id_col: str, seed: int, name: str = "rank") -> DataFrame:
     """0-based rank of every row in md5 order, counted per digest prefix."""
-    digest = seeded_md5(qcol(id_col), seed)
-    hashed = df.withColumn("_md5", digest).withColumn("_pre", F.substring("_md5", 1, prefix_length(df.count())))
-    sizes = hashed.groupBy("_pre").agg(F.count(F.lit(1)).alias("_c"))
+    return digest_rank(df.withColumn("_md5", seeded_md5(qcol(id_col), seed)), "_md5", name)
+
+
+def digest_rank(hashed: DataFrame, digest: str, name: str = "rank") -> DataFrame:
+    """0-based rank of every row by a column of digests, which is dropped."""
+    sizes, length = _prefix_counts(hashed, digest)
+    hashed = hashed.withColumn("_pre", F.substring(qcol(digest), 1, length))
     # One row per prefix goes through this window.
     before = W.partitionBy().orderBy("_pre").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_pre", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    here = F.row_number().over(W.partitionBy("_pre").orderBy("_md5"))
+    here = F.row_number().over(W.partitionBy("_pre").orderBy(qcol(digest)))
     # The window has already placed the rows by prefix, so a shuffled join moves only the offsets.
     ranked = join_small(hashed.withColumn("_rn", here), offsets, ["_pre"])
-    return ranked.withColumn(name, F.col("_off") + F.col("_rn") - 1).drop("_md5", "_pre", "_rn", "_off")
+    return ranked.withColumn(name, F.col("_off") + F.col("_rn") - 1).drop(digest, "_pre", "_rn", "_off")
 
 
 def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:

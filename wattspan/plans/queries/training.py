@@ -21,7 +21,12 @@ _LONG = """long AS (SELECT concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_li
 
 def _item_id():
     """All columns of an item as one text; order and line number alone are not unique."""
-    cents = lambda c: F.round(F.col(c) * 100).cast("bigint")
+    def cents(c):
+        # Rounds halves away from zero, as round does, without its decimals.
+        v = F.col(c) * 100
+        whole = v.cast("bigint")
+        return whole + F.when(v - whole >= 0.5, 1).when(v - whole <= -0.5, -1).otherwise(0)
+
     return F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("bigint"), cents(_Y),
                        cents("l_discount"), cents("l_tax"), F.col("l_shipdate").cast("date"))
 
