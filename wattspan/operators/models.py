@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 from pyspark import StorageLevel
@@ -11,10 +12,14 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from wattspan.functions.columns import qcol, qcols, require
+from wattspan.functions.hashing import seeded_md5
 from wattspan.functions.metrics import metric_columns
 from wattspan.operators import evaluate
 from wattspan.operators.small import checkpointed
-from wattspan.operators.split import hash_rank, kfold
+from wattspan.operators.split import digest_rank, kfold
+
+# A task of a fit holds about 300 bytes of each of its rows.
+TASK_ROWS = 500_000
 
 ESTIMATORS = {"gbt": GBTRegressor, "forest": RandomForestRegressor, "linear": LinearRegression}
 
@@ -37,16 +42,36 @@ def estimator(kind: str, features: list[str], label: str, seed: int = 42, **para
     return Pipeline(stages=[assembler, ESTIMATORS[kind](featuresCol="features", labelCol=label, **params)])
 
 
+def held(df: DataFrame) -> DataFrame:
+    """The rows persisted, in partitions of at most about ``TASK_ROWS`` rows."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    per = kept.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    parts, rows, most = per.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
+    if not rows or most <= TASK_ROWS:
+        return kept
+    dealt = kept.repartition(max(parts, math.ceil(rows / TASK_ROWS))).persist(StorageLevel.MEMORY_AND_DISK)
+    # The first frame is let go once the second one has its rows.
+    dealt.count()
+    kept.unpersist()
+    return dealt
+
+
 def train(df: DataFrame, kind: str, features: list[str], label: str, seed: int = 42, **params) -> Model:
     """Fits on the feature and label columns only, kept across the passes of the fit."""
     require(df, [*features, label])
     data = df.select(*qcols(dict.fromkeys([*features, label])))
-    kept = data if df.storageLevel.useMemory else data.persist(StorageLevel.MEMORY_AND_DISK)
+    if df.storageLevel.useMemory:
+        return fit_held(data, kind, features, label, seed, **params)
+    kept = held(data)
     try:
-        return estimator(kind, features, label, seed, **params).fit(kept)
+        return fit_held(kept, kind, features, label, seed, **params)
     finally:
-        if kept.is_cached:
-            kept.unpersist()
+        kept.unpersist()
+
+
+def fit_held(df: DataFrame, kind: str, features: list[str], label: str, seed: int = 42, **params) -> Model:
+    """Fits on rows of a frame that is persisted already, without a copy of them."""
+    return estimator(kind, features, label, seed, **params).fit(df)
 
 
 def score(model: Model, df: DataFrame, name: str = "prediction") -> DataFrame:
@@ -61,15 +86,21 @@ def _needed(df: DataFrame, id_col: str, features: list[str], label: str, extra:
     return df.select(*qcols(dict.fromkeys([id_col, *features, label, *extra])))
 
 
+def _folded(df: DataFrame, features: list[str], label: str, id_col: str, k: int, seed: int) -> DataFrame:
+    """Features, label and fold, persisted. The id, often the widest column, only orders the rows."""
+    folded = kfold(_needed(df, id_col, features, label), id_col, k, seed)
+    return held(folded.select(*qcols(dict.fromkeys([*features, label, "fold"]))))
+
+
 def cross_validate(df: DataFrame, kind: str, features: list[str], label: str, id_col: str, k: int = 5,
                    seed: int = 42, **params) -> tuple[DataFrame, DataFrame, Model]:
     """Per-fold metrics, their mean and population deviation, and the model refit on all rows."""
-    folded = kfold(_needed(df, id_col, features, label), id_col, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = _folded(df, features, label, id_col, k, seed)
     parts = []
     for i in range(k):
-        model = train(folded.filter(F.col("fold") != i), kind, features, label, seed, **params)
-        held = score(model, folded.filter(F.col("fold") == i))
-        parts.append(held.select("fold", qcol(label).alias("y"), "prediction"))
+        model = fit_held(folded.filter(F.col("fold") != i), kind, features, label, seed, **params)
+        left_out = score(model, folded.filter(F.col("fold") == i))
+        parts.append(left_out.select("fold", qcol(label).alias("y"), "prediction"))
     held_out = parts[0]
     for p in parts[1:]:
         held_out = held_out.unionByName(p)
@@ -77,7 +108,7 @@ def cross_validate(df: DataFrame, kind: str, features: list[str], label: str, id
     summary = folds.agg(
         *[f(c).alias(f"{c}_{n}") for c in ("rmse", "mae", "r2") for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
     )
-    final = train(folded, kind, features, label, seed, **params)
+    final = fit_held(folded, kind, features, label, seed, **params)
     folded.unpersist()
     return folds, summary, final
 
@@ -94,22 +125,21 @@ def random_search(training: DataFrame, validation: DataFrame, features: list[str
     """Seeded random trials scored on the validation split: trial table, best parameters, refit model."""
     rng = random.Random(seed)
     cols = [*features, label]
-    fit_on = training.select(*qcols(cols)).persist(StorageLevel.MEMORY_AND_DISK)
-    held = validation.select(*qcols(cols)).persist(StorageLevel.MEMORY_AND_DISK)
+    fit_on, check_on = held(training.select(*qcols(cols))), held(validation.select(*qcols(cols)))
     rows, best = [], None
     for trial in range(trials):
         params = _draw(rng, space or SEARCH_SPACE)
-        model = train(fit_on, "gbt", features, label, seed, **params)
-        m = evaluate.metrics(score(model, held), label, "prediction").first()
+        model = fit_held(fit_on, "gbt", features, label, seed, **params)
+        m = evaluate.metrics(score(model, check_on), label, "prediction").first()
         rows.append((trial, {p: float(v) for p, v in params.items()}, m["rmse"], m["mae"], m["r2"]))
         if best is None or m["rmse"] < best[0]:
             best = (m["rmse"], params)
-    fit_on.unpersist()
-    held.unpersist()
     table = training.sparkSession.createDataFrame(
         rows, "trial int, params map<string,double>, rmse double, mae double, r2 double")
-    both = training.select(*qcols(cols)).unionByName(validation.select(*qcols(cols)))
-    return table, best[1], train(both, "gbt", features, label, seed, **best[1])
+    final = fit_held(fit_on.unionByName(check_on), "gbt", features, label, seed, **best[1])
+    fit_on.unpersist()
+    check_on.unpersist()
+    return table, best[1], final
 
 
 class Stack:
@@ -144,20 +174,20 @@ def stack(df: DataFrame, bases: dict[str, tuple[str, dict]], features: list[str]
     Every row is predicted by models that did not see it: fold by fold the base
     columns are added to the held-out rows, so no join is needed.
     """
-    folded = kfold(_needed(df, id_col, features, label), id_col, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = _folded(df, features, label, id_col, k, seed)
     parts = []
     for i in range(k):
-        seen, held = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
+        seen, left_out = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
         for name, (kind, params) in bases.items():
-            held = score(train(seen, kind, features, label, seed, **params), held, f"base_{name}")
-        parts.append(held)
+            left_out = score(fit_held(seen, kind, features, label, seed, **params), left_out, f"base_{name}")
+        parts.append(left_out)
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)
     columns = [f"base_{name}" for name in bases]
     meta = train(oof.select(*qcols([*columns, label])), "linear", columns, label, seed, regParam=penalty,
                  elasticNetParam=0.0)
-    fitted = {name: train(folded, kind, features, label, seed, **params) for name, (kind, params) in bases.items()}
+    fitted = {name: fit_held(folded, kind, features, label, seed, **params) for name, (kind, params) in bases.items()}
     folded.unpersist()
     return Stack(fitted, meta, label)
 
@@ -169,16 +199,16 @@ def permutation_importance(model: Model, df: DataFrame, features: list[str], lab
     The shuffle pairs row ranks of two md5 orders: a distributed equi-join.
     """
     kept = _needed(df, id_col, features, label)
-    receive = checkpointed(hash_rank(kept, id_col, seed, "_rank"))
-    give = hash_rank(kept, id_col, seed + 1, "_rank").select("_rank", *[qcol(c).alias(f"_p_{c}") for c in features])
-    joined = checkpointed(receive.join(give, "_rank"))
-    scored = [joined.withColumn("_m", F.lit("")).select("_m", *qcols([*features, label]))]
-    for c in features:
-        swapped = [qcol(f"_p_{x}").alias(x) if x == c else qcol(x) for x in features]
-        scored.append(joined.select(F.lit(c).alias("_m"), *swapped, qcol(label)))
-    long = scored[0]
-    for s in scored[1:]:
-        long = long.unionByName(s)
+    # Both digests are made at once, and the second ranks start from the first ones' checkpoint.
+    hashed = kept.withColumn("_d0", seeded_md5(qcol(id_col), seed)).withColumn("_d1", seeded_md5(qcol(id_col), seed + 1))
+    names = list(dict.fromkeys([*features, label]))
+    receive = checkpointed(digest_rank(hashed.select("_d0", "_d1", *qcols(names)), "_d0", "_rank"))
+    give = digest_rank(receive.select("_d1", *[qcol(c).alias(f"_p_{c}") for c in features]), "_d1", "_rank")
+    joined = receive.drop("_d1").join(give, "_rank")
+    # Every row once as it is, and once per feature with that feature shuffled.
+    swapped = lambda c: [qcol(f"_p_{x}" if x == c else x).alias(x) for x in features]
+    forms = [F.struct(F.lit(c).alias("_m"), *swapped(c), *qcols([n for n in names if n not in features])) for c in ["", *features]]
+    long = joined.select(F.inline(F.array(*forms)))
     per = score(model, long).groupBy("_m").agg(*metric_columns(qcol(label), F.col("prediction")))
     per = checkpointed(per.select("_m", "rmse"))
     base = per.filter("_m = ''").agg(F.max("rmse")).scalar()

@@ -142,7 +142,7 @@ def density_search(training: DataFrame, validation: DataFrame, kind: str, featur
     errors go to the earlier trial.
     """
     cols = [*features, label]
-    fit_on, held = (d.select(*qcols(cols)).persist(StorageLevel.MEMORY_AND_DISK) for d in (training, validation))
+    fit_on, check_on = (models.held(d.select(*qcols(cols))) for d in (training, validation))
     rounds, fixed = ROUNDS.get(kind), dict(fixed or {})
     space = SPACES[kind] if space is None else space
 
@@ -150,17 +150,17 @@ def density_search(training: DataFrame, validation: DataFrame, kind: str, featur
         params = {**params, **fixed}
         if share < 1:
             params[rounds] = max(1, round(params[rounds] * share))
-        model = models.train(fit_on, kind, features, label, seed, **params)
-        m = evaluate.metrics(models.score(model, held), label, "prediction").first()
+        model = models.fit_held(fit_on, kind, features, label, seed, **params)
+        m = evaluate.metrics(models.score(model, check_on), label, "prediction").first()
         return m["rmse"], m["mae"], m["r2"]
 
     try:
         done = run_trials(scored, Sampler(space, seed, startup), trials, parallel, stops if rounds in space else ())
+        best = min((t for t in done if t.state == "complete"), key=lambda t: (t.rmse, t.trial)).params
+        final = models.fit_held(fit_on.unionByName(check_on), kind, features, label, seed, **{**best, **fixed})
     finally:
-        fit_on.unpersist(), held.unpersist()
-    best = min((t for t in done if t.state == "complete"), key=lambda t: (t.rmse, t.trial)).params
+        fit_on.unpersist(), check_on.unpersist()
     rows = [(t.trial, {p: float(v) for p, v in t.params.items()}, t.state, t.rmse, t.mae, t.r2) for t in done]
     table = training.sparkSession.createDataFrame(
         rows, "trial int, params map<string,double>, state string, rmse double, mae double, r2 double")
-    both = training.select(*qcols(cols)).unionByName(validation.select(*qcols(cols)))
-    return table, best, models.train(both, kind, features, label, seed, **{**best, **fixed})
+    return table, best, final
