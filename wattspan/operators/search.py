@@ -19,7 +19,6 @@ from concurrent.futures import ThreadPoolExecutor
 from statistics import NormalDist, median
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
 
