@@ -189,6 +189,36 @@ def test_values_of_other_length(spark):
     assert got == {(1, 1), (2, 2), (3, 2)}
 
 
+def test_covered_places_of_long_items(spark):
+    """Eight windows of five places, one of them across the 64th place, cover 40 of 66 places but too few of 67."""
+    words = [f"{a}{b}x" for a in "bcdfghjkl" for b in "aeiouyzq"][:67]
+    starts = [0, 8, 16, 24, 32, 40, 48, 61]
+    kept = {s + k for s in starts for k in range(decontaminate.SHORT)}
+    text = " ".join(w if i in kept else "other" + w for i, w in enumerate(words[:66]))
+    bench = spark.createDataFrame([(1, " ".join(words[:66])), (2, " ".join(words))], "item_id bigint, text string")
+    rows = [(1, text), (2, " ".join(words[:66]).upper()), (3, " ".join(words[60:66]))]
+    got = {(r.doc_id, r.item_id): r.n_windows for r in decontaminate.hits(cases.frame(spark, rows), bench).collect()}
+    assert got == {(1, 1): 8, (2, 1): 59, (2, 2): 59}
+
+
+def test_groups_take_bounded_memory(spark, monkeypatch):
+    """Places of windows are aggregates of fixed width, and the groups, which follow the documents, are not broadcast."""
+    seen, write = [], decontaminate.scratch
+
+    def scratch(df, name):
+        seen.append(df)
+        return write(df, name)
+
+    monkeypatch.setattr(decontaminate, "scratch", scratch)
+    bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    out = decontaminate.hits(cases.frame(spark, [(1, ITEM.upper()), (2, ITEM)]), bench)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in [*seen, out]]
+    assert not any("collect_set" in p or "collect_list" in p for p in plans)
+    semi = [line for p in plans for line in p.split("\n") if "LeftSemi" in line]
+    assert semi and not any("Broadcast" in line for line in semi)
+    assert {(r.doc_id, r.item_id) for r in out.collect()} == {(1, 1), (2, 1)}
+
+
 def test_slots_must_agree(spark):
     item = "take 3 red and 3 blue and 3 green and 3 black and 3 white marbles out"
     bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")

@@ -189,13 +189,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return rows.select("doc", "kind", "pos", "h", values).join(side, found).drop("h", "_h", "_kind")
 
 
-def _consistent(found: DataFrame, counts: DataFrame, at: list[str], form_of, value_of=lambda c: c) -> DataFrame:
+def _slots(found: DataFrame, keys: list[str], form_of, value_of=lambda c: c) -> DataFrame:
+    """Slots of the item below ``keys``, once each, with the values on both sides: ``slot``, ``i`` and ``d``."""
+    pairs = found.select(*keys, "ipos", F.posexplode_outer(F.arrays_zip("ivals", "dvals")).alias("k", "v")).select(
+        *keys, (F.col("ipos") + F.col("k")).alias("slot"), F.col("v.ivals").alias("i"), F.col("v.dvals").alias("d"))
+    return pairs.filter(F.startswith(form_of(F.col("i")), F.lit("<"))).select(
+        *keys, "slot", value_of(F.col("i")).alias("i"), value_of(F.col("d")).alias("d")).distinct()
+
+
+def _consistent(pairs: DataFrame, counts: DataFrame, at: list[str]) -> DataFrame:
     """The groups of ``counts`` with ``n_slots`` and ``n_changed``, as far as their slots are consistent."""
-    # Slots of the item in this group, once each, with the values on both sides.
-    pairs = found.select(*at, "ipos", F.posexplode_outer(F.arrays_zip("ivals", "dvals")).alias("k", "v")).select(
-        *at, (F.col("ipos") + F.col("k")).alias("slot"), F.col("v.ivals").alias("i"), F.col("v.dvals").alias("d"))
-    pairs = pairs.filter(F.startswith(form_of(F.col("i")), F.lit("<"))).select(
-        *at, "slot", value_of(F.col("i")).alias("i"), value_of(F.col("d")).alias("d")).distinct()
     values = pairs.groupBy(*at, "i", "d").agg(F.count(F.lit(1)).alias("n"))
     # Of an item's value the most frequent counterpart is consistent.
     settled = values.groupBy(*at, "i").agg(
@@ -207,24 +210,42 @@ def _consistent(found: DataFrame, counts: DataFrame, at: list[str], form_of, val
     return judged.filter(F.col("agree") >= F.lit(LEAST_CONSISTENT) * F.col("n_slots"))
 
 
+def _places(start: Column) -> Column:
+    """A short window as bits, in words of 64 places: ``word``, ``starts`` and ``covered``. At a word's end it reaches into the next."""
+    word, bit = F.shiftright(start, 6), F.pmod(start, F.lit(64))
+    shifted = lambda name, bits, by: F.call_function(name, F.lit(bits).cast("bigint"), by)
+    own = F.struct(word.alias("word"), shifted("shiftleft", 1, bit).alias("starts"),
+                   shifted("shiftleft", (1 << SHORT) - 1, bit).alias("covered"))
+    next_one = F.struct((word + 1).alias("word"), F.lit(0).cast("bigint").alias("starts"),
+                        shifted("shiftrightunsigned", (1 << SHORT) - 1, 64 - bit).alias("covered"))
+    return F.when(bit > 64 - SHORT, F.array(own, next_one)).otherwise(F.array(own))
+
+
 def _short_hits(found: DataFrame) -> DataFrame:
-    """Good groups of short windows; ``n_windows`` counts these."""
-    gap, size = F.col("pos") - F.col("ipos"), F.col("size")
+    """Good groups of short windows; ``n_windows`` counts these.
+
+    Windows and slots are first summed up per distance, then dealt to the groups of that distance. Places are sets of
+    bits, so that aggregates have buffers of fixed width, which Spark spills.
+    """
+    gap, size = F.col("gap"), F.col("size")
     name = map_lookup(KINDS, F.col("kind"))
     groups = [(0, gap), (1, F.floor(gap / NEAR)), (2, F.floor((gap + NEAR // 2) / NEAR)),
               (3, F.floor(gap / (2 * size))), (4, F.floor((gap + size) / (2 * size)))]
-    found = found.select("doc", "item", "ipos", "size", "ivals", "dvals", F.explode(F.array(*[
-        F.concat_ws(":", name, F.lit(k), b.cast("bigint")) for k, b in groups])).alias("at"))
-    at = ["doc", "item", "at"]
-    starts = found.groupBy(*at).agg(F.collect_set("ipos").alias("starts"), F.max("size").alias("size"))
+    each = F.explode(F.array(*[F.concat_ws(":", name, F.lit(k), b.cast("bigint")) for k, b in groups])).alias("at")
+    found = found.withColumn("gap", F.col("pos") - F.col("ipos"))
+    keys, at = ["doc", "item", "kind", "gap", "size"], ["doc", "item", "at"]
+    bits = [F.bit_or("starts").alias("starts"), F.bit_or("covered").alias("covered")]
+    words = found.select(*keys, F.inline(_places(F.col("ipos")))).groupBy(*keys, "word").agg(*bits)
+    words = words.select("doc", "item", each, "word", "starts", "covered", "size").groupBy(*at, "word").agg(*bits, F.max("size").alias("size"))
     near = ~F.rlike(F.col("at"), F.lit(":[34]:"))
-    covered = F.size(F.array_distinct(F.flatten(F.transform("starts", lambda x: F.sequence(x, x + SHORT - 1)))))
-    counts = scratch(starts.select(*at, F.size("starts").cast("bigint").alias("n_windows"), "size", covered.alias("covered")).filter(
+    counts = words.groupBy(*at).agg(F.sum(F.bit_count("starts")).alias("n_windows"), F.max("size").alias("size"),
+                                    F.sum(F.bit_count("covered")).alias("covered"))
+    counts = scratch(counts.filter(
         (near & (F.col("n_windows") >= LEAST_SHORT)) | (F.col("covered") >= F.lit(LEAST_COVERED) * F.col("size"))), "groups")
-    # Only groups that count have their slots compared.
-    found = scratch(found.join(counts.select(*at), at, "left_semi"), "grouped")
-    return _consistent(found, counts.select(*at, "n_windows"), at, lambda c: form(F.substring_index(c, " ", 1)),
-                       lambda c: F.regexp_replace(c, BETWEEN, " "))
+    pairs = _slots(found, keys, lambda c: form(F.substring_index(c, " ", 1)), lambda c: F.regexp_replace(c, BETWEEN, " "))
+    # Only groups that count have their slots compared. Their number follows the documents, so they are never broadcast.
+    pairs = pairs.select("doc", "item", each, "slot", "i", "d").join(counts.select(*at).hint("merge"), at, "left_semi").distinct()
+    return _consistent(scratch(pairs, "grouped"), counts.select(*at, "n_windows"), at)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -236,7 +257,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     whole = found.filter(F.col("kind") == WHOLE).withColumn("gap", F.col("pos") - F.col("ipos"))
     counts = whole.groupBy(*at).agg(F.countDistinct("ipos").alias("n_windows"), F.max("size").alias("size"))
     counts = counts.filter(F.col("n_windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("size")))
-    good = _consistent(whole, counts, at, form)
+    good = _consistent(_slots(whole, at, form), counts, at)
     columns = ["doc", "item", "n_windows", "n_slots", "n_changed"]
     both = good.select(F.lit(1).alias("first"), *columns).union(
         _short_hits(found.filter(F.col("kind") != WHOLE)).select(F.lit(0).alias("first"), *columns))
